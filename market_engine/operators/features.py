@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from market_engine.constants import DEFAULT_BA, DEFAULT_LAGS, DEFAULT_MARKET
 from market_engine.functions import calendar_columns
+from market_engine.operators.ranking import distributed_row_number
 
 PRICE_COLS = ["lmp_avg", "lmp_min", "lmp_max", "lmp_stddev",
               "energy_component_avg", "congestion_component_avg", "loss_component_avg"]
@@ -33,17 +34,27 @@ def lag_name(n: int, value: str = "lmp_avg") -> str:
 
 
 def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lmp_avg",
-             key: str = "trading_hub", order: str = "hour_utc", mode: str = "rows") -> DataFrame:
+             key: str = "trading_hub", order: str = "hour_utc", mode: str = "rows",
+             method: str = "join") -> DataFrame:
     """E-1 / C-4: previous values of ``value`` per ``key``.
 
     ``mode="rows"`` (reference semantics): offset by rows; a missing hour shifts every lag.
-    All lags share one window specification, so there is one sort per key.
-    ``mode="time"``: exact ``order - n hours`` via equi self-joins on (key, hour); every join
-    is hash-partitioned on (key, hour), so the work spreads over hours instead of keys.
+      ``method="join"``: exact distributed row numbers (bucketed by day) and one equi join per
+      lag on (key, row - n); no task holds a whole hub. ``method="window"``: ``lag`` over one
+      shared window per hub (one sort, one task per hub; fine for short histories).
+    ``mode="time"``: exact ``order - n hours`` via equi self-joins on (key, hour).
     """
-    if mode == "rows":
+    if mode == "rows" and method == "window":
         w = Window.partitionBy(key).orderBy(order)
         return df.withColumns({lag_name(n, value): F.lag(value, n).over(w) for n in lags})
+    if mode == "rows" and method == "join":
+        ranked = distributed_row_number(df, [key], F.to_date(order), [F.col(order)], "_rn")
+        base = ranked.select(key, "_rn", value)
+        out = ranked
+        for n in lags:
+            shifted = base.select(key, (F.col("_rn") + n).alias("_rn"), F.col(value).alias(lag_name(n, value)))
+            out = out.join(shifted, [key, "_rn"], "left")
+        return out.drop("_rn")
     if mode == "time":
         out = df
         for n in lags:
@@ -54,7 +65,7 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
             )
             out = out.join(shifted, [key, order], "left")
         return out
-    raise ValueError(f"mode must be 'rows' or 'time', got {mode!r}")
+    raise ValueError(f"unsupported lag mode/method {mode!r}/{method!r}")
 
 
 def add_calendar(df: DataFrame, ts: str = "hour_utc", week_start: str = "monday") -> DataFrame:
@@ -64,7 +75,7 @@ def add_calendar(df: DataFrame, ts: str = "hour_utc", week_start: str = "monday"
 
 def market_features(stg_prices: DataFrame, stg_ops: DataFrame, market: str = DEFAULT_MARKET,
                     balancing_authority: str = DEFAULT_BA, lags: Sequence[int] = DEFAULT_LAGS,
-                    lag_mode: str = "rows", week_start: str = "monday") -> DataFrame:
+                    lag_mode: str = "rows", week_start: str = "monday", lag_method: str = "join") -> DataFrame:
     """Intermediate feature table: one row per (hour, hub) of ``market``.
 
     Filters (B-7) sit below the join and are pushed into the scans by Catalyst.
@@ -72,7 +83,7 @@ def market_features(stg_prices: DataFrame, stg_ops: DataFrame, market: str = DEF
     prices = stg_prices.filter(F.col("market") == market)
     ops = stg_ops.filter(F.col("balancing_authority") == balancing_authority)
     joined = join_ops(prices, ops)
-    lagged = add_lags(joined, lags, mode=lag_mode)
+    lagged = add_lags(joined, lags, mode=lag_mode, method=lag_method)
     out = add_calendar(lagged, week_start=week_start)
     lag_cols = [lag_name(n) for n in lags]
     return out.select("hour_utc", "trading_hub", *PRICE_COLS, *OPS_COLS, *lag_cols,

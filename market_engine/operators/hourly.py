@@ -100,3 +100,10 @@ def union_frames(spark: SparkSession, frames: Sequence[DataFrame], schema=LMP_5M
     if not frames:
         return spark.createDataFrame([], schema)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def time_rollup(df: DataFrame, ts: str, width: str, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Generic fixed-width time grain roll-up (D-1's shape for any table): ``measures`` maps
+    output name -> SQL aggregate expression."""
+    return df.groupBy(hour_bucket(ts, width).alias("bucket_start"), *keys).agg(
+        *[F.expr(e).alias(n) for n, e in measures.items()])

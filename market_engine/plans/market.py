@@ -9,6 +9,7 @@ aggregate and the join back; inside one plan Spark reuses the shared exchanges,
 from __future__ import annotations
 
 from collections.abc import Sequence
+import tempfile
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,6 +20,7 @@ from market_engine.operators.dashboard import dashboard_view
 from market_engine.operators.features import market_features
 from market_engine.operators.hourly import hourly_prices, staged_ops
 from market_engine.operators.stress import market_stress
+from market_engine.session import checkpoint_dir
 from market_engine.sources import adapters
 
 
@@ -28,6 +30,7 @@ class MarketParams:
     balancing_authority: str = DEFAULT_BA
     lags: Sequence[int] = DEFAULT_LAGS
     lag_mode: str = "rows"
+    lag_method: str = "join"
     week_start: str = "monday"
     quantiles: Sequence[float] = (0.95, 0.99)
     exact_percentiles: bool = True
@@ -44,16 +47,30 @@ class MarketLayers:
 
 
 def build(raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams = MarketParams(),
-          materialise: bool = False) -> MarketLayers:
+          materialise: str = "none") -> MarketLayers:
+    """Compose the layers. ``materialise`` for the feature table (read by the threshold
+    aggregate, the join back and every downstream report):
+
+    * ``"none"``: lazy; one plan per output.
+    * ``"persist"``: MEMORY_AND_DISK cache (lost partitions are recomputed from lineage).
+    * ``"checkpoint"``: written to the shared ``spark.checkpoint.dir``; cuts the lineage so
+      downstream plans start from a small table scan and survive executor loss.
+    """
     stg_prices = hourly_prices(raw_prices, params.price_decimals)
     stg_ops = staged_ops(raw_ops)
     features = market_features(stg_prices, stg_ops, params.market, params.balancing_authority,
-                               params.lags, params.lag_mode, params.week_start)
-    if materialise:
+                               params.lags, params.lag_mode, params.week_start, params.lag_method)
+    if materialise == "persist":
         features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    elif materialise == "checkpoint":
+        checkpoint_dir(features.sparkSession, fallback=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        features = features.checkpoint(eager=True)
+    elif materialise != "none":
+        raise ValueError(f"materialise must be none, persist or checkpoint, got {materialise!r}")
     stress = market_stress(features, params.quantiles, params.exact_percentiles)
     return MarketLayers(stg_prices, stg_ops, features, stress, dashboard_view(stress))
 
 
-def from_testdata(spark: SparkSession, sf_dir: str, params: MarketParams = MarketParams()) -> MarketLayers:
-    return build(adapters.lmp_5min(spark, sf_dir), adapters.ops_hourly(spark, sf_dir), params)
+def from_testdata(spark: SparkSession, sf_dir: str, params: MarketParams = MarketParams(),
+                  materialise: str = "checkpoint") -> MarketLayers:
+    return build(adapters.lmp_5min(spark, sf_dir), adapters.ops_hourly(spark, sf_dir), params, materialise)

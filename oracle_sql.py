@@ -18,8 +18,24 @@ def xavg(c: str, decimals: int = 5) -> str:
     return f"(cast(sum(cast(round({c} * {m}) as bigint)) as double) / (count({c}) * {m}))"
 
 
+def interp(values: str, n: str, q: float) -> str:
+    """Interpolated percentile from a sorted 1-based list: position (n-1)q between the two
+    neighbouring order statistics, weights (ceil - pos) and (pos - floor); an exact position or
+    equal neighbours give the value itself."""
+    pos = f"(({n} - 1) * {q}e0)"
+    lo, hi = f"{values}[cast(floor({pos}) as bigint) + 1]", f"{values}[cast(ceil({pos}) as bigint) + 1]"
+    return (f"case when floor({pos}) = ceil({pos}) or {lo} = {hi} then {lo} "
+            f"else (ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi} end")
+
+
 K = "cast(json_extract_string(props, '$.k') as bigint)"
 
+CALENDAR = """cast(hour(j.hour_utc) as integer) as hour_of_day,
+  cast(isodow(j.hour_utc) - 1 as integer) as day_of_week,
+  (isodow(j.hour_utc) - 1) >= 5 as is_weekend,
+  cast(month(j.hour_utc) as integer) as month,
+  cast(year(j.hour_utc) as integer) as year"""
+
 CTES = {
     "lmp_5min": f"""
 select ts as interval_start, ts + interval 5 minute as interval_end,
@@ -69,31 +85,33 @@ select period as hour_utc, upper(trim(balancing_authority)) as balancing_authori
   demand_mwh - demand_forecast_mwh as demand_forecast_error_mwh,
   source_system, loaded_at
 from ops_hourly where period is not null and balancing_authority is not null""",
-    "features": """
+    "joined": """
+select c.hour_utc, c.trading_hub, c.lmp_avg, c.lmp_min, c.lmp_max, c.lmp_stddev,
+  c.energy_component_avg, c.congestion_component_avg, c.loss_component_avg,
+  e.demand_mwh, e.demand_forecast_mwh, e.net_generation_mwh, e.interchange_mwh,
+  e.demand_supply_gap_mwh, e.demand_forecast_error_mwh
+from (select * from stg_lmp where market = 'RTM') c
+left join (select * from stg_ops where balancing_authority = 'CISO') e on c.hour_utc = e.hour_utc""",
+    "features": f"""
 select j.*,
   lag(lmp_avg, 1) over (partition by trading_hub order by hour_utc) as lmp_lag_1h,
   lag(lmp_avg, 24) over (partition by trading_hub order by hour_utc) as lmp_lag_24h,
   lag(lmp_avg, 168) over (partition by trading_hub order by hour_utc) as lmp_lag_168h,
-  cast(hour(hour_utc) as integer) as hour_of_day,
-  cast(isodow(hour_utc) - 1 as integer) as day_of_week,
-  (isodow(hour_utc) - 1) >= 5 as is_weekend,
-  cast(month(hour_utc) as integer) as month,
-  cast(year(hour_utc) as integer) as year
-from (
-  select c.hour_utc, c.trading_hub, c.lmp_avg, c.lmp_min, c.lmp_max, c.lmp_stddev,
-    c.energy_component_avg, c.congestion_component_avg, c.loss_component_avg,
-    e.demand_mwh, e.demand_forecast_mwh, e.net_generation_mwh, e.interchange_mwh,
-    e.demand_supply_gap_mwh, e.demand_forecast_error_mwh
-  from (select * from stg_lmp where market = 'RTM') c
-  left join (select * from stg_ops where balancing_authority = 'CISO') e on c.hour_utc = e.hour_utc
-) j""",
-    "thresholds": """
-select trading_hub,
-  quantile_cont(lmp_avg, 0.95) as lmp_p95_threshold,
-  quantile_cont(lmp_avg, 0.99) as lmp_p99_threshold,
-  avg(lmp_avg) as lmp_historical_mean,
-  stddev_samp(lmp_avg) as lmp_historical_stddev
-from features group by trading_hub""",
+  {CALENDAR}
+from joined j""",
+    "features_time": f"""
+select j.*, l1.lmp_avg as lmp_lag_1h, l24.lmp_avg as lmp_lag_24h, l168.lmp_avg as lmp_lag_168h,
+  {CALENDAR}
+from joined j
+left join joined l1 on l1.trading_hub = j.trading_hub and l1.hour_utc = j.hour_utc - interval 1 hour
+left join joined l24 on l24.trading_hub = j.trading_hub and l24.hour_utc = j.hour_utc - interval 24 hour
+left join joined l168 on l168.trading_hub = j.trading_hub and l168.hour_utc = j.hour_utc - interval 168 hour""",
+    "thresholds": f"""
+select trading_hub, {interp('v', 'len(v)', 0.95)} as lmp_p95_threshold,
+  {interp('v', 'len(v)', 0.99)} as lmp_p99_threshold, m as lmp_historical_mean, sd as lmp_historical_stddev
+from (select trading_hub, list_sort(list(lmp_avg) filter (where lmp_avg is not null)) as v,
+             avg(lmp_avg) as m, stddev_samp(lmp_avg) as sd
+      from features group by trading_hub) t""",
     "stress": """
 select f.hour_utc, f.trading_hub, f.lmp_avg, f.lmp_min, f.lmp_max, f.lmp_stddev,
   f.energy_component_avg, f.congestion_component_avg, f.loss_component_avg,
@@ -128,7 +146,27 @@ from stress where lmp_avg is not null""",
 }
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` is HUGEINT; Spark's is BIGINT. Wrap every call in a BIGINT cast."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = bigint_counts(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + "cast(count_if(" + inner + ") as bigint)")
+        i = k
+
+
 def with_ctes(body: str) -> str:
     """Prefix a query body with every shared stage as a CTE."""
     ctes = ",\n".join(f"{name} as ({sql}\n)" for name, sql in CTES.items())
-    return f"with {ctes}\n{body}"
+    return bigint_counts(f"with {ctes}\n{body}")
+
+
+
