@@ -20,6 +20,8 @@ from market_engine.constants import NUMERIC_FEATURES, SEVERITIES
 from market_engine.functions import day_window, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
+from market_engine.session import checkpoint_dir, materialise_frame
+from market_engine.streaming import prices as SP
 from market_engine.sources import adapters, tables
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -613,7 +615,7 @@ def q_m16(spark, sf):
 # =============================================================== model (rows-only checks)
 def _trained(spark, sf, kind="logreg"):
     ff = ml.build_features(L(spark, sf).stress)
-    split = ml.stratified_split(ff.df)
+    split = materialise_frame(ml.stratified_split(ff.df))
     train, test = split.filter("not is_test"), split.filter("is_test")
     model = ml.train_classifier(train, ff.numeric, ff.categorical, kind=kind)
     return ff, train, test, model
@@ -645,6 +647,54 @@ def q_r14(spark, sf):
     return R.probability_by_hour(ml.score(model, test))
 
 
+# =============================================================== streaming
+def _stream_events(spark, sf):
+    ev = adapters.table(spark, sf, "events")
+    return spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _stream_ck(spark) -> str:
+    import tempfile
+    import uuid
+    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return f"{base.rstrip('/')}/streams/{uuid.uuid4().hex}"
+
+
+def _run(df, spark):
+    import uuid
+    return SP.run_to_memory(df, f"s_{uuid.uuid4().hex}", _stream_ck(spark))
+
+
+_CLOSED = "hour_utc + interval 1 hour <= (select max(interval_start) from lmp_5min) - interval 2 hour"
+
+
+@reg("s01_streaming_hourly_prices", f"select * replace ({_r6(['lmp_stddev'])}) from stg_lmp where {_CLOSED}")
+def q_s01(spark, sf):
+    out = _run(SP.streaming_hourly_prices(adapters.lmp_from_events(_stream_events(spark, sf))), spark)
+    return _stable(out, ["lmp_stddev"])
+
+
+@reg("s02_streaming_dedupe", """
+select count(*) as rows, min(interval_start) as first_interval, max(interval_start) as last_interval
+from (select distinct interval_start, trading_hub, market from lmp_5min) d""")
+def q_s02(spark, sf):
+    out = _run(SP.dedupe_intervals(adapters.lmp_from_events(_stream_events(spark, sf))), spark)
+    ntz = F.col("interval_start").cast("timestamp_ntz")
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.min(ntz).alias("first_interval"),
+                   F.max(ntz).alias("last_interval"))
+
+
+@reg("s03_streaming_scores", f"""
+select s.hour_utc, s.trading_hub, s.lmp_avg, s.lmp_p95_threshold, s.lmp_p99_threshold, s.price_spike_flag,
+  s.stress_severity from stress s
+where {_CLOSED.replace('hour_utc', 's.hour_utc')}""")
+def q_s03(spark, sf):
+    th = ST.hub_thresholds(L(spark, sf).features)
+    hourly = SP.streaming_hourly_prices(adapters.lmp_from_events(_stream_events(spark, sf))).filter("market = 'RTM'")
+    out = _run(SP.score_stream(hourly, th), spark)
+    return out.drop("market")
+
+
 # =============================================================== generic tables
 @reg("g01_orders_coverage", """
 select o_orderstatus, count(*) as row_count, min(o_orderdate) as earliest, max(o_orderdate) as latest

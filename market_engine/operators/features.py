@@ -54,7 +54,7 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
         for n in lags:
             shifted = base.select(key, (F.col("_rn") + n).alias("_rn"), F.col(value).alias(lag_name(n, value)))
             out = out.join(shifted, [key, "_rn"], "left")
-        return out.drop("_rn")
+        return out.select(*df.columns, *[lag_name(n, value) for n in lags])
     if mode == "time":
         out = df
         for n in lags:
@@ -64,7 +64,7 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
                 F.col(value).alias(lag_name(n, value)),
             )
             out = out.join(shifted, [key, order], "left")
-        return out
+        return out.select(*df.columns, *[lag_name(n, value) for n in lags])
     raise ValueError(f"unsupported lag mode/method {mode!r}/{method!r}")
 
 

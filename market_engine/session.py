@@ -50,3 +50,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         spark.sparkContext.setCheckpointDir(fallback)
         return fallback
     return None
+
+
+def materialise_frame(df, fallback: str | None = None):
+    """Cut a DataFrame's lineage before it is read many times (model fits, repeated scoring).
+
+    With a shared ``spark.checkpoint.dir`` the rows are written there (reliable checkpoint:
+    survives executor loss and keeps downstream plans small). Without one and without a
+    ``fallback``, the frame is persisted to memory and disk instead.
+    """
+    from pyspark import StorageLevel
+    if checkpoint_dir(df.sparkSession, fallback):
+        return df.checkpoint(eager=True)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out

@@ -27,7 +27,11 @@ def _k() -> F.Column:
 
 def lmp_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw.lmp_5min over ``events``: components sum to the price."""
-    e = table(spark, sf_dir, "events")
+    return lmp_from_events(table(spark, sf_dir, "events"))
+
+
+def lmp_from_events(e: DataFrame) -> DataFrame:
+    """The price mapping as a plain projection (works on batch and streaming frames)."""
     k = _k()
     loss_units = F.col("event_id") % 7
     return e.select(

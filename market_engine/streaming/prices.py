@@ -89,3 +89,12 @@ def run_to_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "append
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return df.sparkSession.table(name)
+
+
+def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drive a streaming frame over what has landed into a Parquet file sink (exactly-once,
+    restartable from ``checkpoint``) and return the sink's contents as a batch DataFrame."""
+    q = (df.writeStream.format("parquet").option("path", path).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return df.sparkSession.read.parquet(path)
