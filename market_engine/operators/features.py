@@ -49,11 +49,14 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
         return df.withColumns({lag_name(n, value): F.lag(value, n).over(w) for n in lags})
     if mode == "rows" and method == "join":
         ranked = distributed_row_number(df, [key], F.to_date(order), [F.col(order)], "_rn")
-        base = ranked.select(key, "_rn", value)
-        out = ranked
-        for n in lags:
-            shifted = base.select(key, (F.col("_rn") + n).alias("_rn"), F.col(value).alias(lag_name(n, value)))
-            out = out.join(shifted, [key, "_rn"], "left")
+        # every row offers its value to the rows n positions later: one exploded copy per lag,
+        # aggregated on the target index. The aggregate's output is hash-partitioned on
+        # (key, _rn), which is exactly what the join back needs, so it adds no exchange.
+        offers = ranked.select(key, F.col(value).alias("_v"), F.explode(F.array(
+            *[F.struct((F.col("_rn") + n).alias("_rn"), F.lit(n).alias("_n")) for n in lags])).alias("_o"))
+        lagged = offers.groupBy(key, F.col("_o._rn").alias("_rn")).agg(
+            *[F.max(F.when(F.col("_o._n") == n, F.col("_v"))).alias(lag_name(n, value)) for n in lags])
+        out = ranked.join(lagged, [key, "_rn"], "left")
         return out.select(*df.columns, *[lag_name(n, value) for n in lags])
     if mode == "time":
         out = df

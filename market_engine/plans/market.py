@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 import tempfile
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +38,41 @@ class MarketParams:
     price_decimals: int | None = 5
 
 
-@dataclass
 class MarketLayers:
-    stg_prices: DataFrame
-    stg_ops: DataFrame
-    features: DataFrame
-    stress: DataFrame
-    dashboard: DataFrame
+    """Lazy layers: each is built (and the feature table materialised) on first access, so a
+    query that needs only staging never pays for the features."""
+
+    def __init__(self, raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams, materialise: str):
+        self._raw_prices, self._raw_ops = raw_prices, raw_ops
+        self.params, self.materialise = params, materialise
+
+    @cached_property
+    def stg_prices(self) -> DataFrame:
+        return hourly_prices(self._raw_prices, self.params.price_decimals)
+
+    @cached_property
+    def stg_ops(self) -> DataFrame:
+        return staged_ops(self._raw_ops)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        p = self.params
+        f = market_features(self.stg_prices, self.stg_ops, p.market, p.balancing_authority,
+                            p.lags, p.lag_mode, p.week_start, p.lag_method)
+        if self.materialise == "persist":
+            return f.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.materialise == "checkpoint":
+            checkpoint_dir(f.sparkSession, fallback=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+            return f.checkpoint(eager=True)
+        return f
+
+    @cached_property
+    def stress(self) -> DataFrame:
+        return market_stress(self.features, self.params.quantiles, self.params.exact_percentiles)
+
+    @cached_property
+    def dashboard(self) -> DataFrame:
+        return dashboard_view(self.stress)
 
 
 def build(raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams = MarketParams(),
@@ -56,19 +85,9 @@ def build(raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams = Mark
     * ``"checkpoint"``: written to the shared ``spark.checkpoint.dir``; cuts the lineage so
       downstream plans start from a small table scan and survive executor loss.
     """
-    stg_prices = hourly_prices(raw_prices, params.price_decimals)
-    stg_ops = staged_ops(raw_ops)
-    features = market_features(stg_prices, stg_ops, params.market, params.balancing_authority,
-                               params.lags, params.lag_mode, params.week_start, params.lag_method)
-    if materialise == "persist":
-        features = features.persist(StorageLevel.MEMORY_AND_DISK)
-    elif materialise == "checkpoint":
-        checkpoint_dir(features.sparkSession, fallback=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-        features = features.checkpoint(eager=True)
-    elif materialise != "none":
+    if materialise not in ("none", "persist", "checkpoint"):
         raise ValueError(f"materialise must be none, persist or checkpoint, got {materialise!r}")
-    stress = market_stress(features, params.quantiles, params.exact_percentiles)
-    return MarketLayers(stg_prices, stg_ops, features, stress, dashboard_view(stress))
+    return MarketLayers(raw_prices, raw_ops, params, materialise)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, params: MarketParams = MarketParams(),
