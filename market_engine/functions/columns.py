@@ -119,3 +119,19 @@ def day_window(ts, start: str, end: str) -> Column:
 def on_date(ts, d: str) -> Column:
     """B-11: ``DATE(ts) = d``."""
     return F.to_date(_c(ts)) == F.lit(d).cast("date")
+
+
+def compact_date(c) -> Column:
+    """H-12: 'YYYY-MM-DD' -> 'YYYYMMDD' (request-window and id formatting)."""
+    return F.regexp_replace(_c(c).cast("string"), "-", "")
+
+
+def request_window(start_date, end_date) -> tuple[Column, Column]:
+    """H-12 / B-10: a day range as the price API's window strings, 00:00 to 23:55 UTC."""
+    return (F.concat(compact_date(start_date), F.lit("T00:00-0000")),
+            F.concat(compact_date(end_date), F.lit("T23:55-0000")))
+
+
+def version_id(prefix: str, ts) -> Column:
+    """H-12: model version id '<prefix>_YYYYMMDD_HHMMSS' from a (job-supplied) NTZ timestamp."""
+    return F.concat(F.lit(prefix + "_"), F.date_format(_c(ts), "yyyyMMdd_HHmmss"))
