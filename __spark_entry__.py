@@ -72,6 +72,11 @@ def q_e01(spark, sf):
     return _stable(L(spark, sf).features, ["lmp_stddev"])
 
 
+@reg("e01_market_features_distributed", f"select * replace ({_r6(['lmp_stddev'])}) from features")
+def q_e01d(spark, sf):
+    return _stable(L(spark, sf, lag_method="join").features, ["lmp_stddev"])
+
+
 @reg("e01_market_features_window", f"select * replace ({_r6(['lmp_stddev'])}) from features")
 def q_e01w(spark, sf):
     return _stable(L(spark, sf, lag_method="window").features, ["lmp_stddev"])
@@ -88,6 +93,26 @@ def q_d02(spark, sf):
     return _stable(ST.hub_thresholds(L(spark, sf).features), _INEXACT)
 
 
+@reg("d02_hub_thresholds_distributed", "select trading_hub, lmp_p95_threshold, lmp_p99_threshold, "
+     + _r6(_INEXACT[1:]) + " from thresholds")
+def q_d02d(spark, sf):
+    return _stable(ST.hub_thresholds(L(spark, sf, lag_method="join").features, method="distributed"), _INEXACT)
+
+
+@reg("b13_market_stress_distributed", f"select * replace ({_r6(_INEXACT)}) from stress")
+def q_b13d(spark, sf):
+    return _stable(L(spark, sf, lag_method="join", threshold_method="distributed").stress, _INEXACT)
+
+
+@reg("e07_rolling_threshold_7d_window", f"""
+select trading_hub, hour_utc, lmp_avg, {O.interp('v', 'len(v)', 0.95)} as rolling_p95_7d from (
+  select trading_hub, hour_utc, lmp_avg, list_sort(list(lmp_avg) over (
+    partition by trading_hub order by hour_utc
+    range between interval 7 days preceding and current row)) as v from features) x""")
+def q_e07w(spark, sf):
+    return ST.rolling_threshold(L(spark, sf).features, days=7, q=0.95, method="window")
+
+
 @reg("d02_hub_thresholds_approx", None)
 def q_d02a(spark, sf):
     return ST.hub_thresholds(L(spark, sf).features, exact=False)

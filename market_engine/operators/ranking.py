@@ -48,3 +48,18 @@ def hash_bucket(h: Column, bits: int = 12) -> Column:
 def hex_bucket(hexstr: Column, chars: int = 3) -> Column:
     """Leading hex characters of a digest string: monotone in the string order, 16**chars buckets."""
     return F.substring(hexstr, 1, chars)
+
+
+def distributed_running_count(df: DataFrame, partition_by: Sequence[str], bucket: Column,
+                              order_by: Sequence[Column | str], weight: str, name: str = "_before") -> DataFrame:
+    """Add ``name`` = sum of ``weight`` over the rows before this one within ``partition_by``
+    (in ``order_by`` order), computed with per-bucket offsets as in ``distributed_row_number``."""
+    keys = list(partition_by)
+    b = df.withColumn("_bkt", bucket)
+    sums = b.groupBy(*keys, "_bkt").agg(F.sum(weight).alias("_w"))
+    w = Window.partitionBy(*keys).orderBy("_bkt") if keys else Window.orderBy("_bkt")
+    offsets = sums.select(*keys, "_bkt", (F.sum("_w").over(w) - F.col("_w")).alias("_off"))
+    joined = b.join(offsets, [*keys, "_bkt"], "inner")
+    local = (Window.partitionBy(*keys, "_bkt").orderBy(*order_by)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return joined.withColumn(name, F.col("_off") + F.sum(weight).over(local) - F.col(weight)).drop("_bkt", "_off")

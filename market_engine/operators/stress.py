@@ -15,13 +15,22 @@ def _qname(q: float) -> str:
 
 
 def hub_thresholds(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99), value: str = "lmp_avg",
-                   key: str = "trading_hub", exact: bool = True, accuracy: int = 10000) -> DataFrame:
+                   key: str = "trading_hub", exact: bool = True, accuracy: int = 10000,
+                   method: str = "aggregate") -> DataFrame:
     """D-2: per-hub percentile thresholds (interpolated, like ``percentile_cont``), mean, stddev.
 
-    All quantiles come from one aggregate buffer per hub (``percentile(x, array(...))``).
-    ``exact=False`` uses the mergeable sketch ``percentile_approx`` whose per-hub state is
-    bounded by ``accuracy`` instead of by the number of distinct values.
+    ``method="aggregate"``: ``percentile(x, array(...))``, one buffer per hub holding its
+    distinct values (partial-aggregated per task, merged per hub).
+    ``method="distributed"``: the same exact values without a per-hub buffer
+    (``exact_percentiles``).
+    ``exact=False``: the mergeable sketch ``percentile_approx``, state bounded by ``accuracy``.
     """
+    stats = features.groupBy(key).agg(F.avg(value).alias("lmp_historical_mean"),
+                                      F.stddev_samp(value).alias("lmp_historical_stddev"))
+    if exact and method == "distributed":
+        q = exact_percentiles(features, quantiles, value, key)
+        return q.join(stats, key).select(key, *[_qname(x) for x in quantiles],
+                                         "lmp_historical_mean", "lmp_historical_stddev")
     qs = F.array(*[F.lit(float(q)) for q in quantiles])
     pct = F.percentile(value, qs) if exact else F.percentile_approx(value, qs, accuracy)
     agg = features.groupBy(key).agg(
@@ -33,6 +42,41 @@ def hub_thresholds(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99
                       "lmp_historical_mean", "lmp_historical_stddev")
 
 
+def exact_percentiles(df: DataFrame, quantiles: Sequence[float], value: str, key: str,
+                      buckets: int = 1024) -> DataFrame:
+    """Exact interpolated percentiles per key with no per-key buffer or sort.
+
+    1. distinct (key, value) with counts: a value repeated a million times is one row;
+    2. rows before each distinct value (running count over ``buckets`` equal-width value
+       ranges per key, ``ranking.distributed_running_count``);
+    3. for each quantile the two order statistics around position (n-1)q are the distinct
+       values whose count range covers floor/ceil of the position; they are interpolated with
+       weights (ceil - pos), (pos - floor) — the same arithmetic as Spark's ``percentile``.
+    """
+    from market_engine.operators.ranking import distributed_running_count
+    v = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+    rng = v.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_c").alias("_n"))
+    v = v.join(rng, key)
+    width = F.try_divide(F.col("_hi") - F.col("_lo"), F.lit(float(buckets)))
+    bkt = F.least(F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_lo"), width)), F.lit(0)), F.lit(buckets - 1))
+    ranked = distributed_running_count(v, [key], bkt, [F.col(value)], "_c", "_before")
+    cols = []
+    for i, q in enumerate(quantiles):
+        pos = (F.col("_n") - 1) * float(q)
+        lo_i, hi_i = F.floor(pos), F.ceil(pos)
+        covers = lambda idx: (F.col("_before") <= idx) & (idx < F.col("_before") + F.col("_c"))
+        cols += [F.max(F.when(covers(lo_i), F.col(value))).alias(f"_lo{i}"),
+                 F.max(F.when(covers(hi_i), F.col(value))).alias(f"_hi{i}"),
+                 F.max(pos).alias(f"_pos{i}")]
+    picked = ranked.groupBy(key).agg(*cols)
+    out = []
+    for i, q in enumerate(quantiles):
+        lo, hi, pos = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_pos{i}")
+        interp = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+        out.append(F.when((F.floor(pos) == F.ceil(pos)) | (lo == hi), lo).otherwise(interp).alias(_qname(q)))
+    return picked.select(key, *out)
+
+
 def spike_flag(lmp: Column, p95: Column) -> Column:
     """B-12: 1 when the hour's price is at or above the hub's p95 (``>=``), else 0; NULL -> 0."""
     return F.when(lmp >= p95, F.lit(1)).otherwise(F.lit(0))
@@ -71,15 +115,36 @@ def classify(features: DataFrame, thresholds: DataFrame) -> DataFrame:
     )
 
 
-def market_stress(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99), exact: bool = True) -> DataFrame:
+def market_stress(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99), exact: bool = True,
+                  method: str = "aggregate") -> DataFrame:
     """D-2 -> C-2 -> B-12/B-13 over the feature table (static thresholds over the full history)."""
-    return classify(features, hub_thresholds(features, quantiles, exact=exact))
+    return classify(features, hub_thresholds(features, quantiles, exact=exact, method=method))
 
 
 def rolling_threshold(features: DataFrame, days: int = 30, q: float = 0.95, value: str = "lmp_avg",
-                      key: str = "trading_hub", order: str = "hour_utc") -> DataFrame:
-    """E-7: time-aware threshold: percentile of the hub's last ``days`` days (RANGE frame, incl. the row)."""
+                      key: str = "trading_hub", order: str = "hour_utc", method: str = "halo") -> DataFrame:
+    """E-7: time-aware threshold: percentile of the hub's last ``days`` days (RANGE frame, incl. the row).
+
+    ``method="halo"``: rows are partitioned by (hub, block of ``days`` days); each row is also
+    copied into the next block when it lies within ``days`` of that block's start, so every
+    frame is complete inside one (hub, block) partition. Work spreads over blocks instead of
+    hubs and each row is copied at most once. ``method="window"``: one window per hub.
+    """
+    out_name = f"rolling_p{round(q * 100):d}_{days}d"
     # RANGE frames with an interval bound are expressed in SQL; the DataFrame API only takes numbers.
-    frame = (f"percentile({value}, {float(q)}) OVER (PARTITION BY {key} ORDER BY {order} "
-             f"RANGE BETWEEN INTERVAL {int(days)} DAYS PRECEDING AND CURRENT ROW)")
-    return features.select(key, order, value, F.expr(frame).alias(f"rolling_p{round(q * 100):d}_{days}d"))
+    def frame(part: str) -> F.Column:
+        return F.expr(f"percentile({value}, {float(q)}) OVER (PARTITION BY {part} ORDER BY {order} "
+                      f"RANGE BETWEEN INTERVAL {int(days)} DAYS PRECEDING AND CURRENT ROW)")
+    if method == "window":
+        return features.select(key, order, value, frame(key).alias(out_name))
+    if method != "halo":
+        raise ValueError(f"method must be 'halo' or 'window', got {method!r}")
+    span = days * 86400
+    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(order))
+    own = F.floor(secs / span)
+    # the next block's frames reach back ``days`` days: rows in the last ``days`` of a block are
+    # exactly the whole block when block length == frame length, so copy every row once
+    rows = features.select(key, order, value, own.alias("_own"))
+    both = rows.select(key, order, value, "_own", F.explode(F.array(F.col("_own"), F.col("_own") + 1)).alias("_blk"))
+    res = both.select(key, order, value, "_own", "_blk", frame(f"{key}, _blk").alias(out_name))
+    return res.filter(F.col("_own") == F.col("_blk")).select(key, order, value, out_name)

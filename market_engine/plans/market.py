@@ -31,7 +31,12 @@ class MarketParams:
     balancing_authority: str = DEFAULT_BA
     lags: Sequence[int] = DEFAULT_LAGS
     lag_mode: str = "rows"
-    lag_method: str = "join"
+    # "auto": the single-shuffle plans (per-hub window, per-hub percentile buffer) only when
+    # the whole raw input has at most ``small_input_rows`` rows (a bound on any hub's hourly
+    # history); beyond it the distributed plans ("join" lags, "distributed" percentiles).
+    lag_method: str = "auto"
+    threshold_method: str = "auto"
+    small_input_rows: int = 2_000_000
     week_start: str = "monday"
     quantiles: Sequence[float] = (0.95, 0.99)
     exact_percentiles: bool = True
@@ -42,23 +47,40 @@ class MarketLayers:
     """Lazy layers: each is built (and the feature table materialised) on first access, so a
     query that needs only staging never pays for the features."""
 
-    def __init__(self, raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams, materialise: str):
+    def __init__(self, raw_prices, raw_ops, params: MarketParams, materialise: str):
+        # raw inputs: DataFrames, or zero-argument callables building them on first use
         self._raw_prices, self._raw_ops = raw_prices, raw_ops
         self.params, self.materialise = params, materialise
 
+    @staticmethod
+    def _get(x) -> DataFrame:
+        return x() if callable(x) else x
+
     @cached_property
     def stg_prices(self) -> DataFrame:
-        return hourly_prices(self._raw_prices, self.params.price_decimals)
+        return hourly_prices(self._get(self._raw_prices), self.params.price_decimals)
 
     @cached_property
     def stg_ops(self) -> DataFrame:
-        return staged_ops(self._raw_ops)
+        return staged_ops(self._get(self._raw_ops))
+
+    @cached_property
+    def small_input(self) -> bool:
+        """Size check for the "auto" strategies: a row count of the raw price input (served
+        from Parquet footers when the input is a plain scan + projection)."""
+        return self._get(self._raw_prices).count() <= self.params.small_input_rows
+
+    def _resolve(self, method: str, small: str, large: str) -> str:
+        if method != "auto":
+            return method
+        return small if self.small_input else large
 
     @cached_property
     def features(self) -> DataFrame:
         p = self.params
+        lag_method = self._resolve(p.lag_method, "window", "join")
         f = market_features(self.stg_prices, self.stg_ops, p.market, p.balancing_authority,
-                            p.lags, p.lag_mode, p.week_start, p.lag_method)
+                            p.lags, p.lag_mode, p.week_start, lag_method)
         if self.materialise == "persist":
             return f.persist(StorageLevel.MEMORY_AND_DISK)
         if self.materialise == "checkpoint":
@@ -68,7 +90,8 @@ class MarketLayers:
 
     @cached_property
     def stress(self) -> DataFrame:
-        return market_stress(self.features, self.params.quantiles, self.params.exact_percentiles)
+        method = self._resolve(self.params.threshold_method, "aggregate", "distributed")
+        return market_stress(self.features, self.params.quantiles, self.params.exact_percentiles, method)
 
     @cached_property
     def dashboard(self) -> DataFrame:
@@ -92,4 +115,5 @@ def build(raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams = Mark
 
 def from_testdata(spark: SparkSession, sf_dir: str, params: MarketParams = MarketParams(),
                   materialise: str = "checkpoint") -> MarketLayers:
-    return build(adapters.lmp_5min(spark, sf_dir), adapters.ops_hourly(spark, sf_dir), params, materialise)
+    return build(lambda: adapters.lmp_5min(spark, sf_dir), lambda: adapters.ops_hourly(spark, sf_dir),
+                 params, materialise)

@@ -16,9 +16,20 @@ from market_engine.operators.hourly import pivot_ops
 LOADED_AT = "2024-02-01 00:00:00"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A-7: scan one table by name."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A-7: scan one table by name.
+
+    The shared test tables are read-only, so the scan (file listing + footer schema) is built
+    once per session and path; DataFrames are immutable plans, so reuse is safe.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def _k() -> F.Column:

@@ -144,3 +144,28 @@ def test_rolling_threshold_brute_force(spark):
     for t, _ in rows:
         win = [v for (u, v) in rows if t - timedelta(days=1) <= u <= t]
         assert got[t] == pytest.approx(float(np.percentile(win, 95)))
+
+
+def test_distributed_percentiles_equal_aggregate(spark):
+    f = market.from_testdata(spark, SF01).features
+    a = ST.hub_thresholds(f)
+    b = ST.hub_thresholds(f, method="distributed")
+    assert a.exceptAll(b).count() == 0 and b.count() == 3
+    # ties, a single row, negative values
+    small = spark.createDataFrame([("A", 1.0), ("A", 1.0), ("A", 1.0), ("A", 5.0), ("B", -2.0),
+                                   ("C", 0.1), ("C", 0.2), ("C", 0.3)], "trading_hub string, lmp_avg double")
+    qs = (0.5, 0.95, 0.99, 0.0, 1.0)
+    x = {r.trading_hub: r for r in ST.hub_thresholds(small, qs).collect()}
+    y = {r.trading_hub: r for r in ST.hub_thresholds(small, qs, method="distributed").collect()}
+    for h in "ABC":
+        for q in qs:
+            n = ST._qname(q)
+            assert getattr(x[h], n) == getattr(y[h], n), (h, q)
+
+
+def test_rolling_halo_equals_window(spark):
+    f = market.from_testdata(spark, SF01).features
+    a = ST.rolling_threshold(f, days=7, q=0.95)
+    b = ST.rolling_threshold(f, days=7, q=0.95, method="window")
+    assert a.count() == b.count() == f.count()
+    assert a.exceptAll(b).count() == 0
