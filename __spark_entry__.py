@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import oracle_sql as O
 from market_engine.constants import NUMERIC_FEATURES, SEVERITIES
-from market_engine.functions import day_window, on_date, round_half_away, stable
+from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
 from market_engine.session import checkpoint_dir, materialise_frame
@@ -544,6 +544,13 @@ def q_e02(spark, sf):
     return _frame(spark, sf).select("hour_utc", "trading_hub", "price_spike_flag", ml.TARGET)
 
 
+@reg("e02_next_hour_target_distributed",
+     f"select hour_utc, trading_hub, price_spike_flag, next_hour_price_spike_flag from {_FRAME}")
+def q_e02d(spark, sf):
+    fr = ml.next_hour_target(L(spark, sf).stress, method="join")
+    return fr.select("hour_utc", "trading_hub", "price_spike_flag", ml.TARGET)
+
+
 @reg("d11_class_counts", f"select next_hour_price_spike_flag, count(*) as n from {_FRAME} group by 1")
 def q_d11(spark, sf):
     return ml.class_counts(_frame(spark, sf))
@@ -572,6 +579,16 @@ def q_e04(spark, sf):
     return ml.stratified_split(_frame(spark, sf)).select("hour_utc", "trading_hub", ml.TARGET, "is_test")
 
 
+@reg("e04_stratified_split_distributed", f"""
+select hour_utc, trading_hub, next_hour_price_spike_flag,
+  row_number() over (partition by next_hour_price_spike_flag order by {_SPLIT_H})
+    <= ceil(count(*) over (partition by next_hour_price_spike_flag) * 0.25e0) as is_test
+from {_FRAME}""")
+def q_e04d(spark, sf):
+    s = ml.stratified_split(ml.next_hour_target(L(spark, sf).stress, method="join"), method="distributed")
+    return s.select("hour_utc", "trading_hub", ml.TARGET, "is_test")
+
+
 @reg("e05_temporal_split", f"""
 select hour_utc, trading_hub, hour_utc >= (
   select hour_utc from (select hour_utc, row_number() over (order by hour_utc) as rn, count(*) over () as n
@@ -704,7 +721,7 @@ select count(*) as rows, min(interval_start) as first_interval, max(interval_sta
 from (select distinct interval_start, trading_hub, market from lmp_5min) d""")
 def q_s02(spark, sf):
     out = _run(SP.dedupe_intervals(adapters.lmp_from_events(_stream_events(spark, sf))), spark)
-    ntz = F.col("interval_start").cast("timestamp_ntz")
+    ntz = instant_to_utc_ntz("interval_start")
     return out.agg(F.count(F.lit(1)).alias("rows"), F.min(ntz).alias("first_interval"),
                    F.max(ntz).alias("last_interval"))
 

@@ -68,6 +68,11 @@ def instant_to_utc_ntz(ltz) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ltz)), _epoch_ntz())
 
 
+def utc_ntz_to_instant(ntz) -> Column:
+    """NTZ holding UTC wall clock -> zoned timestamp of that instant, session-TZ independent."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ntz)))
+
+
 def parse_hour_period(c, fmt: str = "yyyy-MM-dd'T'HH") -> Column:
     """H-10: parse an hourly period string (UTC) into NTZ; unparsable -> NULL."""
     return instant_to_utc_ntz(F.try_to_timestamp(F.concat(_c(c), F.lit("+0000")), F.lit(fmt + "Z")))

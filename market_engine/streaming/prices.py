@@ -1,8 +1,9 @@
 """Incremental ingest and streaming roll-ups.
 
 Event time is NTZ (UTC wall clock) in storage; watermarks need a zoned timestamp, so the
-stream converts to ``timestamp`` under the session zone on the way in and back to NTZ at the
-sink (lossless: same zone both ways).
+stream converts each NTZ value to the instant it denotes in UTC on the way in and back to UTC
+wall clock at the sink. Neither step uses the session time zone, so hour windows are the same
+in any session.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from market_engine.functions import clean_key, exact_avg
+from market_engine.functions import clean_key, exact_avg, instant_to_utc_ntz, utc_ntz_to_instant
 from market_engine.operators.stress import spike_flag, stress_severity
 from market_engine.sinks.tables import replace_partitions
 
@@ -41,7 +42,7 @@ def stream_ingest(spark: SparkSession, source: str, schema, target: str, keys, c
 
 
 def _zoned(df: DataFrame, col: str) -> DataFrame:
-    return df.withColumn(col, F.col(col).cast("timestamp"))
+    return df.withColumn(col, utc_ntz_to_instant(col))
 
 
 def dedupe_intervals(raw: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -64,7 +65,7 @@ def streaming_hourly_prices(raw: DataFrame, delay: str = "2 hours", decimals: in
                 exact_avg("congestion_component", decimals).alias("congestion_component_avg"),
                 exact_avg("loss_component", decimals).alias("loss_component_avg"),
                 F.count(F.lit(1)).alias("interval_count"), F.max("loaded_at").alias("loaded_at"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour_utc"), "trading_hub", "market",
+    return agg.select(instant_to_utc_ntz(F.col("w.start")).alias("hour_utc"), "trading_hub", "market",
                       "lmp_avg", "lmp_min", "lmp_max", "lmp_stddev", "energy_component_avg",
                       "congestion_component_avg", "loss_component_avg", "interval_count", "source_system",
                       "loaded_at")

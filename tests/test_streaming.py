@@ -83,3 +83,16 @@ def test_stream_ingest_is_idempotent(spark, tmp_path_run):
     t = spark.read.parquet(target)
     assert t.count() == 18
     assert t.filter("trading_hub = 'NP15' and load_date = '2024-01-15'").agg(F.max("lmp")).first()[0] == 11.0
+
+
+def test_stream_hours_do_not_depend_on_session_zone(spark, tmp_path_run):
+    land = os.path.join(tmp_path_run, "land")
+    _land(spark, land, [(60 * h + 5 * i, "NP15", 10.0 + h) for h in range(6) for i in range(12)])
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")          # +05:30
+    try:
+        out = SP.run_to_memory(SP.streaming_hourly_prices(spark.readStream.schema(LMP_5MIN).parquet(land)),
+                               "tz_probe", os.path.join(tmp_path_run, "ck"))
+        got = sorted((r.hour_utc, r.interval_count) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [(datetime(2024, 1, 15, h), 12) for h in range(3)]
