@@ -37,8 +37,9 @@ def exact_avg(c, decimals: int = 5) -> Column:
     all-NULL groups give NULL.
     """
     scale = 10 ** decimals
-    units = F.round(_c(c) * scale).cast("bigint")
-    return F.try_divide(F.sum(units).cast("double"), F.count(_c(c)) * float(scale))
+    # NaN / out-of-range values have no integer units: they count as missing, not as errors
+    units = F.round(_c(c) * scale).try_cast("bigint")
+    return F.try_divide(F.sum(units).cast("double"), F.count(units) * float(scale))
 
 
 def round_half_away(c, digits: int = 2) -> Column:
@@ -59,8 +60,9 @@ def ratio(num, den) -> Column:
 
 
 def try_double(c) -> Column:
-    """H-9: numeric parse; unparsable -> NULL."""
-    return _c(c).cast("string").try_cast("double")
+    """H-9: numeric parse; unparsable and NaN -> NULL (missing is SQL NULL, never NaN)."""
+    v = _c(c).cast("string").try_cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def instant_to_utc_ntz(ltz) -> Column:

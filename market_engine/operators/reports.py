@@ -57,15 +57,16 @@ def mart_summary(stress: DataFrame) -> DataFrame:
     )
 
 
-def severity_distribution(stress: DataFrame) -> DataFrame:
-    """D-9 + E-3: hours per severity and share of all hours (1 dp).
+def severity_distribution(stress: DataFrame, ordered: bool = False) -> DataFrame:
+    """D-9 + E-3 (+ F-3 when ``ordered``): hours per severity and share of all hours (1 dp).
 
     The share uses an unpartitioned window over the aggregated rows (at most 4), not the input.
     """
     g = stress.groupBy("stress_severity").agg(F.count(F.lit(1)).alias("hour_count"))
     total = F.sum("hour_count").over(Window.partitionBy())
-    return g.select("stress_severity", "hour_count",
-                    round_half_away(F.col("hour_count") * 100.0 / total, 1).alias("pct_of_total"))
+    out = g.select("stress_severity", "hour_count",
+                   round_half_away(F.col("hour_count") * 100.0 / total, 1).alias("pct_of_total"))
+    return out.orderBy(F.col("hour_count").desc(), "stress_severity") if ordered else out
 
 
 def sample_rows(df: DataFrame, order: Sequence[str], n: int, cols: Sequence[str] | None = None) -> DataFrame:

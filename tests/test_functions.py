@@ -41,3 +41,11 @@ def test_conform_ensure_union_and_hub_map(spark):
     assert [r.n for r in hubs.select(clean.map_hub("h", strict=False).alias("n")).collect()] == ["TH_NP15_GEN-APND", None]
     with pytest.raises(Exception):
         hubs.select(clean.map_hub("h").alias("n")).collect()
+
+
+def test_nan_is_missing_and_exact_avg_guards(spark):
+    df = spark.createDataFrame([("1.5",), ("NaN",), ("x",), ("2.5",)], "v string")
+    vals = [r.v for r in df.select(MF.try_double("v").alias("v")).collect()]
+    assert vals == [1.5, None, None, 2.5]
+    nums = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (1e300,)], "x double")
+    assert nums.agg(MF.exact_avg("x").alias("a")).first().a == 2.0
