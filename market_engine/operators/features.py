@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from market_engine.constants import DEFAULT_BA, DEFAULT_LAGS, DEFAULT_MARKET
 from market_engine.functions import calendar_columns
 from market_engine.operators.ranking import distributed_row_number
+from market_engine.session import materialise_frame
 
 PRICE_COLS = ["lmp_avg", "lmp_min", "lmp_max", "lmp_stddev",
               "energy_component_avg", "congestion_component_avg", "loss_component_avg"]
@@ -39,8 +40,8 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
     """E-1 / C-4: previous values of ``value`` per ``key``.
 
     ``mode="rows"`` (reference semantics): offset by rows; a missing hour shifts every lag.
-      ``method="join"``: exact distributed row numbers (bucketed by day) and one equi join per
-      lag on (key, row - n); no task holds a whole hub. ``method="window"``: ``lag`` over one
+      ``method="join"``: exact distributed row numbers (bucketed by day) and one exploded equi
+      join on (key, row); no task holds a whole hub. The input is materialised once. ``method="window"``: ``lag`` over one
       shared window per hub (one sort, one task per hub; fine for short histories).
     ``mode="time"``: exact ``order - n hours`` via equi self-joins on (key, hour).
     """
@@ -48,6 +49,9 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
         w = Window.partitionBy(key).orderBy(order)
         return df.withColumns({lag_name(n, value): F.lag(value, n).over(w) for n in lags})
     if mode == "rows" and method == "join":
+        # the input is read three times (bucket counts, row numbers, offers); materialise it
+        # once so the upstream roll-up is not recomputed per branch
+        df = materialise_frame(df)
         ranked = distributed_row_number(df, [key], F.to_date(order), [F.col(order)], "_rn")
         # every row offers its value to the rows n positions later: one exploded copy per lag,
         # aggregated on the target index. The aggregate's output is hash-partitioned on

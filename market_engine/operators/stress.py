@@ -54,7 +54,8 @@ def exact_percentiles(df: DataFrame, quantiles: Sequence[float], value: str, key
        weights (ceil - pos), (pos - floor) — the same arithmetic as Spark's ``percentile``.
     """
     from market_engine.operators.ranking import distributed_running_count
-    v = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+    from market_engine.session import materialise_frame
+    v = materialise_frame(df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c")))
     rng = v.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_c").alias("_n"))
     v = v.join(rng, key)
     width = F.try_divide(F.col("_hi") - F.col("_lo"), F.lit(float(buckets)))
@@ -93,10 +94,12 @@ def stress_severity(lmp: Column, p95: Column, p99: Column, mean: Column, stddev:
 def attach_thresholds(features: DataFrame, thresholds: DataFrame, key: str = "trading_hub") -> DataFrame:
     """C-2: features LEFT JOIN thresholds on the hub.
 
-    The threshold side has one row per hub; AQE turns this into a broadcast join once the
-    aggregate's real size is known, and falls back to a shuffle join beyond the threshold.
+    The threshold side is an aggregate keyed by hub: one row per hub, a bound set by the hub
+    dimension (a few to thousands of rows of five numbers), not by the length of the history.
+    It is broadcast, so the feature table is joined where it lies, without a shuffle (left to
+    AQE, the hub shuffle of the features would already have run before AQE saw the real size).
     """
-    return features.join(thresholds, key, "left")
+    return features.join(F.broadcast(thresholds), key, "left")
 
 
 def classify(features: DataFrame, thresholds: DataFrame) -> DataFrame:
