@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOAD_DATE = "load_date"
@@ -26,10 +27,14 @@ def replace_partitions(df: DataFrame, target: str, keys: Sequence[str], mode: st
     An empty batch is refused (a failed extract must not wipe good data). ``mode="all"``
     replaces the whole table. Returns the number of rows written.
     """
-    if df.isEmpty():
+    # one pass computes the batch; the count (row total, empty-batch guard) and the write both
+    # read the persisted rows. (Not ``observe``: it leaves a non-serialisable field on the
+    # session that breaks later tasks carrying fitted ML models.)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = out.count()
+    if n == 0:
+        out.unpersist()
         raise ValueError(f"refusing to replace partitions of {target} with an empty batch")
-    obs = Observation("replace")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     overwrite = "dynamic" if mode == "partitions" else "static"
     if "/" in target:
         (out.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
@@ -46,7 +51,8 @@ def replace_partitions(df: DataFrame, target: str, keys: Sequence[str], mode: st
                 spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         else:
             out.write.mode("overwrite").partitionBy(*keys).format("parquet").saveAsTable(target)
-    return int(obs.get["rows"])
+    out.unpersist()
+    return n
 
 
 def append_to(df: DataFrame, table: str) -> int:
@@ -54,10 +60,12 @@ def append_to(df: DataFrame, table: str) -> int:
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist; create it first")
-    obs = Observation("append")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.select(*spark.table(table).columns).write.insertInto(table)
-    return int(obs.get["rows"] or 0)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = out.count()
+    if n:
+        out.select(*spark.table(table).columns).write.insertInto(table)
+    out.unpersist()
+    return n
 
 
 LAYERS = ("staging", "intermediate", "mart", "ml", "raw")

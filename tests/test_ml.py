@@ -121,3 +121,14 @@ def test_logreg_matches_weighted_l2_objective(spark):
                             elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-10).fit(df)
     assert np.allclose(lr.coefficients.toArray(), beta[:2], atol=1e-5)
     assert lr.intercept == pytest.approx(beta[2], abs=1e-5)
+
+
+def test_forecast_model_and_gbt(spark, stress):
+    fr = ml.next_hour_target(stress)
+    model, va = ml.forecast_model(fr, ["lmp_lag_1h", "lmp_lag_24h", "hour_of_day"])
+    assert len(model.coefficients) == 3 and model.summary.r2 <= 1.0
+    ff = ml.build_features(stress)
+    s = ml.stratified_split(ff.df)
+    m = ml.train_classifier(s.filter("not is_test"), ff.numeric, ff.categorical, kind="gbt")
+    r = ml.binary_metrics(ml.score(m, s.filter("is_test"))).first()
+    assert 0.0 <= r.accuracy <= 1.0 and r.n == s.filter("is_test").count()

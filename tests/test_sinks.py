@@ -54,3 +54,23 @@ def test_append_and_materialise_and_audit(spark):
     a = {r.table_name: r for r in S.table_audit(spark, {name: "interval_start", "mart.nope": None}).collect()}
     assert a[name].exists and a[name].row_count == 6 and a[name].first_time.hour == 0
     assert not a["mart.nope"].exists and a["mart.nope"].row_count == 0
+
+
+def test_ops_day_ba_and_model_version_replace(spark, tmp_path_run):
+    from conftest import ops_rows
+    target = os.path.join(tmp_path_run, "ops")
+    keys = ["load_date", "balancing_authority"]
+    day = lambda rows: S.with_load_date(ops_rows(spark, rows), "period")
+    S.replace_partitions(day([(h, "CISO", 1.0, 1.0, 1.0, 1.0) for h in range(24)] +
+                             [(h, "MISO", 2.0, 2.0, 2.0, 2.0) for h in range(24)]), target, keys)
+    S.replace_partitions(day([(h, "CISO", 3.0, 3.0, 3.0, 3.0) for h in range(24)]), target, keys)   # CISO rerun
+    got = {r.balancing_authority: (r.n, r.d) for r in spark.read.parquet(target).groupBy("balancing_authority")
+           .agg(F.count(F.lit(1)).alias("n"), F.max("demand_mwh").alias("d")).collect()}
+    assert got == {"CISO": (24, 3.0), "MISO": (24, 2.0)}
+    ml_t = os.path.join(tmp_path_run, "metrics")
+    m = lambda v, a: spark.createDataFrame([(v, a)], "model_version string, accuracy double")
+    S.replace_partitions(m("v1", 0.5), ml_t, ["model_version"])
+    S.replace_partitions(m("v2", 0.6), ml_t, ["model_version"])
+    S.replace_partitions(m("v1", 0.7), ml_t, ["model_version"])
+    got = {r.model_version: r.accuracy for r in spark.read.parquet(ml_t).collect()}
+    assert got == {"v1": 0.7, "v2": 0.6}
