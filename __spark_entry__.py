@@ -20,7 +20,7 @@ from market_engine.constants import NUMERIC_FEATURES, SEVERITIES
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
-from market_engine.session import checkpoint_dir, materialise_frame
+from market_engine.session import checkpoint_dir, local_fallback, materialise_frame
 from market_engine.streaming import prices as SP
 from market_engine.sources import adapters, tables
 
@@ -696,9 +696,8 @@ def _stream_events(spark, sf):
 
 
 def _stream_ck(spark) -> str:
-    import tempfile
     import uuid
-    base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    base = checkpoint_dir(spark, local_fallback)
     return f"{base.rstrip('/')}/streams/{uuid.uuid4().hex}"
 
 

@@ -9,7 +9,6 @@ aggregate and the join back; inside one plan Spark reuses the shared exchanges,
 from __future__ import annotations
 
 from collections.abc import Sequence
-import tempfile
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -21,7 +20,7 @@ from market_engine.operators.dashboard import dashboard_view
 from market_engine.operators.features import market_features
 from market_engine.operators.hourly import hourly_prices, staged_ops
 from market_engine.operators.stress import market_stress
-from market_engine.session import checkpoint_dir
+from market_engine.session import checkpoint_dir, local_fallback
 from market_engine.sources import adapters
 
 
@@ -84,7 +83,7 @@ class MarketLayers:
         if self.materialise == "persist":
             return f.persist(StorageLevel.MEMORY_AND_DISK)
         if self.materialise == "checkpoint":
-            checkpoint_dir(f.sparkSession, fallback=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+            checkpoint_dir(f.sparkSession, fallback=local_fallback)
             return f.checkpoint(eager=True)
         return f
 

@@ -36,15 +36,23 @@ def get_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+def local_fallback() -> str:
+    """A fresh scratch folder for runs without a cluster checkpoint setting (tests, local)."""
+    import tempfile
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def checkpoint_dir(spark: SparkSession, fallback=None) -> str | None:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    The cluster setting always wins; ``fallback`` is applied only when the setting is
-    absent (tests and local runs). Returns the folder in use, or None.
+    The cluster setting always wins; ``fallback`` (a path, or a callable returning one) is
+    applied only when the setting is absent (tests and local runs). Returns the folder in use.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if callable(fallback):
+        fallback = fallback()
     if fallback:
         spark.conf.set("spark.checkpoint.dir", fallback)
         spark.sparkContext.setCheckpointDir(fallback)

@@ -184,3 +184,19 @@ def test_pages_round_trip_at_volume(spark, tmp_path_run):
     ref = adapters.ops_hourly(spark, SF001)
     assert ops.count() == ref.count()
     assert ops.exceptAll(ref).count() == 0
+
+
+def test_mixed_header_csv_landing(spark, tmp_path_run):
+    """A-2: files with different header variants are resolved per file (binaryFile path)."""
+    d = os.path.join(tmp_path_run, "mixed", "trading_hub=SP15")
+    os.makedirs(d)
+    s, e = _iv(0)
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write(f"STARTTIME,ENDTIME,DATA_ITEM,VALUE\n{s},{e},LMP,20\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write(f" mw ,lmp_type,interval_end_gmt,interval_start_gmt\n0.5,MCC,{e},{s}\n")
+    prices, bad = PR.read_price_archives(spark, os.path.join(tmp_path_run, "mixed"), kind="csv",
+                                         loaded_at="2024-02-01 00:00:00")
+    r = prices.collect()
+    assert bad.count() == 0 and len(r) == 1
+    assert r[0].lmp == 20.0 and r[0].congestion_component == 0.5 and r[0].trading_hub == "SP15"
