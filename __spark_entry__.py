@@ -536,7 +536,8 @@ _SQL_NUM = {c: (f"cast({c} as double)" if c == "is_weekend" else c) for c in _FR
 
 
 def _frame(spark, sf):
-    return ml.next_hour_target(L(spark, sf).stress)
+    lay = L(spark, sf)
+    return ml.next_hour_target(lay.stress, method=lay.row_method)
 
 
 @reg("e02_next_hour_target", f"select hour_utc, trading_hub, price_spike_flag, next_hour_price_spike_flag from {_FRAME}")
@@ -576,7 +577,9 @@ select hour_utc, trading_hub, next_hour_price_spike_flag,
     <= ceil(count(*) over (partition by next_hour_price_spike_flag) * 0.25e0) as is_test
 from {_FRAME}""")
 def q_e04(spark, sf):
-    return ml.stratified_split(_frame(spark, sf)).select("hour_utc", "trading_hub", ml.TARGET, "is_test")
+    lay = L(spark, sf)
+    fr = ml.next_hour_target(lay.stress, method=lay.row_method)
+    return ml.stratified_split(fr, method=lay.split_method).select("hour_utc", "trading_hub", ml.TARGET, "is_test")
 
 
 @reg("e04_stratified_split_distributed", f"""
@@ -656,8 +659,9 @@ def q_m16(spark, sf):
 
 # =============================================================== model (rows-only checks)
 def _trained(spark, sf, kind="logreg"):
-    ff = ml.build_features(L(spark, sf).stress)
-    split = materialise_frame(ml.stratified_split(ff.df))
+    lay = L(spark, sf)
+    ff = ml.build_features(lay.stress, target_method=lay.row_method)
+    split = materialise_frame(ml.stratified_split(ff.df, method=lay.split_method))
     train, test = split.filter("not is_test"), split.filter("is_test")
     model = ml.train_classifier(train, ff.numeric, ff.categorical, kind=kind)
     return ff, train, test, model

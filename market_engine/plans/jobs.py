@@ -68,10 +68,15 @@ def build_marts(spark: SparkSession, raw_prices: str, raw_ops: str,
 
 
 def train_and_publish(stress: DataFrame, model_version: str, predictions_path: str, metrics_path: str,
-                      trained_at: str | None = None, kind: str = "logreg", split: str = "stratified"):
-    """Entry 3: features -> split -> fit -> score -> predictions + metrics for ``model_version``."""
-    ff = ml.build_features(stress)
-    s = ml.stratified_split(ff.df) if split == "stratified" else ml.temporal_split(ff.df)
+                      trained_at: str | None = None, kind: str = "logreg", split: str = "stratified",
+                      small_input: bool = False):
+    """Entry 3: features -> split -> fit -> score -> predictions + metrics for ``model_version``.
+
+    ``small_input`` is the mart's size check (``MarketLayers.small_input``): it selects the
+    single-window orderings; by default the distributed ones are used."""
+    ff = ml.build_features(stress, target_method="window" if small_input else "join")
+    s = (ml.stratified_split(ff.df, method="window" if small_input else "distributed") if split == "stratified"
+         else ml.temporal_split(ff.df))
     s = materialise_frame(s)
     train, test = s.filter("not is_test"), s.filter("is_test")
     model = ml.train_classifier(train, ff.numeric, ff.categorical, kind=kind)

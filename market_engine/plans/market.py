@@ -69,6 +69,16 @@ class MarketLayers:
         from Parquet footers when the input is a plain scan + projection)."""
         return self._get(self._raw_prices).count() <= self.params.small_input_rows
 
+    @property
+    def row_method(self) -> str:
+        """Ordering strategy for per-hub row offsets downstream (next-hour target): "window" or "join"."""
+        return self._resolve(self.params.lag_method, "window", "join")
+
+    @property
+    def split_method(self) -> str:
+        """Strategy for the per-class split ordering: "window" or "distributed"."""
+        return "window" if self.row_method == "window" else "distributed"
+
     def _resolve(self, method: str, small: str, large: str) -> str:
         if method != "auto":
             return method

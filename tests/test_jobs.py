@@ -44,6 +44,7 @@ def test_daily_lifecycle(spark, tmp_path_run):
     ref = adapters.ops_hourly(spark, SF001)
     assert spark.read.parquet(ro).select(*ref.columns).exceptAll(ref).count() == 0   # partition cols move last
     preds, mets = os.path.join(tmp_path_run, "preds"), os.path.join(tmp_path_run, "metrics")
-    model, n = jobs.train_and_publish(lay.stress, "v_test", preds, mets, trained_at="2024-02-01 00:00:00")
+    model, n = jobs.train_and_publish(lay.stress, "v_test", preds, mets, trained_at="2024-02-01 00:00:00",
+                                      small_input=lay.small_input)
     assert spark.read.parquet(preds).count() == n > 0
     assert spark.read.parquet(mets).first().model_version == "v_test"
