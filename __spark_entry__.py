@@ -687,6 +687,13 @@ def q_m17(spark, sf):
     return ml.binary_metrics(ml.score(model, test))
 
 
+@reg("m13_feature_importance", None)
+def q_m13(spark, sf):
+    from market_engine.operators import ml_outputs
+    ff, train, test, model = _trained(spark, sf)
+    return ml_outputs.feature_importance(model, test)
+
+
 @reg("r14_probability_by_hour", None)
 def q_r14(spark, sf):
     ff, train, test, model = _trained(spark, sf)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from market_engine.operators import ml
 from market_engine.schemas import MODEL_METRICS, PREDICTIONS
+from market_engine.session import materialise_frame
 
 
 def _at(ts: str | None):
@@ -63,23 +64,26 @@ def save_run(spark: SparkSession, model: ml.TrainedModel, metrics: DataFrame, pa
 
 def feature_importance(model: ml.TrainedModel, test: DataFrame, features: Sequence[str] | None = None,
                        seed: int = 7) -> DataFrame:
-    """M-13: AUC drop when one feature's values are permuted across test rows.
+    """M-13: AUC drop when one feature's values are permuted across test rows; one job.
 
-    The permutation pairs each row with the row holding the same rank under a second hash
-    order (distributed row numbers + equi join), so no data moves through the driver.
+    Each test row is paired with a donor row (the row holding the same rank under a second hash
+    order: distributed row numbers + one equi join). Every feature gets its own copy of the test
+    set in which only that feature takes the donor's value (one ``explode``, no union), the
+    copies are scored together and one AUC per feature comes from a grouped AUC.
     """
     from market_engine.operators.ranking import distributed_row_number, hex_bucket
-    base = ml.roc_auc(ml.score(model, test)).select("roc_auc").first()[0]
     feats = list(features or model.numeric)
     keyed = distributed_row_number(test.withColumn("_h1", ml.split_hash(seed)), [], hex_bucket(F.col("_h1")),
                                    [F.col("_h1")], "_r1", broadcast_offsets=True)
     keyed = distributed_row_number(keyed.withColumn("_h2", ml.split_hash(seed + 1)), [], hex_bucket(F.col("_h2")),
                                    [F.col("_h2")], "_r2", broadcast_offsets=True)
-    rows = []
-    for f in feats:
-        donor = keyed.select(F.col("_r2").alias("_r1"), F.col(f).alias("_perm"))
-        perm = keyed.join(donor, "_r1").withColumn(f, F.col("_perm")).drop("_perm", "_h1", "_h2", "_r1", "_r2")
-        auc = ml.roc_auc(ml.score(model, perm)).select("roc_auc").first()[0]
-        rows.append((f, base, auc, None if (base is None or auc is None) else base - auc))
-    spark = test.sparkSession
-    return spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double, importance double")
+    keyed = materialise_frame(keyed)                 # read by both sides of the pairing join
+    donor = keyed.select(F.col("_r2").alias("_r1"), *[F.col(f).alias(f"_d_{f}") for f in feats])
+    paired = keyed.join(donor, "_r1").withColumn("feature", F.explode(F.array(*[F.lit(f) for f in feats])))
+    permuted = paired.withColumns({f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f))
+                                   for f in feats})
+    permuted = permuted.drop("_h1", "_h2", "_r1", "_r2", *[f"_d_{f}" for f in feats])
+    base = ml.roc_auc(ml.score(model, test)).select("roc_auc").scalar()
+    per = ml.roc_auc(ml.score(model, permuted), by=["feature"])
+    return per.select("feature", base.alias("base_auc"), F.col("roc_auc").alias("permuted_auc"),
+                      (base - F.col("roc_auc")).alias("importance"))

@@ -1,7 +1,7 @@
 import __spark_entry__ as E
 
-ROWS_ONLY = {"d02_hub_thresholds_approx", "m10_predictions", "m11_model_metrics", "m17_random_forest_metrics",
-             "r14_probability_by_hour"}
+ROWS_ONLY = {"d02_hub_thresholds_approx", "m10_predictions", "m11_model_metrics", "m13_feature_importance",
+             "m17_random_forest_metrics", "r14_probability_by_hour"}
 
 
 def test_entry_smoke(spark):

@@ -132,3 +132,11 @@ def test_forecast_model_and_gbt(spark, stress):
     m = ml.train_classifier(s.filter("not is_test"), ff.numeric, ff.categorical, kind="gbt")
     r = ml.binary_metrics(ml.score(m, s.filter("is_test"))).first()
     assert 0.0 <= r.accuracy <= 1.0 and r.n == s.filter("is_test").count()
+
+
+def test_grouped_auc_equals_per_group(spark, stress):
+    fr = ml.next_hour_target(stress)
+    g = {r.trading_hub: r.roc_auc for r in ml.roc_auc(fr, score_col="lmp_avg", by=["trading_hub"]).collect()}
+    for hub, auc in g.items():
+        one = ml.roc_auc(fr.filter(F.col("trading_hub") == hub), score_col="lmp_avg").first().roc_auc
+        assert auc == pytest.approx(one, abs=1e-12)
