@@ -557,6 +557,26 @@ def q_d11(spark, sf):
     return ml.class_counts(_frame(spark, sf))
 
 
+@reg("b17_violation_rows", f"select * replace ({_r6(_INEXACT)}) from stress where demand_mwh is null")
+def q_b17(spark, sf):
+    return _stable(clean.violations(L(spark, sf).stress, F.col("demand_mwh").isNull()), _INEXACT)
+
+
+def _imputed_sql() -> str:
+    med = ", ".join(f"list_sort(list({e}) filter (where {e} is not null)) as {c}__v" for c, e in _SQL_NUM.items())
+    fill = {c: f"coalesce({e}, {O.interp(f'm.{c}__v', f'len(m.{c}__v)', 0.5)})" for c, e in _SQL_NUM.items()}
+    fill["lmp_stddev"] = O.r(fill["lmp_stddev"], 6)        # float stddev: reported at 6 dp
+    cols = ", ".join(f"{x} as {c}" for c, x in fill.items())
+    return (f"select fr.hour_utc, {cols}, coalesce(fr.trading_hub, 'UNKNOWN') as trading_hub, "
+            f"fr.next_hour_price_spike_flag from {_FRAME} join (select {med} from {_FRAME}) m on true")
+
+
+@reg("m04_imputed_frame", _imputed_sql())
+def q_m04(spark, sf):
+    lay = L(spark, sf)
+    return _stable(ml.build_features(lay.stress, target_method=lay.row_method).df, ["lmp_stddev"])
+
+
 @reg("d12_all_null_columns", "select " + ", ".join(f"count({c}) as {c}" for c in _FRAME_NUM) + f" from {_FRAME}")
 def q_d12(spark, sf):
     return ml.all_null_columns(_frame(spark, sf), _FRAME_NUM)
