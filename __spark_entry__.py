@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_sql as O
-from market_engine.constants import NUMERIC_FEATURES, SEVERITIES
+from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, SEVERITIES
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
@@ -691,14 +691,14 @@ def _trained(spark, sf, kind="logreg"):
 def q_m10(spark, sf):
     from market_engine.operators import ml_outputs
     ff, train, test, model = _trained(spark, sf)
-    return ml_outputs.predictions(ml.score(model, test), "price_spike_logreg_r1")
+    return ml_outputs.predictions(ml.score(model, test), f"{MODEL_VERSION_PREFIX}_r1")
 
 
 @reg("m11_model_metrics", None)
 def q_m11(spark, sf):
     from market_engine.operators import ml_outputs
     ff, train, test, model = _trained(spark, sf)
-    return ml_outputs.model_metrics(ml.score(model, test), train, "price_spike_logreg_r1")
+    return ml_outputs.model_metrics(ml.score(model, test), train, f"{MODEL_VERSION_PREFIX}_r1")
 
 
 @reg("m17_random_forest_metrics", None)

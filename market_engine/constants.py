@@ -29,4 +29,8 @@ NUMERIC_FEATURES = [
 CATEGORICAL_FEATURES = ["trading_hub"]
 MIN_TRAINING_ROWS = 50
 MAX_ITER = 1000
+# lineage values stamped on loaded rows, and the model version prefix
+PRICES_SOURCE_SYSTEM = "caiso_oasis"
+OPS_SOURCE_SYSTEM = "eia_api"
+MODEL_VERSION_PREFIX = "price_spike_logreg"
 # ---------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from market_engine.constants import OPS_SOURCE_SYSTEM, PRICES_SOURCE_SYSTEM
 from market_engine.operators import ml, ml_outputs, quality
 from market_engine.plans import market
 from market_engine.session import materialise_frame
@@ -27,7 +28,7 @@ class IngestResult:
 
 
 def ingest_prices(spark: SparkSession, landing: str, raw_path: str, kind: str = "zip", market_name: str = "RTM",
-                  source_system: str = "caiso_oasis", loaded_at: str | None = None) -> IngestResult:
+                  source_system: str = PRICES_SOURCE_SYSTEM, loaded_at: str | None = None) -> IngestResult:
     """Entry 1 (prices): landed archives -> raw.lmp_5min, replacing the (day, hub) partitions present."""
     prices, bad = read_price_archives(spark, landing, kind, market=market_name, source_system=source_system,
                                       loaded_at=loaded_at)
@@ -35,7 +36,7 @@ def ingest_prices(spark: SparkSession, landing: str, raw_path: str, kind: str =
     return IngestResult(n, bad)
 
 
-def ingest_ops(spark: SparkSession, landing: str, raw_path: str, source_system: str = "eia_api",
+def ingest_ops(spark: SparkSession, landing: str, raw_path: str, source_system: str = OPS_SOURCE_SYSTEM,
                loaded_at: str | None = None) -> IngestResult:
     """Entry 1 (operations): landed pages -> raw.ops_hourly, replacing (day, authority) partitions."""
     ops, bad, totals = ops_from_pages(spark, landing, source_system, loaded_at)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from market_engine.constants import OPS_SOURCE_SYSTEM
 from market_engine.functions import parse_hour_period
 from market_engine.operators.hourly import pivot_ops
 from market_engine.schemas import OPS_PAGE
@@ -54,7 +55,7 @@ def check_page_totals(good: DataFrame) -> DataFrame:
     return g.withColumn("complete", F.col("reported_total") == F.col("received_rows"))
 
 
-def ops_from_pages(spark: SparkSession, path: str, source_system: str = "eia_api",
+def ops_from_pages(spark: SparkSession, path: str, source_system: str = OPS_SOURCE_SYSTEM,
                    loaded_at: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages -> raw.ops_hourly rows (D-4 keyed on period and respondent), error pages, totals check."""
     pages = read_pages(spark, path)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from market_engine.constants import HUB_NODES, PRICE_CSV_CANDIDATES, PRICE_ITEMS
+from market_engine.constants import HUB_NODES, PRICE_CSV_CANDIDATES, PRICE_ITEMS, PRICES_SOURCE_SYSTEM
 from market_engine.functions import parse_iso_utc
 from market_engine.operators.hourly import pivot_prices
 
@@ -136,7 +136,7 @@ def _hub_column(long: DataFrame, hub: str | None) -> F.Column:
     return inverse[F.col("node")]
 
 
-def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = "caiso_oasis",
+def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = PRICES_SOURCE_SYSTEM,
                      loaded_at: str | None = None, hub: str | None = None) -> DataFrame:
     """D-3 on decoded rows + B-2 missing items as NULL + H-10 timestamp parsing + A-21 stamps.
 
