@@ -43,7 +43,9 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
       ``method="join"``: exact distributed row numbers (bucketed by day) and one exploded equi
       join on (key, row); no task holds a whole hub. The input is materialised once. ``method="window"``: ``lag`` over one
       shared window per hub (one sort, one task per hub; fine for short histories).
-    ``mode="time"``: exact ``order - n hours`` via equi self-joins on (key, hour).
+    ``mode="time"``: exact ``order - n hours`` via one exploded equi join on (key, hour). Should
+    an hour hold several rows (two source systems, T5), its largest value is taken instead of
+    multiplying the target rows.
     """
     if mode == "rows" and method == "window":
         w = Window.partitionBy(key).orderBy(order)
@@ -63,14 +65,15 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
         out = ranked.join(lagged, [key, "_rn"], "left")
         return out.select(*df.columns, *[lag_name(n, value) for n in lags])
     if mode == "time":
-        out = df
-        for n in lags:
-            shifted = df.select(
-                key,
-                F.timestamp_add("HOUR", F.lit(n), F.col(order)).alias(order),
-                F.col(value).alias(lag_name(n, value)),
-            )
-            out = out.join(shifted, [key, order], "left")
+        # each hour offers its value to the hours n later; aggregated on (key, target hour), whose
+        # hash partitioning is what the join back needs. The input is read twice: materialise it.
+        df = materialise_frame(df)
+        offers = df.select(key, F.col(value).alias("_v"), F.explode(F.array(
+            *[F.struct(F.timestamp_add("HOUR", F.lit(n), F.col(order)).alias("_t"), F.lit(n).alias("_n"))
+              for n in lags])).alias("_o"))
+        lagged = offers.groupBy(key, F.col("_o._t").alias(order)).agg(
+            *[F.max(F.when(F.col("_o._n") == n, F.col("_v"))).alias(lag_name(n, value)) for n in lags])
+        out = df.join(lagged, [key, order], "left")
         return out.select(*df.columns, *[lag_name(n, value) for n in lags])
     raise ValueError(f"unsupported lag mode/method {mode!r}/{method!r}")
 
