@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # long-running drivers (streams, many small jobs): bound the retained job / plan history
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 
