@@ -49,3 +49,33 @@ def test_nan_is_missing_and_exact_avg_guards(spark):
     assert vals == [1.5, None, None, 2.5]
     nums = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (1e300,)], "x double")
     assert nums.agg(MF.exact_avg("x").alias("a")).first().a == 2.0
+
+
+def test_exact_avg_is_the_correctly_rounded_mean(spark):
+    import random
+    from fractions import Fraction
+    rng = random.Random(11)
+    rows = [(g, round(rng.uniform(-500, 2000), rng.choice([0, 2, 5]))) for g in range(40) for _ in range(rng.randint(1, 30))]
+    df = spark.createDataFrame(rows, "g int, x double")
+    want = {}
+    for g, x in rows:
+        want.setdefault(g, []).append(Fraction(round(x * 10 ** 5), 10 ** 5))
+    want = {g: float(sum(v) / len(v)) for g, v in want.items()}        # exact mean, rounded once
+    for parts in (1, 7):
+        got = {r.g: r.a for r in df.repartition(parts).groupBy("g").agg(MF.exact_avg("x").alias("a")).collect()}
+        assert got == want
+
+
+def test_round_half_away_matches_decimal_on_binary_values(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+    rng = random.Random(5)
+    xs = [rng.uniform(-1000, 1000) for _ in range(2000)] + [2.5, -2.5, 0.125, -0.125, 1.005]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r.r for r in df.select(MF.round_half_away("x", 2).alias("r")).collect()]
+    for x, r in zip(xs, got):
+        scaled = abs(x) * 100 + 0.5                      # the documented rule, in binary arithmetic
+        ref = (1 if x > 0 else -1 if x < 0 else 0) * float(int(scaled // 1)) / 100
+        assert r == ref
+        # and within one unit of the last place of decimal half-up rounding of the printed value
+        assert abs(r - float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))) <= 0.0100001
