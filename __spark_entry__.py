@@ -10,8 +10,16 @@ neither needs rounding.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# the package and the oracle module live next to this file; make them importable however the
+# driver loads it (by path, from another working directory)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
