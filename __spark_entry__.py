@@ -185,6 +185,21 @@ def q_a15(spark, sf):
                  F.min("interval_start").alias("first_second"), F.max("interval_start").alias("last_second"))
 
 
+@reg("a20_table_audit", """
+select 'staging_stg_lmp_hourly' as table_name, true as table_exists, count(*) as row_count,
+  min(hour_utc) as first_time, max(hour_utc) as last_time, max(loaded_at) as last_loaded_at from stg_lmp
+union all
+select 'staging_stg_ops_hourly', true, count(*), min(hour_utc), max(hour_utc), max(loaded_at) from stg_ops
+union all
+select 'staging_not_loaded', false, 0, null, null, null""")
+def q_a20(spark, sf):
+    from market_engine.sinks import tables as SK
+    lay = L(spark, sf)
+    v1 = SK.materialise(lay.stg_prices, "staging", "stg_lmp_hourly")      # A-18: staging layer = view
+    v2 = SK.materialise(lay.stg_ops, "staging", "stg_ops_hourly")
+    return SK.table_audit(spark, {v1: "hour_utc", v2: "hour_utc", "staging_not_loaded": None})
+
+
 # =============================================================== validation worksheet
 @reg("d05_row_count_raw_prices", "select count(*) as total_rows from lmp_5min")
 def q_d05a(spark, sf):

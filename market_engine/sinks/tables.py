@@ -104,13 +104,13 @@ def table_audit(spark: SparkSession, expected: dict[str, str | None], loaded_col
         if not spark.catalog.tableExists(name):
             rows.append(spark.createDataFrame(
                 [(name, False, 0, None, None, None)],
-                "table_name string, exists boolean, row_count bigint, first_time timestamp_ntz, "
+                "table_name string, table_exists boolean, row_count bigint, first_time timestamp_ntz, "
                 "last_time timestamp_ntz, last_loaded_at timestamp_ntz"))
             continue
         t = spark.table(name)
         tcol = F.col(ts).cast("timestamp_ntz") if ts else F.lit(None).cast("timestamp_ntz")
         lcol = F.col(loaded_col).cast("timestamp_ntz") if loaded_col in t.columns else F.lit(None).cast("timestamp_ntz")
-        rows.append(t.agg(F.lit(name).alias("table_name"), F.lit(True).alias("exists"),
+        rows.append(t.agg(F.lit(name).alias("table_name"), F.lit(True).alias("table_exists"),
                           F.count(F.lit(1)).alias("row_count"), F.min(tcol).alias("first_time"),
                           F.max(tcol).alias("last_time"), F.max(lcol).alias("last_loaded_at")))
     out = rows[0]

@@ -52,8 +52,8 @@ def test_append_and_materialise_and_audit(spark):
     with pytest.raises(ValueError):
         S.append_to(df, "mart.does_not_exist")
     a = {r.table_name: r for r in S.table_audit(spark, {name: "interval_start", "mart.nope": None}).collect()}
-    assert a[name].exists and a[name].row_count == 6 and a[name].first_time.hour == 0
-    assert not a["mart.nope"].exists and a["mart.nope"].row_count == 0
+    assert a[name].table_exists and a[name].row_count == 6 and a[name].first_time.hour == 0
+    assert not a["mart.nope"].table_exists and a["mart.nope"].row_count == 0
 
 
 def test_ops_day_ba_and_model_version_replace(spark, tmp_path_run):
