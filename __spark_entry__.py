@@ -820,6 +820,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_b13(spark, SF_SMOKE)
 
 
+# the training-data queries are optional: without their folder everything else works
+try:
+    import market_engine.llm  # noqa: F401
+    _HAS_LLM = True
+except ImportError:
+    _HAS_LLM = False
+if _HAS_LLM:
+    from market_engine.llm.queries import QUERIES as _LLM
+    _Q.update(_LLM)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in _Q.items()}
 
