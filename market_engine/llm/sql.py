@@ -32,3 +32,116 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     and not (n_words >= 50 and n_stop / n_words < 0.01)
     and not (n_lines > 0 and n_dup_lines / n_lines > 0.5) as kept
 from b"""
+
+
+def _level(groups: str, n: str, k: str, mean: str) -> str:
+    """Moment estimate of a prior's pages, as ``url_reputation._strength``."""
+    return f"""
+  select greatest(2.0, least(1000.0, case when rho > 0 then (1 - rho) / rho else 1000.0 end)) as m from (
+    select case when v > 0 and free > 0 then (s - v * (g - 1)) / (v * free) end as rho from (
+      select s, g, k / n * (1 - k / n) as v, n - n2 / n - (g - 1) as free from (
+        select sum({n} * ({k} / {n} - {mean}) * ({k} / {n} - {mean})) as s, sum({n})::double as n, sum({n} * {n})::double as n2,
+          count(*)::double as g, sum({k})::double as k from {groups} where {n} > 0)))"""
+
+
+OP2 = rf"""
+with lab as (
+  select doc_id, max(case when coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1 then 1 else 0 end) as bad
+  from labels where doc_id is not null group by doc_id),
+p as (
+  select page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path from pages),
+h as (
+  select host, array_to_string(string_split(host, '.')[-2:], '.') as domain, string_split(host, '.')[-1] as suffix,
+    count(bad)::double as n, coalesce(sum(bad), 0)::double as k
+  from p left join lab on p.page_id = lab.doc_id group by host),
+d as (select domain, suffix, sum(n) as dn, sum(k) as dk from h group by domain, suffix),
+s as (select suffix, sum(dn) as sn, sum(dk) as sk from d group by suffix),
+s0 as (select s.*, (select case when sum(sn) > 0 then sum(sk) / sum(sn) else 0.0 end from s) as rate from s),
+sm as ({_level("s0", "sn", "sk", "rate")}),
+s1 as (select suffix, (sk + m * rate) / (sn + m) as s_mean from s0, sm),
+d0 as (select * from d join s1 using (suffix)),
+dm as ({_level("d0", "dn", "dk", "s_mean")}),
+d1 as (select domain, suffix, (dk + m * s_mean) / (dn + m) as d_mean from d0, dm),
+h0 as (select * from h join d1 using (domain, suffix)),
+hm as ({_level("h0", "n", "k", "d_mean")}),
+post as (select host, m * d_mean + k as a, m * (1 - d_mean) + n - k as b from h0, hm),
+rep as (select host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as low from post),
+rules(rule, ruled, rhost, rpath) as (values ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
+  ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')),
+best as (
+  select page_id, host, path, arg_max(rule, length(rule)) as rule, arg_max(ruled, length(rule)) as ruled
+  from (select distinct page_id, host, path from p) x, rules
+  where (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath) group by all)
+select p.page_id, p.host, p.path, best.rule,
+  coalesce(best.ruled, case when rep.low > 0.5 then 'block' else 'allow' end) as verdict
+from p left join best on p.page_id is not distinct from best.page_id and p.host = best.host and p.path = best.path
+left join rep on p.host = rep.host"""
+
+OP10 = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+l as (
+  select *, 12 + 1 + 11 + length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;'))
+      + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) as chars,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    count(*) over (partition by conv_id) as n
+  from c),
+cum as (select *, sum(chars) over (partition by conv_id order by i) as upto from l)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+  length(coalesce(string_agg(case when role = 'assistant' then text end, '' order by i), ''))::bigint as loss_chars,
+  sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by i), '')) as loss_sha256,
+  sum(case when role = 'assistant' or i = n then upto else 0 end)::bigint as formatted_chars
+from cum group by conv_id"""
+
+
+def _digest(*parts: str) -> str:
+    """``rendezvous.key_digest``: 52 leading bits of an md5."""
+    return "('0x' || substr(md5(" + " || ':' || ".join(parts) + "), 1, 13))::bigint"
+
+
+_KEY = "coalesce(doc_id::varchar, '')"
+OP5 = rf"""
+with crc as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+d as (
+  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 8 as size,
+    xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295::bigint)) as text_crc32
+  from documents, crc),
+s as (
+  select *, list_transform(range(25), lambda j: {_digest(_KEY, "j::varchar")}) as h from d),
+a as (
+  select doc_id, size, text_crc32, list_position(h[:24], list_max(h[:24])) - 1 as shard, h[25] > list_max(h[:24]) as moves,
+    {_digest(_KEY, "text_crc32::varchar")} as rank
+  from s)
+select doc_id, size, text_crc32, 'key' as law, shard::int as shard,
+  row_number() over (partition by shard order by rank, doc_id, size, text_crc32) - 1 as slot,
+  case when moves then 24 else shard end::int as grown_shard
+from a"""
+
+
+_WORDS6 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP6 = rf"""
+with d as (select doc_id, {_WORDS6} as ws from documents),
+b as (select item_id, ws, least(10, len(ws)) as size from (select item_id, {_WORDS6} as ws from benchmark) x where len(ws) > 0),
+bw as (
+  select distinct item_id, size, array_to_string(list_slice(ws, s, s + size - 1), ' ') as win
+  from b, unnest(range(1, len(ws) - size + 2)) as r(s)),
+sizes as (select distinct size from bw),
+dw as (
+  select doc_id, size, s, array_to_string(list_slice(ws, s, s + size - 1), ' ') as win
+  from d, sizes, unnest(range(1, greatest(len(ws) - size + 2, 1))) as r(s)),
+hit as (select doc_id, s, dw.size, item_id from dw join bw on dw.size = bw.size and dw.win = bw.win),
+words as (select doc_id, count(distinct s + k)::bigint as n_hit from hit, unnest(range(0, size)) as r(k) group by doc_id),
+items as (
+  select doc_id, count(*)::bigint as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct doc_id, item_id from hit) group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from d left join words using (doc_id) left join items using (doc_id)"""
