@@ -8,11 +8,17 @@ from market_engine.llm import chat_format as op10
 from market_engine.llm import quality_rules as op4
 from market_engine.llm import rendezvous as op5
 from market_engine.llm import sql
+from market_engine.llm import substring_dedup as op1
 from market_engine.llm import url_reputation as op2
 from market_engine.llm import winnowing as op6
 from market_engine.llm.common import table
 
 
+def op1_substring_dedup(spark, sf_dir):
+    out = op1.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_url_reputation(spark, sf_dir):
     return op2.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -41,6 +47,7 @@ def op10_chat_format(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_substring_dedup": (op1_substring_dedup, sql.OP1),
     "op2_url_reputation": (op2_url_reputation, sql.OP2),
     "op4_quality_rules": (op4_quality_rules, sql.OP4),
     "op5_rendezvous_sharding": (op5_rendezvous_sharding, sql.OP5),

@@ -145,3 +145,18 @@ items as (
 select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
   sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
 from d left join words using (doc_id) left join items using (doc_id)"""
+
+
+OP1 = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (
+  select doc_id, s, md5(array_to_string(list_slice(ws, s, s + 49), ' ')) as win
+  from d, unnest(range(1, greatest(len(ws) - 48, 1))) as r(s)),
+rep as (select doc_id, s from (select doc_id, s, min(doc_id) over (partition by win) as o from w) x where o < doc_id),
+gone as (select doc_id, list(distinct s + k) as g, count(distinct s + k)::bigint as n from rep, unnest(range(0, 50)) as r(k) group by doc_id),
+kept as (
+  select d.doc_id, string_agg(ws[i], ' ' order by i) as t
+  from d left join gone using (doc_id), unnest(range(1, len(ws) + 1)) as r(i)
+  where not coalesce(list_contains(g, i), false) group by d.doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(gone.n, 0)::bigint as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
+from d left join gone using (doc_id) left join kept using (doc_id)"""
