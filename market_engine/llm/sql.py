@@ -160,3 +160,19 @@ kept as (
   where not coalesce(list_contains(g, i), false) group by d.doc_id)
 select d.doc_id, len(ws)::bigint as n_words, coalesce(gone.n, 0)::bigint as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
 from d left join gone using (doc_id) left join kept using (doc_id)"""
+
+
+OP7 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as ws from documents),
+sh as (
+  select distinct doc_id, array_to_string(list_slice(ws, s, s + 2), ' ') as g
+  from d, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) as r(s)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) as component_id
+from d left join n using (doc_id) left join (select a, min(b) as b from reach group by a) m on m.a = d.doc_id"""
