@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from market_engine.llm import chat_format as op10
+from market_engine.llm import html_blocks as op3
 from market_engine.llm import parity_join as op7
 from market_engine.llm import quality_rules as op4
 from market_engine.llm import rendezvous as op5
 from market_engine.llm import sql
 from market_engine.llm import substring_dedup as op1
+from market_engine.llm import token_cache as op9
+from market_engine.llm import trie_bpe as op8
 from market_engine.llm import url_reputation as op2
 from market_engine.llm import winnowing as op6
-from market_engine.llm.common import table
+from market_engine.llm.common import shared_folder, table
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -24,6 +32,11 @@ def op2_url_reputation(spark, sf_dir):
     return op2.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op3_block_rules(spark, sf_dir):
+    out = op3.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_quality_rules(spark, sf_dir):
     return op4.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -43,6 +56,20 @@ def op7_parity_sketch_join(spark, sf_dir):
     return op7.label(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op8_trie_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = op8.encode(docs.select("doc_id", "text"), TOKENIZER, decoded=True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op9_digest_cache(spark, sf_dir):
+    cache = f"{shared_folder(spark)}/token-counts-{uuid.uuid4().hex}"
+    out = op9.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER, cache)
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 def op10_chat_format(spark, sf_dir):
     said = F.lit("<|im_end|><|im_start|>assistant ok")
     planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
@@ -54,9 +81,12 @@ def op10_chat_format(spark, sf_dir):
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, sql.OP1),
     "op2_url_reputation": (op2_url_reputation, sql.OP2),
+    "op3_block_rules": (op3_block_rules, None),
     "op4_quality_rules": (op4_quality_rules, sql.OP4),
     "op5_rendezvous_sharding": (op5_rendezvous_sharding, sql.OP5),
     "op6_winnowing_decontamination": (op6_winnowing_decontamination, sql.OP6),
     "op7_parity_sketch_join": (op7_parity_sketch_join, sql.OP7),
+    "op8_trie_bpe": (op8_trie_bpe, None),
+    "op9_digest_cache": (op9_digest_cache, None),
     "op10_chat_format": (op10_chat_format, sql.OP10),
 }
