@@ -24,7 +24,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_substring_dedup(spark, sf_dir):
-    out = op1.remove_repeats(table(spark, sf_dir, "documents"))
+    out = op1.remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -78,6 +78,11 @@ def op10_chat_format(spark, sf_dir):
     return op10.read_back(op10.examples(conversations.unionByName(planted)))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, sql.OP1),
     "op2_url_reputation": (op2_url_reputation, sql.OP2),
@@ -89,4 +94,5 @@ QUERIES = {
     "op8_trie_bpe": (op8_trie_bpe, None),
     "op9_digest_cache": (op9_digest_cache, None),
     "op10_chat_format": (op10_chat_format, sql.OP10),
+    "pipeline": (pipeline, None),
 }

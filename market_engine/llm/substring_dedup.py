@@ -29,6 +29,8 @@ empty tables give empty tables. No group is gathered in one task but the runs of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -112,10 +114,10 @@ def _windows(size: int):
 
 
 def _cut(batches):
-    """Rows (doc_id, n_words, n_removed, kept, text unless cut): removes sorted word ranges."""
+    """The columns before the last two (text, ranges), plus n_words, n_removed, kept."""
     for batch in batches:
         out = []
-        for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for text, ranges in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             words = (text or "").encode().split()
             n, end, kept = len(words), 0, []
             for r in ranges or ():
@@ -124,8 +126,8 @@ def _cut(batches):
             kept = kept + words[end:] if ranges else words
             out.append((n, n - len(kept), b" ".join(kept).decode()))
         n, removed, kept = zip(*out) if out else ((), (), ())
-        yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                               pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+        yield pa.record_batch([*batch.columns[:-2], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                               pa.array(kept, pa.string())], names=[*batch.schema.names[:-2], "n_words", "n_removed", "kept"])
 
 
 def runs(documents: DataFrame, size: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,9 +195,26 @@ def ranges(documents: DataFrame, size: int = 50) -> DataFrame:
         "doc_id", "text_key").agg(F.sort_array(F.collect_set("r")).alias("ranges"))
 
 
-def remove_repeats(documents: DataFrame, size: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept (kept words joined by one space)."""
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"),
-                            F.col(text).alias("text"))
-    cut = docs.join(ranges(docs, size), ["doc_id", "text_key"], "left").select("doc_id", "text", "ranges")
-    return cut.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
+def remove_repeats(documents: DataFrame, size: int = 50, doc_id: str = "doc_id", text: str = "text",
+                   carry: Sequence[str] | None = None) -> DataFrame:
+    """One row per document: the columns named in ``carry`` (default all; those named like a new one are
+    replaced) plus n_words, n_removed, kept (the kept words joined by one space)."""
+    new = ("n_words", "n_removed", "kept")
+    carried = [F.col(f"`{c}`") for c in (documents.columns if carry is None else carry) if c not in new]
+    found = ranges(documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"),
+                                    F.col(text).alias("text")), size)
+    rows = documents.select(F.struct(*carried).alias("_row"), F.col(doc_id).cast("long").alias("doc_id"),
+                            F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("_text"))
+    rows = rows.join(found, ["doc_id", "text_key"], "left").select("_row", "_text", "ranges")
+    schema = rows.select("_row").schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    return rows.mapInArrow(_cut, schema).select("_row.*", *new)
+
+
+def rewrite(documents: DataFrame, size: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` with the repeated ranges cut from ``text``; a text that loses nothing stays as it is.
+    ``n_chars``, where there is one, follows the text."""
+    out = remove_repeats(documents, size, doc_id, text)
+    after = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(f"`{text}`"))
+    chars = F.when(F.col("n_removed") > 0, F.char_length("kept")).otherwise(F.col("n_chars")) if "n_chars" in documents.columns else None
+    return out.select(*[after.alias(c) if c == text else chars.cast(documents.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+                        for c in documents.columns if c in out.columns])

@@ -164,3 +164,12 @@ def report(documents: DataFrame, benchmark: DataFrame, length: int = 10, **names
         F.col("doc_id.id").alias("doc_id"), "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"))
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, length: int = 10, doc_id: str = "doc_id", text: str = "text",
+                      **names) -> DataFrame:
+    """The rows of ``documents`` without any benchmark window, with their own columns."""
+    places, _ = hits(documents, benchmark, doc_id=doc_id, text=text, length=length, **names)
+    hit = places.select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"))
+    same = (F.struct(F.col(f"`{doc_id}`").alias("id")) == F.col("_hit_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_hit_key"))
+    return documents.join(hit, same, "left_anti")
