@@ -142,4 +142,7 @@ def judge(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> D
 def keep_good(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``df`` that pass, with df's own columns."""
     row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text).alias("_text"))
-    return judge(row, "_text", rules).filter("kept").select("_row.*")
+    # a filter is moved below deterministic projections, which would put every step of ``measure`` into
+    # one expression, over and over; the row number keeps it here
+    judged = judge(row, "_text", rules).withColumn("_place", F.monotonically_increasing_id())
+    return judged.filter("kept and _place >= 0").select("_row.*")
