@@ -6,8 +6,8 @@ written once: its key is a 128-bit digest of all its words, with its coordinates
 window, number of windows) and the digests of the runs before and after it. Equal windows have equal
 minimizers at equal places, so:
 
-1. Runs are grouped by digest (partial sums first, so a passage that a third of all documents share
-   is one row a task): the coordinates of the first document, the last document, and whether the
+1. Runs are grouped by digest (summed per batch first, so a passage that a third of all documents
+   share is one row a batch): the coordinates of the first document, the last document, and whether the
    run has one neighbour on either side.
 2. A minimizer of one run alone does not branch: that run's windows occur nowhere else. Links between
    such runs with one neighbour on both sides are joined through their source coordinates, and
@@ -37,10 +37,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from market_engine.llm import hashing as H
+from market_engine.llm.common import stored
+from market_engine.llm.packing import pack, unpack
 
 #: Words of a minimizer.
 MINIMIZER = 12
-_RUN = "doc_id long, text_key long, start int, n int, minimizer long, k1 long, k2 long, prev long, next long"
+_RUN = "minimizer long, k1 long, k2 long, doc_id long, text_key int, start int, n int"
+_EDGE = _RUN + ", last long, prev long, next long"
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -71,22 +74,35 @@ def _runs_of(words: np.ndarray, first: np.ndarray, size: int):
     return doc, lo - first[doc], n, grams[at[head]], k1, k2, prev, nxt
 
 
-def _runs(size: int):
+def _runs(size: int, summed: bool):
+    """Runs of documents (doc_id, text_key, text): all of them, or each distinct one of a batch once."""
     def work(batches):
         for batch in batches:
             data, offsets = H.text_bytes(batch.column(2))
+            parts = []
             for i, j in H.doc_groups(offsets):
                 own = data[offsets[i]:offsets[j]]
                 starts, ends, first = H.word_places(own, offsets[i:j + 1] - offsets[i])
                 got = _runs_of(H.word_hashes(own, starts, ends), first, size)
-                if got is None:
-                    continue
-                doc, start, n, minimizer, k1, k2, prev, nxt = got
-                ids = batch.slice(i, j - i)
-                yield pa.record_batch(
-                    [ids.column(0).take(pa.array(doc)), ids.column(1).take(pa.array(doc)), pa.array(start.astype(np.int32)),
-                     pa.array(n.astype(np.int32)), *map(_signed, (minimizer, k1, k2, prev, nxt))],
-                    names=["doc_id", "text_key", "start", "n", "minimizer", "k1", "k2", "prev", "next"])
+                if got is not None:
+                    parts.append((got[0] + i, *got[1:]))
+            if not parts:
+                continue
+            row, start, n, minimizer, k1, k2, prev, nxt = (np.concatenate(x) for x in zip(*parts))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[row]
+            key = batch.column(1).to_numpy(zero_copy_only=False)[row]
+            columns = [minimizer, k1, k2, ids, key.astype(np.int32), start.astype(np.int32), n.astype(np.int32)]
+            names = ["minimizer", "k1", "k2", "doc_id", "text_key", "start", "n"]
+            if summed:
+                order = np.lexsort((start, key, ids, k2, k1))
+                a, b = k1[order], k2[order]
+                head = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+                columns = [c[order[head]] for c in columns] + [np.maximum.reduceat(ids[order], head)]
+                for side in (prev[order], nxt[order]):
+                    lo, hi = np.minimum.reduceat(side, head), np.maximum.reduceat(side, head)
+                    columns.append(np.where(lo == hi, lo, np.uint64(0)))
+                names += ["last", "prev", "next"]
+            yield pa.record_batch([_signed(c) if c.dtype == np.uint64 else pa.array(c) for c in columns], names=names)
     return work
 
 
@@ -94,7 +110,7 @@ def _windows(size: int):
     """Digests of the windows of given runs: rows (k1, k2, i, w1, w2, doc_id, last)."""
     def work(batches):
         for batch in batches:
-            data, offsets = H.text_bytes(batch.column(1))
+            data, offsets = H.text_bytes(unpack(batch.column(1)))
             wanted = batch.column(2).to_pylist()
             for i, j in H.doc_groups(offsets):
                 own = data[offsets[i]:offsets[j]]
@@ -113,42 +129,49 @@ def _windows(size: int):
     return work
 
 
-def _cut(batches):
-    """The columns before the last two (text, ranges), plus n_words, n_removed, kept."""
-    for batch in batches:
-        out = []
-        for text, ranges in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-            words = (text or "").encode().split()
-            n, end, kept = len(words), 0, []
-            for r in ranges or ():
-                kept += words[end:r["a"]] if r["a"] > end else []
-                end = max(end, r["b"])
-            kept = kept + words[end:] if ranges else words
-            out.append((n, n - len(kept), b" ".join(kept).decode()))
-        n, removed, kept = zip(*out) if out else ((), (), ())
-        yield pa.record_batch([*batch.columns[:-2], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                               pa.array(kept, pa.string())], names=[*batch.schema.names[:-2], "n_words", "n_removed", "kept"])
+def _cut(with_text: bool):
+    """The columns before the last two (packed, ranges), plus n_words, n_removed, kept and the text itself."""
+    def work(batches):
+        for batch in batches:
+            texts = unpack(batch.column(batch.num_columns - 2))
+            out = []
+            for text, ranges in zip(texts.to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                words = (text or "").encode().split()
+                n, end, kept = len(words), 0, []
+                for r in ranges or ():
+                    kept += words[end:r["a"]] if r["a"] > end else []
+                    end = max(end, r["b"])
+                kept = kept + words[end:] if ranges else words
+                out.append((n, n - len(kept), b" ".join(kept).decode()))
+            n, removed, kept = zip(*out) if out else ((), (), ())
+            new = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), *[texts] * with_text]
+            yield pa.record_batch([*batch.columns[:-2], *new],
+                                  names=[*batch.schema.names[:-2], "n_words", "n_removed", "kept", *["_text"] * with_text])
+    return work
+
+
+def _keyed(documents: DataFrame, doc_id: str, text: str) -> list:
+    """Document id and a key that tells different texts of one id apart."""
+    return [F.col(doc_id).cast("long").alias("doc_id"), F.hash(F.col(text)).alias("text_key"), F.col(text).alias("text")]
 
 
-def runs(documents: DataFrame, size: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    docs = documents.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
-    return docs.mapInArrow(_runs(size), _RUN)
+def runs(docs: DataFrame, size: int = 50, summed: bool = False) -> DataFrame:
+    """Runs of (doc_id, text_key, text) rows; ``summed``: distinct ones of a batch, with last, prev, next."""
+    whole = docs.filter("doc_id is not null and text is not null")
+    return whole.mapInArrow(_runs(size, summed), _EDGE if summed else _RUN)
 
 
-def edges(run: DataFrame) -> DataFrame:
+def edges(docs: DataFrame, size: int = 50) -> DataFrame:
     """Distinct runs that occur in several documents or whose minimizer has several runs, with source
     coordinates, the last document, their one neighbour on either side (0: none or several) and
-    ``branching``."""
-    one = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.lit(0).cast("long"))
-    distinct = run.groupBy("k1", "k2", "minimizer").agg(
-        F.min(F.struct("doc_id", "start", "n", "text_key")).alias("src"), F.max("doc_id").alias("last"),
-        one("prev").alias("prev"), one("next").alias("next"))
-    shared = distinct.groupBy("minimizer").agg(
-        F.count(F.lit(1)).alias("runs"), F.min("src.doc_id").alias("lo"), F.max("last").alias("hi"))
-    shared = shared.filter("lo < hi").select("minimizer", (F.col("runs") > 1).alias("branching"))
-    return distinct.join(shared, "minimizer").select(
-        "k1", "k2", "src.doc_id", "src.start", "src.n", "src.text_key", "last", "prev", "next", "branching")
+    ``branching``. One exchange, by minimizer; what comes into it is summed per batch of documents."""
+    one = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.lit(0).cast("long")).alias(c)
+    distinct = runs(docs, size, summed=True).repartition("minimizer").groupBy("minimizer", "k1", "k2").agg(
+        F.min(F.struct("doc_id", "text_key", "start", "n")).alias("src"), F.max("last").alias("last"), one("prev"), one("next"))
+    same = Window.partitionBy("minimizer")
+    known = distinct.withColumns({"runs": F.count(F.lit(1)).over(same), "lo": F.min("src.doc_id").over(same),
+                                  "hi": F.max("last").over(same)}).filter("lo < hi")
+    return known.select("k1", "k2", "src.*", "last", "prev", "next", (F.col("runs") > 1).alias("branching"))
 
 
 def paths(edge: DataFrame) -> DataFrame:
@@ -168,25 +191,26 @@ def paths(edge: DataFrame) -> DataFrame:
         F.sum("n").alias("n")).select("k1", "k2", F.col("doc_id").alias("first_doc"), F.col("n").cast("int").alias("n"))
 
 
-def window_owners(edge: DataFrame, documents: DataFrame, size: int) -> DataFrame:
-    """Rows (k1, k2, owners) for branching runs: the first document of each of their windows."""
+def window_owners(edge: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Rows (k1, k2, owners) for branching runs: the first document of each of their windows, where it is
+    not the only one."""
     wanted = edge.filter("branching").groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("start", "n", "k1", "k2", "last")).alias("runs"))
-    win = documents.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text", "runs").mapInArrow(
+    win = pack(docs).join(wanted, ["doc_id", "text_key"]).select("doc_id", "packed", "runs").mapInArrow(
         _windows(size), "k1 long, k2 long, i int, w1 long, w2 long, doc_id long, last long")
     first = win.groupBy("w1", "w2").agg(F.min("doc_id").alias("owner"), F.max("last").alias("hi")).filter("owner < hi")
-    return win.join(first, ["w1", "w2"]).filter("owner < last").groupBy("k1", "k2").agg(
+    return win.drop("doc_id").join(first.drop("hi"), ["w1", "w2"]).filter("owner < last").groupBy("k1", "k2").agg(
         F.map_from_entries(F.collect_list(F.struct("i", "owner"))).alias("owners"))
 
 
-def ranges(documents: DataFrame, size: int = 50) -> DataFrame:
+def ranges(docs: DataFrame, size: int = 50) -> DataFrame:
     """Rows (doc_id, text_key, ranges): word ranges [a, b) of each document to remove, sorted by a."""
-    edge = edges(runs(documents, size))
+    edge = stored(edges(docs, size), "edges")
     plain = paths(edge).select("k1", "k2", "n", "first_doc", F.lit(None).cast("map<int,bigint>").alias("owners"))
-    split = window_owners(edge, documents, size).select(
+    split = window_owners(edge, docs, size).select(
         "k1", "k2", F.lit(None).cast("int").alias("n"), F.lit(None).cast("long").alias("first_doc"), "owners")
-    known = plain.unionByName(split).withColumnRenamed("n", "path_n")
-    seen = runs(documents, size).select("doc_id", "text_key", "start", "k1", "k2").join(known, ["k1", "k2"])
+    known = stored(plain.unionByName(split).withColumnRenamed("n", "path_n"), "paths")
+    seen = runs(docs, size).select("doc_id", "text_key", "start", "k1", "k2").join(known, ["k1", "k2"])
     whole = F.when(F.col("first_doc") < F.col("doc_id"), F.array(F.struct(
         F.col("start").alias("a"), (F.col("start") + F.col("path_n") - 1 + size).alias("b"))))
     single = F.transform(F.filter(F.map_entries("owners"), lambda e: e["value"] < F.col("doc_id")), lambda e: F.struct(
@@ -199,15 +223,17 @@ def remove_repeats(documents: DataFrame, size: int = 50, doc_id: str = "doc_id",
                    carry: Sequence[str] | None = None) -> DataFrame:
     """One row per document: the columns named in ``carry`` (default all; those named like a new one are
     replaced) plus n_words, n_removed, kept (the kept words joined by one space)."""
-    new = ("n_words", "n_removed", "kept")
-    carried = [F.col(f"`{c}`") for c in (documents.columns if carry is None else carry) if c not in new]
-    found = ranges(documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"),
-                                    F.col(text).alias("text")), size)
-    rows = documents.select(F.struct(*carried).alias("_row"), F.col(doc_id).cast("long").alias("doc_id"),
-                            F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("_text"))
-    rows = rows.join(found, ["doc_id", "text_key"], "left").select("_row", "_text", "ranges")
+    new = ["n_words", "n_removed", "kept"]
+    carry = [c for c in (documents.columns if carry is None else carry) if c not in new]
+    docs = documents.select(*_keyed(documents, doc_id, text))
+    row = F.struct(*[F.col(f"`{c}`") for c in carry if c != text], F.lit(0).alias("_")).alias("_row")
+    rows = pack(documents.select(row, *_keyed(documents, doc_id, text)))
+    rows = rows.join(ranges(docs, size), ["doc_id", "text_key"], "left").select("_row", "packed", "ranges")
     schema = rows.select("_row").schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    return rows.mapInArrow(_cut, schema).select("_row.*", *new)
+    if text in carry:
+        schema = schema.add("_text", "string")
+    out = rows.mapInArrow(_cut(text in carry), schema)
+    return out.select(*[F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in carry], *new)
 
 
 def rewrite(documents: DataFrame, size: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
