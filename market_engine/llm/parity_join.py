@@ -14,10 +14,12 @@ A set with more joins on its empty blocks too, and so still meets any other such
 
 The join goes by (band, block, XOR). Texts with the same set are one class: of those in one task only
 the first is dealt out, so exact copies cost one row a task. Each joined group is compared with its
-smallest member; groups that still hold several components after that are compared pivot by pivot
-(a member's level is the number of trailing zeros of its hash, so few members come first) until no
-two members of a group are left that are neither connected nor compared. Every compared pair is
-verified on the whole sets, so the links are exact and none is lost.
+smallest member, its pivot. Where a pivot's members still are of several components, they are joined by
+what differs between them and the pivot (``_meet``): members without a common difference by their one
+nearest, the others by each common difference. Such a group is compared member by member (few first: a
+member's level is the number of trailing zeros of its hash) until no two of it are left that are neither
+connected nor compared. Every compared pair is verified on the whole sets, so the links are exact and
+none is lost, and a large group of copies with edits of their own costs rows, not pairs.
 
 Defined results: a null or blank text has no set, is linked with nothing and its component is its own
 id; fewer words than ``words`` make one shingle of all; rows that repeat a doc_id are one node; rows
@@ -172,6 +174,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(alike).select("a", "b").distinct()
 
 
+def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the component of doc_id; a node without links is its own."""
+    return rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id"))
+
+
+def _differences(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (pivot, doc_id, n, diff): the size of a member's set and its symmetric difference to the pivot's."""
+    own, piv = (sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"{x}_set")) for x in ("doc_id", "pivot"))
+    both = stars.join(own, "doc_id").join(piv, "pivot")
+    diff = F.concat(F.array_except("doc_id_set", "pivot_set"), F.array_except("pivot_set", "doc_id_set"))
+    return both.select("pivot", "doc_id", F.size("doc_id_set").alias("n"), diff.alias("diff"))
+
+
+def _meet(delta: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What members of a pivot must be compared with, without forming pairs of all of them.
+
+    Taken against their majority (shingles that over half of the members differ from the pivot in are
+    turned round), two members x and y differ in m_x + m_y - 2 * shared shingles. Without a shared one they
+    are linked just if w_x + w_y <= 0, w = (100 + percent) m - (100 - percent) n: so if any such link of x
+    exists, x links to the member of smallest w, its ``nearest``. All other links share differences, so many
+    that, with each member's differences in one order, rarest first, the first D + 1 of both hold a common
+    one (prefix filter): they meet in its group (key, doc_id). One edited copy more adds rows, not pairs."""
+    one = delta.select("pivot", "doc_id", F.explode("diff").alias("f"))
+    size = delta.groupBy("pivot").agg(F.count(F.lit(1)).alias("g"))
+    freq = one.groupBy("pivot", "f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").join(size, "pivot").select(
+        "pivot", "f", (2 * F.col("c") > F.col("g")).alias("most"), F.least("c", F.col("g") - F.col("c")).alias("c"))
+    freq = stored(freq, "shared")
+    turned = freq.filter("most").groupBy("pivot").agg(F.count(F.lit(1)).alias("turned"))
+    shared = stored(one.join(freq, ["pivot", "f"]), "sharing")
+    has = shared.groupBy("pivot", "doc_id").agg(F.count(F.when(F.col("most"), F.lit(1))).alias("has"), F.count(F.lit(1)).alias("shares"))
+    m = delta.select("pivot", "doc_id", "n", F.size("diff").alias("d")).join(turned, "pivot", "left").join(
+        has, ["pivot", "doc_id"], "left").na.fill(0, ["turned", "has", "shares"])
+    most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent))
+    m = stored(m.select(
+        "pivot", "doc_id", (F.col("turned") - F.col("has")).alias("lacks"), (most + 1 - (F.col("d") - F.col("shares"))).alias("room"),
+        ((F.col("d") - 2 * F.col("has") + F.col("turned")) * (100 + percent) - F.col("n") * (100 - percent)).alias("w")), "weights")
+    first = m.groupBy("pivot").agg(F.min(F.struct("w", "doc_id")).alias("z"))
+    near = m.join(first, "pivot").filter("w + z.w <= 0 and doc_id <> z.doc_id").select("doc_id", F.col("z.doc_id").alias("nearest"))
+    lacking = m.filter("lacks > 0").select("pivot", "doc_id").join(freq.filter("most").select("pivot", "f", "c"), "pivot").join(
+        shared.select("pivot", "doc_id", "f"), ["pivot", "doc_id", "f"], "left_anti")
+    cols = ["pivot", "doc_id", "f", "c"]
+    ranked = shared.filter("not most").select(*cols).unionByName(lacking.select(*cols)).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("pivot", "doc_id").orderBy("c", "f")))
+    groups = ranked.join(m.filter("room > 0").select("pivot", "doc_id", "room"), ["pivot", "doc_id"]).filter("rank <= room")
+    return near.distinct(), groups.select(F.xxhash64("pivot", "f").alias("key"), "doc_id").distinct()
+
+
 def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -202,15 +252,27 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     links = stored(_verified(pairs, sets, percent), "links")
     found = components(links)
 
-    big = by_rep.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    rows = by_rep.join(big, "key")
-    member = stored(rows.select("key", "doc_id").unionByName(rows.select("key", F.col("pivot").alias("doc_id"))).distinct(), "members")
+    # members of a pivot whose components differ: what two of them share is told from their differences
+    stars = by_rep.select("pivot", "doc_id").distinct()
+    stars = stars.unionByName(stars.select("pivot", F.col("pivot").alias("doc_id")).distinct())
+    mixed = _with_component(stars, found).groupBy("pivot").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("pivot")
+    delta = stored(_differences(stars.join(mixed, "pivot"), sets), "deltas")
+    near, member = _meet(delta, percent)
+    near = stored(_with_component(near, found).join(found.select(F.col("node").alias("nearest"), F.col("component").alias("nc")), "nearest", "left")
+                  .filter("component <> coalesce(nc, nearest)").select(*_ordered("doc_id", "nearest")).distinct()
+                  .join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = stored(_verified(near, sets, percent), "links")
+    if not more.isEmpty():
+        links = stored(links.unionByName(more), "links")
+        found = components(links)
+    pairs = pairs.unionByName(near)
+
     level = F.length(F.regexp_extract(F.bin(F.xxhash64("doc_id")), "0*$", 0))
-    member = member.withColumn("level", level)
+    member = stored(member.withColumn("level", level), "members")
     done, top = pairs, None
     while True:
-        labelled = member.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id"))
+        labelled = _with_component(member, found)
         mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
         left = stored(labelled.join(mixed.filter("lo <> hi").select("key", "c"), "key"), "mixed")
         cost = left.filter(F.lit(True) if top is None else F.col("level") < top).groupBy("level").agg(
