@@ -14,7 +14,7 @@ def _pack(batches):
     z = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         last = batch.column(batch.num_columns - 1)
-        packed = pa.array([None if x is None else z.compress(x.as_buffer()) for x in last], pa.binary())
+        packed = pa.array([z.compress(x.as_buffer()) if x.is_valid else None for x in last], pa.binary())
         yield pa.record_batch([*batch.columns[:-1], packed], names=[*batch.schema.names[:-1], "packed"])
 
 
@@ -26,4 +26,4 @@ def pack(df: DataFrame) -> DataFrame:
 
 def unpack(column: pa.Array) -> pa.Array:
     z = zstandard.ZstdDecompressor()
-    return pa.array([None if x is None else z.decompress(x.as_buffer()) for x in column], pa.binary()).cast(pa.string())
+    return pa.array([z.decompress(x.as_buffer()) if x.is_valid else None for x in column], pa.binary()).cast(pa.string())

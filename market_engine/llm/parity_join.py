@@ -196,7 +196,8 @@ def _meet(delta: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     are linked just if w_x + w_y <= 0, w = (100 + percent) m - (100 - percent) n: so if any such link of x
     exists, x links to the member of smallest w, its ``nearest``. All other links share differences, so many
     that, with each member's differences in one order, rarest first, the first D + 1 of both hold a common
-    one (prefix filter): they meet in its group (key, doc_id). One edited copy more adds rows, not pairs."""
+    one (prefix filter), for the member of fewer differences among its first D / 2 + 1 (``early``): they
+    meet in its group (key, doc_id, m, early). One edited copy more adds rows, not pairs."""
     one = delta.select("pivot", "doc_id", F.explode("diff").alias("f"))
     size = delta.groupBy("pivot").agg(F.count(F.lit(1)).alias("g"))
     freq = one.groupBy("pivot", "f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").join(size, "pivot").select(
@@ -210,6 +211,8 @@ def _meet(delta: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent))
     m = stored(m.select(
         "pivot", "doc_id", (F.col("turned") - F.col("has")).alias("lacks"), (most + 1 - (F.col("d") - F.col("shares"))).alias("room"),
+        (F.floor(most / 2) + 1 - (F.col("d") - F.col("shares"))).alias("near_room"),
+        (F.col("d") - 2 * F.col("has") + F.col("turned")).alias("m"),
         ((F.col("d") - 2 * F.col("has") + F.col("turned")) * (100 + percent) - F.col("n") * (100 - percent)).alias("w")), "weights")
     first = m.groupBy("pivot").agg(F.min(F.struct("w", "doc_id")).alias("z"))
     near = m.join(first, "pivot").filter("w + z.w <= 0 and doc_id <> z.doc_id").select("doc_id", F.col("z.doc_id").alias("nearest"))
@@ -218,8 +221,9 @@ def _meet(delta: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     cols = ["pivot", "doc_id", "f", "c"]
     ranked = shared.filter("not most").select(*cols).unionByName(lacking.select(*cols)).withColumn(
         "rank", F.row_number().over(Window.partitionBy("pivot", "doc_id").orderBy("c", "f")))
-    groups = ranked.join(m.filter("room > 0").select("pivot", "doc_id", "room"), ["pivot", "doc_id"]).filter("rank <= room")
-    return near.distinct(), groups.select(F.xxhash64("pivot", "f").alias("key"), "doc_id").distinct()
+    groups = ranked.join(m.filter("room > 0").select("pivot", "doc_id", "room", "near_room", "m"), ["pivot", "doc_id"]).filter("rank <= room")
+    return near.distinct(), groups.select(F.xxhash64("pivot", "f").alias("key"), "doc_id", "m", (
+        F.col("rank") <= F.col("near_room")).alias("early")).distinct()
 
 
 def _ordered(a: str, b: str) -> list:
@@ -287,8 +291,10 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
                 break
             low = r["level"]
         p = left.filter(F.col("level").between(low, high)).select(
-            "key", F.col("doc_id").alias("pivot"), F.col("component").alias("pc"), F.col("level").alias("pl"))
-        new = left.join(p, "key").filter("component <> pc and level <= pl").select(*_ordered("doc_id", "pivot")).distinct()
+            "key", F.col("doc_id").alias("pivot"), F.col("component").alias("pc"), F.col("level").alias("pl"),
+            F.col("m").alias("pm"), F.col("early").alias("pe"))
+        new = left.join(p, "key").filter("component <> pc and (level < pl or level = pl and doc_id < pivot)"
+                                         " and (early and m <= pm or pe and pm <= m)").select(*_ordered("doc_id", "pivot")).distinct()
         new = stored(new.join(done, ["a", "b"], "left_anti"), "pairs")
         more = stored(_verified(new, sets, percent), "links")
         if not more.isEmpty():
