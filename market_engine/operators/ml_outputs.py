@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from market_engine.functions.columns import instant_to_utc_ntz
+
 from market_engine.operators import ml
 from market_engine.schemas import MODEL_METRICS, PREDICTIONS
 from market_engine.session import materialise_frame
@@ -15,7 +17,7 @@ from market_engine.session import materialise_frame
 
 def _at(ts: str | None):
     # job-supplied timestamp for reproducible reruns; defaults to the query's current time (UTC)
-    return F.lit(ts).cast("timestamp_ntz") if ts else F.localtimestamp()
+    return F.lit(ts).cast("timestamp_ntz") if ts else instant_to_utc_ntz(F.current_timestamp())
 
 
 def predictions(scored: DataFrame, model_version: str, predicted_at: str | None = None) -> DataFrame:

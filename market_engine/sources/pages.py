@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from market_engine.constants import OPS_SOURCE_SYSTEM
-from market_engine.functions import parse_hour_period
+from market_engine.functions import instant_to_utc_ntz, parse_hour_period
 from market_engine.operators.hourly import pivot_ops
 from market_engine.schemas import OPS_PAGE
 
@@ -62,7 +62,7 @@ def ops_from_pages(spark: SparkSession, path: str, source_system: str = OPS_SOUR
     good, bad = reject_error_pages(pages)
     long = explode_pages(good)
     wide = pivot_ops(long)
-    stamp_ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
+    stamp_ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else instant_to_utc_ntz(F.current_timestamp())
     ops = wide.select(parse_hour_period("period").alias("period"),
                       F.col("respondent").alias("balancing_authority"),
                       "demand_mwh", "demand_forecast_mwh", "net_generation_mwh", "interchange_mwh",

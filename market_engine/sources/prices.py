@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from market_engine.constants import HUB_NODES, PRICE_CSV_CANDIDATES, PRICE_ITEMS, PRICES_SOURCE_SYSTEM
-from market_engine.functions import parse_iso_utc
+from market_engine.functions import instant_to_utc_ntz, parse_iso_utc
 from market_engine.operators.hourly import pivot_prices
 
 LONG_SCHEMA = T.StructType([
@@ -147,7 +147,7 @@ def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = PR
         _hub_column(ok, hub).alias("trading_hub"), "item", "value",
         F.struct("source_file", "line").alias("seq"))
     wide = pivot_prices(long.filter(F.col("item").isin(list(PRICE_ITEMS))))
-    stamp_ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
+    stamp_ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else instant_to_utc_ntz(F.current_timestamp())
     return wide.select("interval_start", "interval_end", "trading_hub", *PRICE_ITEMS.values(),
                        F.lit(market).alias("market"), F.lit(source_system).alias("source_system"),
                        stamp_ts.alias("loaded_at"))

@@ -46,8 +46,9 @@ def _zoned(df: DataFrame, col: str) -> DataFrame:
 
 
 def dedupe_intervals(raw: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """S-2: drop re-delivered 5-minute rows (same interval, hub, market) within the watermark."""
-    z = _zoned(raw, "interval_start").withWatermark("interval_start", delay)
+    """S-2: drop re-delivered 5-minute rows (same interval, cleaned hub and market) within the watermark."""
+    z = _zoned(raw, "interval_start").withColumns({c: clean_key(c) for c in ("trading_hub", "market")})
+    z = z.withWatermark("interval_start", delay)
     return z.dropDuplicatesWithinWatermark(["interval_start", "trading_hub", "market"])
 
 
