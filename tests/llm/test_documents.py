@@ -6,6 +6,7 @@ import re
 
 import public_tokenizers
 import pytest
+from tests_llm_brute import components, removed
 
 from market_engine.llm import parity_join, quality_rules, rendezvous, substring_dedup, token_cache, trie_bpe, winnowing
 
@@ -34,24 +35,10 @@ def corpus():
     return rows
 
 
-def _removed(rows, size=50):
-    first = {}
-    words = [(d, WORD.findall(t or "")) for d, t in rows]
-    for d, w in words:
-        for i in range(len(w) - size + 1):
-            k = tuple(w[i:i + size])
-            first[k] = min(first.get(k, d), d)
-    out = []
-    for d, w in words:
-        gone = {j for i in range(len(w) - size + 1) if first[tuple(w[i:i + size])] < d for j in range(i, i + size)}
-        out.append((d, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
-    return sorted(out)
-
-
 def test_substring_dedup_against_brute_force(docs, corpus):
     out = substring_dedup.remove_repeats(docs(corpus), carry=["doc_id", "lang"])
     assert out.columns == ["doc_id", "lang", "n_words", "n_removed", "kept"]
-    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out.collect()) == _removed(corpus)
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out.collect()) == removed(corpus)
 
 
 def test_substring_rewrite_keeps_columns_and_untouched_texts(docs, corpus):
@@ -63,30 +50,10 @@ def test_substring_rewrite_keeps_columns_and_untouched_texts(docs, corpus):
     assert substring_dedup.remove_repeats(docs([]), carry=["doc_id"]).count() == 0
 
 
-def _components(rows, k, percent):
-    sets = {}
-    for d, t in rows:
-        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets.setdefault(d, {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
-    parent = {d: d for d in sets}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-    ids = sorted(sets)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1:]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
-                x, y = sorted((find(a), find(b)))
-                parent[y] = x
-    return {d: (len(s), find(d)) for d, s in sets.items()}
-
-
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_parity_join_against_all_pairs(docs, corpus, k, percent):
     out = parity_join.label(docs(corpus), k, percent).collect()
-    want = _components(corpus, k, percent)
+    want = components(corpus, k, percent)
     assert len(out) == len(corpus)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
 
