@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from market_engine.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -91,19 +93,20 @@ def _strength(groups: DataFrame, n: str, k: str, mean: str, least: float, most:
 
 def reputation(outcomes: DataFrame, z: float = 1.645, least: float = 2.0, most: float = 1000.0) -> DataFrame:
     """``outcomes``: rows (host, bad boolean or null). One row per host: n_labelled, n_bad, prior_mean,
-    prior_pages, post_mean, post_low. Totals are scalar subqueries; levels join on their key."""
+    prior_pages, post_mean, post_low. Totals are scalar subqueries over
+    the stored counts of hosts, domains and suffixes; levels join on their key."""
     n, k = F.count("bad"), F.count(F.when(F.col("bad"), F.lit(1)))
-    hosts = outcomes.groupBy("host").agg(n.alias("n"), k.alias("k")).withColumns(
-        {"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))})
+    hosts = stored(outcomes.groupBy("host").agg(n.alias("n"), k.alias("k")).withColumns(
+        {"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))}), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))
     suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dk").alias("sk"))
     total = suffixes.agg(F.sum("sn").alias("n"), F.sum("sk").alias("k")).select(
         F.when(F.col("n") > 0, F.col("k") / F.col("n")).otherwise(F.lit(0.0)).alias("rate"))
     suffixes = suffixes.withColumn("rate", total.scalar())
     suffixes = suffixes.withColumn("m", _strength(suffixes, "sn", "sk", "rate", least, most)).select("suffix", ((F.col("sk") + F.col("m") * F.col("rate")) / (F.col("sn") + F.col("m"))).alias("s_mean"))
-    domains = domains.join(suffixes, "suffix")
+    domains = domains.join(stored(suffixes, "suffixes"), "suffix")
     domains = domains.withColumn("m", _strength(domains, "dn", "dk", "s_mean", least, most)).select("domain", "suffix", ((F.col("dk") + F.col("m") * F.col("s_mean")) / (F.col("dn") + F.col("m"))).alias("d_mean"))
-    hosts = hosts.join(domains, ["domain", "suffix"])
+    hosts = hosts.join(stored(domains, "domains"), ["domain", "suffix"])
     hosts = hosts.withColumn("m", _strength(hosts, "n", "k", "d_mean", least, most))
     a = F.col("m") * F.col("d_mean") + F.col("k")
     b = F.col("m") * (1 - F.col("d_mean")) + F.col("n") - F.col("k")
