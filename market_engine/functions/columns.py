@@ -33,13 +33,17 @@ def exact_avg(c, decimals: int = 5) -> Column:
 
     Prices are published with at most ``decimals`` decimals, so summing integer units is exact;
     the single division at the end is correctly rounded. The result is independent of the
-    partitioning and of summation order (a plain float ``avg`` is not). NULLs are ignored;
-    all-NULL groups give NULL.
+    partitioning and of summation order (a plain float ``avg`` is not). A group that holds a value
+    which is no such number (more decimals, NaN, beyond bigint) takes the plain ``avg`` of all its
+    values: nothing is rounded away or left out. NULLs are ignored; all-NULL groups give NULL.
     """
     scale = 10 ** decimals
-    # NaN / out-of-range values have no integer units: they count as missing, not as errors
-    units = F.round(_c(c) * scale).try_cast("bigint")
-    return F.try_divide(F.sum(units).cast("double"), F.count(units) * float(scale))
+    x = _c(c).cast("double")
+    units = F.round(x * scale).try_cast("bigint")
+    whole = F.bool_and(F.coalesce(units / F.lit(float(scale)) == x, x.isNull()))
+    total = F.try_sum(units).cast("double")
+    return F.when(whole & (total.isNotNull() | (F.count(x) == 0)), F.try_divide(total, F.count(x) * float(scale))
+                  ).otherwise(F.avg(x))
 
 
 def round_half_away(c, digits: int = 2) -> Column:

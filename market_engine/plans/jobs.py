@@ -10,13 +10,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from market_engine.constants import OPS_SOURCE_SYSTEM, PRICES_SOURCE_SYSTEM
 from market_engine.operators import ml, ml_outputs, quality
 from market_engine.plans import market
 from market_engine.session import materialise_frame
 from market_engine.sinks.tables import materialise, replace_partitions, with_load_date
-from market_engine.sources.pages import ops_from_pages
+from market_engine.sources.pages import incomplete_requests, ops_from_pages
 from market_engine.sources.prices import read_price_archives
 
 
@@ -37,9 +38,16 @@ def ingest_prices(spark: SparkSession, landing: str, raw_path: str, kind: str =
 
 
 def ingest_ops(spark: SparkSession, landing: str, raw_path: str, source_system: str = OPS_SOURCE_SYSTEM,
-               loaded_at: str | None = None) -> IngestResult:
-    """Entry 1 (operations): landed pages -> raw.ops_hourly, replacing (day, authority) partitions."""
+               loaded_at: str | None = None, allow_incomplete: bool = False) -> IngestResult:
+    """Entry 1 (operations): landed pages -> raw.ops_hourly, replacing (day, authority) partitions.
+
+    Refused while a request lacks rows (good days must not be replaced by parts of them), unless
+    ``allow_incomplete``."""
     ops, bad, totals = ops_from_pages(spark, landing, source_system, loaded_at)
+    if not allow_incomplete:
+        short = incomplete_requests(totals, bad).agg(F.count(F.lit(1)).alias("n"), F.min("request").alias("first")).first()
+        if short["n"]:
+            raise ValueError(f"{short['n']} request(s) under {landing} are incomplete, the first is {short['first']}")
     n = replace_partitions(with_load_date(ops, "period"), raw_path, ["load_date", "balancing_authority"])
     return IngestResult(n, bad, totals)
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LOAD_DATE = "load_date"
@@ -55,6 +56,35 @@ def replace_partitions(df: DataFrame, target: str, keys: Sequence[str], mode: st
     return n
 
 
+def merge_partitions(df: DataFrame, target: str, keys: Sequence[str], row_key: Sequence[str],
+                     newest: str = "loaded_at") -> int:
+    """A-22: merge ``df`` into the ``keys`` partitions it touches (Parquet path or catalog table).
+
+    The stored rows of those partitions are read (pruned by the range of each partition key, one
+    aggregate row; then matched null-safe) and written again together with the batch. Per
+    ``row_key`` the row with the latest ``newest`` stays, of equal stamps the batch's, so a partition
+    may arrive in parts and a replayed batch changes nothing. Returns the rows now in the partitions.
+    """
+    spark = df.sparkSession
+    try:
+        old = spark.read.schema(df.schema).parquet(target) if "/" in target else spark.table(target)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
+        old = None
+    rows = df.withColumn("_new", F.lit(1))
+    if old is not None:
+        span = df.agg(*[f(k).alias(f"{n}_{k}") for k in keys for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        for k in keys:
+            old = old.filter(F.col(k).between(F.lit(span[f"lo_{k}"]), F.lit(span[f"hi_{k}"])) | F.col(k).isNull())
+        touched = df.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        rows = rows.unionByName(old.select(*df.columns).join(touched, same, "left_semi").withColumn("_new", F.lit(0)))
+    w = Window.partitionBy(*dict.fromkeys([*keys, *row_key])).orderBy(F.col(newest).desc_nulls_last(), F.desc("_new"))
+    kept = rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_new")
+    return replace_partitions(kept, target, keys)
+
+
 def append_to(df: DataFrame, table: str) -> int:
     """A-12: append to an existing table (never creates it); returns rows written, 0 for empty input."""
     spark = df.sparkSession

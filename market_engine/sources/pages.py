@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from market_engine.constants import OPS_SOURCE_SYSTEM
 from market_engine.functions import instant_to_utc_ntz, parse_hour_period
@@ -17,23 +18,28 @@ from market_engine.schemas import OPS_PAGE
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page with its file path and request folder."""
-    df = (spark.read.schema(OPS_PAGE).option("multiLine", True).option("recursiveFileLookup", True)
+    """One row per page with its file path and request folder; ``_corrupt`` holds the text of a page
+    that is cut off or does not fit the schema."""
+    df = (spark.read.schema(T.StructType([*OPS_PAGE.fields, T.StructField("_corrupt", T.StringType())]))
+          .option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", True).option("recursiveFileLookup", True)
           .option("pathGlobFilter", "*.json").json(path))
     f = F.col("_metadata.file_path")
-    return df.select("error", "response", f.alias("page_file"),
+    return df.select("error", "response", "_corrupt", f.alias("page_file"),
                      F.regexp_replace(f, "/[^/]*$", "").alias("request"))
 
 
 def reject_error_pages(pages: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """A-4: pages with an ``error`` member are split off (or, ``strict``, fail the job)."""
-    bad = pages.filter(F.col("error").isNotNull())
-    good = pages.filter(F.col("error").isNull())
+    """A-4: pages with an ``error`` member, unreadable pages and pages without a ``response`` are split
+    off with what is wrong as ``error`` (or, ``strict``, fail the job)."""
+    wrong = F.when(F.col("_corrupt").isNotNull(), F.lit("unreadable page")).otherwise(F.coalesce(
+        "error", F.when(F.col("response").isNull(), F.lit("page without a response"))))
+    judged = pages.withColumn("error", wrong).drop("_corrupt")
+    good = judged.filter(F.col("error").isNull())
     if strict:
         # the predicate is evaluated for every page, so the first error page fails the job
-        good = pages.filter(F.when(F.col("error").isNull(), F.lit(True)).otherwise(
+        good = judged.filter(F.when(F.col("error").isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("operations API error: "), F.col("error")))))
-    return good, bad.select("page_file", "request", "error")
+    return good, judged.filter(F.col("error").isNotNull()).select("page_file", "request", "error")
 
 
 def explode_pages(good: DataFrame) -> DataFrame:
@@ -52,7 +58,14 @@ def check_page_totals(good: DataFrame) -> DataFrame:
                            F.size(F.coalesce("response.data", F.array())).alias("n"))
     g = per_page.groupBy("request").agg(F.max("total").alias("reported_total"), F.sum("n").alias("received_rows"),
                                         F.count(F.lit(1)).alias("pages"))
-    return g.withColumn("complete", F.col("reported_total") == F.col("received_rows"))
+    return g.withColumn("complete", F.coalesce(F.col("reported_total") == F.col("received_rows"), F.lit(False)))
+
+
+def incomplete_requests(totals: DataFrame, bad: DataFrame) -> DataFrame:
+    """Requests that miss rows: totals that differ or are unknown, or only rejected pages."""
+    short = totals.filter(~F.col("complete")).select("request")
+    lost = bad.select("request").distinct().join(totals.select("request"), "request", "left_anti")
+    return short.unionByName(lost)
 
 
 def ops_from_pages(spark: SparkSession, path: str, source_system: str = OPS_SOURCE_SYSTEM,

@@ -12,8 +12,11 @@ discovery), or from a ``NODE`` column mapped back through the hub->node table.
 
 from __future__ import annotations
 
+import csv
 import io
+import lzma
 import zipfile
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from market_engine.constants import HUB_NODES, PRICE_CSV_CANDIDATES, PRICE_ITEMS, PRICES_SOURCE_SYSTEM
-from market_engine.functions import instant_to_utc_ntz, parse_iso_utc
+from market_engine.functions import clean_key, instant_to_utc_ntz, parse_iso_utc
 from market_engine.operators.hourly import pivot_prices
 
 LONG_SCHEMA = T.StructType([
@@ -59,7 +62,10 @@ def _rows(path: str, status: str, detail: str = "") -> pd.DataFrame:
 
 def decode_price_csv(path: str, data: bytes) -> pd.DataFrame:
     """One CSV's bytes -> long rows in LONG_SCHEMA (or one quarantine row)."""
-    raw = pd.read_csv(io.BytesIO(data), dtype=str, keep_default_na=False, na_values=[""])
+    try:
+        raw = pd.read_csv(io.BytesIO(data), dtype=str, keep_default_na=False, na_values=[""], encoding="utf-8-sig")
+    except ValueError as e:  # no columns, ragged rows, bytes that are not UTF-8
+        return _rows(path, "bad_csv", f"{type(e).__name__}: {e}"[:500])
     if raw.empty:
         return _rows(path, "empty", "csv has no rows")
     raw = normalise_header(raw)
@@ -87,8 +93,12 @@ def decode_archive(path: str, data: bytes) -> pd.DataFrame:
     members = [n for n in zf.namelist() if n.lower().endswith(".csv")]
     if not members:
         return _rows(path, "no_csv", ";".join(zf.namelist()))
-    with zf.open(members[0]) as f:
-        return decode_price_csv(path, f.read())
+    try:
+        data = zf.read(members[0])
+    except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError) as e:
+        # damaged, cut off, encrypted, or of an unknown compression
+        return _rows(path, "bad_member", f"{members[0]}: {type(e).__name__}: {e}"[:500])
+    return decode_price_csv(path, data)
 
 
 def read_price_files(spark: SparkSession, path: str, kind: str = "zip", glob: str | None = None) -> DataFrame:
@@ -119,21 +129,29 @@ def read_price_files(spark: SparkSession, path: str, kind: str = "zip", glob: st
     return files.select("path", "content", *part_cols).mapInPandas(run, schema)
 
 
-def split_quarantine(long: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Data rows and one row per rejected file (path, status, detail)."""
-    long = long.persist(StorageLevel.MEMORY_AND_DISK)
-    ok = long.filter(F.col("status") == "ok")
+def split_quarantine(long: DataFrame, hub: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Data rows, and what is rejected (path, status, detail): one row per undecodable file, and one per
+    file and node (or hub folder) whose trading hub is unknown."""
+    long = long.withColumn("_hub", _hub_column(long, hub)).persist(StorageLevel.MEMORY_AND_DISK)
+    known = F.col("_hub").isNotNull()
+    ok = long.filter((F.col("status") == "ok") & known).drop("_hub")
     bad = long.filter(F.col("status") != "ok").select("source_file", "status", "detail")
-    return ok, bad
+    folder = F.col("trading_hub").cast("string") if "trading_hub" in long.columns else F.lit(None).cast("string")
+    lost = long.filter((F.col("status") == "ok") & ~known).select(
+        "source_file", F.lit("unknown_hub").alias("status"), F.coalesce(folder, "node").alias("detail")).distinct()
+    return ok, bad.unionByName(lost)
 
 
 def _hub_column(long: DataFrame, hub: str | None) -> F.Column:
+    """The trading hub of a row: given, named by the landing folder, or of its node; NULL if unknown."""
     if hub is not None:
         return F.lit(hub)
-    if "trading_hub" in long.columns:
-        return F.upper(F.col("trading_hub").cast("string"))
     inverse = F.create_map(*[x for k, v in HUB_NODES.items() for x in (F.lit(v), F.lit(k))])
-    return inverse[F.col("node")]
+    by_node = F.try_element_at(inverse, F.trim("node"))
+    if "trading_hub" in long.columns:
+        folder = clean_key(F.col("trading_hub").cast("string"))
+        return F.when(folder.isNull(), by_node).when(folder.isin(list(HUB_NODES)), folder)
+    return by_node
 
 
 def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = PRICES_SOURCE_SYSTEM,
@@ -155,31 +173,57 @@ def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = PR
 
 def read_price_archives(spark: SparkSession, path: str, kind: str = "zip", **stamps) -> tuple[DataFrame, DataFrame]:
     """A-1 end to end: (raw.lmp_5min rows, quarantine rows)."""
-    ok, bad = split_quarantine(read_price_files(spark, path, kind))
+    ok, bad = split_quarantine(read_price_files(spark, path, kind), stamps.get("hub"))
     return prices_from_long(ok, **stamps), bad
 
 
-def read_price_csv(spark: SparkSession, path: str, **stamps) -> DataFrame:
-    """A-2 for large plain CSVs of one header variant: Spark's splittable CSV reader, header
-    names normalised and resolved on ``df.columns`` (first candidate present; fails when a
-    logical column is missing). Mixed-header landing areas: read per variant and union (G-1)."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    seen, cols = set(), []
-    for c in df.columns:
-        n = c.strip().upper()
-        if n not in seen:
-            seen.add(n)
-            cols.append(F.col(f"`{c}`").alias(n))
-    df = df.select(*cols)
-    res = resolve_columns(df.columns, PRICE_CSV_CANDIDATES)
-    missing = [k for k, v in res.items() if v is None]
-    if missing:
-        raise ValueError(f"price CSV at {path} lacks columns for {missing}; header: {df.columns}")
-    node = next((c for c in NODE_CANDIDATES if c in df.columns), None)
-    long = df.select(
-        F.input_file_name().alias("source_file"),
-        F.col(res["start"]).alias("start_raw"), F.col(res["end"]).alias("end_raw"),
-        F.upper(F.trim(F.col(res["item"]))).alias("item"), F.col(res["value"]).alias("value"),
-        (F.col(node) if node else F.lit(None).cast("string")).alias("node"),
-        F.monotonically_increasing_id().alias("line"))
-    return prices_from_long(long, **stamps)
+def csv_variants(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(header names, files) per header line found under ``path``.
+
+    A file's header is the first line of its first block. What comes to the driver is one row per
+    file, as in Spark's own listing of them."""
+    lines = spark.read.option("recursiveFileLookup", False).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = lines.filter("start = 0 and trim(value) <> ''").select("file", "value", F.monotonically_increasing_id().alias("line"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    files: dict[str, list[str]] = {}
+    for r in heads.orderBy("file").toLocalIterator():
+        files.setdefault(r.header, []).append(r.file)
+    return [([c.strip().upper() for c in next(csv.reader([h.lstrip("\ufeff")]))], f) for h, f in files.items()]
+
+
+def read_price_csv(spark: SparkSession, path: str, **stamps) -> tuple[DataFrame, DataFrame]:
+    """A-2 for large plain CSVs through Spark's splittable reader: (raw.lmp_5min rows, quarantine rows).
+
+    Every file's own header decides its columns (first candidate present; of names that repeat the
+    first): files are read per header variant and united. Files that lack a logical column and rows
+    of unknown hubs go to the quarantine, as in A-1."""
+    fields = [f for f in LONG_SCHEMA.fields]
+    long = spark.createDataFrame([], T.StructType(fields))
+    for names, files in csv_variants(spark, path):
+        first = {n: f"c{i}" for i, n in reversed(list(enumerate(names)))}
+        res = resolve_columns(first, PRICE_CSV_CANDIDATES)
+        missing = [k for k, v in res.items() if v is None]
+        if missing:
+            part = spark.createDataFrame([(f, "missing_columns", ",".join(missing)) for f in files],
+                                         "source_file string, status string, detail string")
+        else:
+            schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+            df = spark.read.schema(schema).option("header", True).option("basePath", _folder(path)).csv(files)
+            node = next((first[c] for c in NODE_CANDIDATES if c in first), None)
+            col = {k: F.col(first[v]) for k, v in res.items()}
+            part = df.select(
+                F.col("_metadata.file_path").alias("source_file"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("detail"),
+                col["start"].alias("start_raw"), col["end"].alias("end_raw"),
+                F.upper(F.trim(col["item"])).alias("item"), col["value"].alias("value"),
+                (F.col(node) if node else F.lit(None).cast("string")).alias("node"),
+                F.monotonically_increasing_id().alias("line"),
+                *[F.col(c) for c in ("trading_hub",) if c in df.columns])
+        long = long.unionByName(part, allowMissingColumns=True)
+    ok, bad = split_quarantine(long, stamps.get("hub"))
+    return prices_from_long(ok, **stamps), bad
+
+
+def _folder(path: str) -> str:
+    """The folder that partition discovery starts from: ``path``, or that of the one file it names."""
+    return path.rsplit("/", 1)[0] if path.lower().endswith(".csv") else path

@@ -16,17 +16,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from market_engine.functions import clean_key, exact_avg, instant_to_utc_ntz, utc_ntz_to_instant
 from market_engine.operators.stress import spike_flag, stress_severity
-from market_engine.sinks.tables import replace_partitions
+from market_engine.sinks.tables import merge_partitions
+
+
+#: What identifies a 5-minute price row.
+PRICE_KEY = ("interval_start", "trading_hub", "market", "source_system")
 
 
 def stream_ingest(spark: SparkSession, source: str, schema, target: str, keys, checkpoint: str,
                   fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """A-22: newly landed files -> idempotent partition replace per micro-batch (A-9/A-10).
+                  available_now: bool = True, row_key=PRICE_KEY, newest: str = "loaded_at") -> StreamingQuery:
+    """A-22: newly landed files -> merge into the touched partitions per micro-batch.
 
     The file source tracks which files were processed in ``checkpoint``; a rerun after a
-    failure resumes from the last committed batch, and the partition overwrite makes a
-    replayed batch harmless.
+    failure resumes from the last committed batch. Each batch is merged on ``row_key`` with what
+    its partitions already hold (the latest ``newest`` wins), so a partition may arrive in any
+    number of batches, and a replayed batch changes nothing.
     """
     src = spark.readStream.schema(schema).format(fmt).load(source)
     if transform is not None:
@@ -34,7 +39,7 @@ def stream_ingest(spark: SparkSession, source: str, schema, target: str, keys, c
 
     def write(batch: DataFrame, epoch: int) -> None:
         if not batch.isEmpty():
-            replace_partitions(batch, target, keys)
+            merge_partitions(batch, target, keys, row_key, newest)
 
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

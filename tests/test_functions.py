@@ -1,3 +1,4 @@
+import math
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,12 +44,18 @@ def test_conform_ensure_union_and_hub_map(spark):
         hubs.select(clean.map_hub("h").alias("n")).collect()
 
 
-def test_nan_is_missing_and_exact_avg_guards(spark):
+def test_exact_avg_leaves_nothing_out(spark):
     df = spark.createDataFrame([("1.5",), ("NaN",), ("x",), ("2.5",)], "v string")
     vals = [r.v for r in df.select(MF.try_double("v").alias("v")).collect()]
     assert vals == [1.5, None, None, 2.5]
-    nums = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (1e300,)], "x double")
-    assert nums.agg(MF.exact_avg("x").alias("a")).first().a == 2.0
+    avg = lambda *xs: spark.createDataFrame([(x,) for x in xs], "x double").agg(
+        MF.exact_avg("x").alias("a")).first().a
+    assert avg(1.0, None, 3.0) == 2.0 and avg(None, None) is None
+    # what is no number of five decimals is averaged as it is, never left out
+    assert math.isnan(avg(1.0, float("nan"), 3.0))
+    assert avg(0.000004, 0.000004, 1e14) == pytest.approx(1e14 / 3)
+    assert avg(1.0, 1e300) == pytest.approx(5e299)
+    assert avg(9e13, 9e13) == 9e13
 
 
 def test_exact_avg_is_the_correctly_rounded_mean(spark):

@@ -88,13 +88,81 @@ def test_plain_csv_reader(spark, tmp_path_run):
     with open(os.path.join(d, "p.csv"), "w") as f:
         f.write(f"STARTTIME,ENDTIME,NODE,DATA_ITEM,VALUE\n{s},{e},TH_SP15_GEN-APND,LMP,20\n"
                 f"{s},{e},TH_SP15_GEN-APND,MCL,0.1\n")
-    df = PR.read_price_csv(spark, d, loaded_at="2024-02-01 00:00:00")
+    df, bad = PR.read_price_csv(spark, d, loaded_at="2024-02-01 00:00:00")
     r = df.collect()
+    assert bad.count() == 0
     assert len(r) == 1 and r[0].trading_hub == "SP15" and r[0].lmp == 20.0 and r[0].loss_component == 0.1
     with open(os.path.join(tmp_path_run, "bad.csv"), "w") as f:
         f.write("A,B\n1,2\n")
-    with pytest.raises(ValueError):
-        PR.read_price_csv(spark, os.path.join(tmp_path_run, "bad.csv"))
+    df, bad = PR.read_price_csv(spark, os.path.join(tmp_path_run, "bad.csv"))
+    assert df.count() == 0 and [r.status for r in bad.collect()] == ["missing_columns"]
+
+
+def test_plain_csv_files_have_headers_of_their_own(spark, tmp_path_run):
+    d = os.path.join(tmp_path_run, "csv")
+    os.makedirs(os.path.join(d, "trading_hub=NP15"))
+    (s0, e0), (s1, e1), (s2, e2) = _iv(0), _iv(1), _iv(2)
+    at = lambda n: os.path.join(d, "trading_hub=NP15", n)
+    with open(at("a.csv"), "w") as f:
+        f.write(f"STARTTIME,ENDTIME,DATA_ITEM,VALUE\n{s0},{e0},LMP,20\n")
+    with open(at("b.csv"), "w") as f:
+        f.write(f" value ,data_item,endtime,starttime\n21,LMP,{e1},{s1}\n22,LMP,{e2},{s2}\n")
+    with open(at("c.csv"), "w") as f:                    # a name that repeats: the first column counts
+        f.write(f"MW,LMP_TYPE,STARTTIME,ENDTIME,MW\n0.5,MCC,{s0},{e0},99\n")
+    with open(at("d.csv"), "w") as f:
+        f.write("A,B\n1,2\n")
+    df, bad = PR.read_price_csv(spark, d, loaded_at="2024-02-01 00:00:00")
+    got = {r.interval_start.minute: r for r in df.collect()}
+    assert {m: r.lmp for m, r in got.items()} == {0: 20.0, 5: 21.0, 10: 22.0}
+    assert got[0].congestion_component == 0.5 and {r.trading_hub for r in got.values()} == {"NP15"}
+    assert [(r.source_file[-5:], r.status) for r in bad.collect()] == [("d.csv", "missing_columns")]
+
+
+def test_every_damaged_archive_is_quarantined(spark, tmp_path_run):
+    d = os.path.join(tmp_path_run, "zips")
+    os.makedirs(d)
+    s, e = _iv(0)
+    at = lambda n: os.path.join(d, n)
+    _zip(at("good.zip"), {"p.csv": _csv([(s, e, "TH_NP15_GEN-APND", "LMP", 30, 0)])})
+    _zip(at("node.zip"), {"p.csv": _csv([(s, e, "NO_SUCH_NODE", "LMP", 30, 0)] * 10)})
+    _zip(at("empty.zip"), {"p.csv": ""})
+    _zip(at("head.zip"), {"p.csv": HEADER})
+    _zip(at("ragged.zip"), {"p.csv": HEADER + "1,2\n" + ",".join("1" * 9) + "\n"})
+    _zip(at("bytes.zip"), {"p.csv": HEADER.encode() + b"\xff\xfe,2,3,4,5,6\n"})
+    with zipfile.ZipFile(at("member.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("p.csv", _csv([(s, e, "TH_NP15_GEN-APND", "LMP", i, 0) for i in range(200)]))
+    raw = bytearray(open(at("member.zip"), "rb").read())
+    raw[60:120] = bytes(60)
+    open(at("member.zip"), "wb").write(raw)
+    prices, bad = PR.read_price_archives(spark, d, loaded_at="2024-02-01 00:00:00")
+    assert [(r.trading_hub, r.lmp) for r in prices.collect()] == [("NP15", 30.0)]
+    got = {r.source_file.rsplit("/", 1)[1]: r.status for r in bad.collect()}
+    assert got == {"node.zip": "unknown_hub", "empty.zip": "bad_csv", "head.zip": "empty", "ragged.zip": "bad_csv",
+                   "bytes.zip": "bad_csv", "member.zip": "bad_member"}
+
+
+def test_broken_pages_are_rejected_and_stop_the_replace(spark, tmp_path_run):
+    from market_engine.plans import jobs
+    root, raw = os.path.join(tmp_path_run, "ops"), os.path.join(tmp_path_run, "raw")
+    for r in ("r1", "r2", "r3"):
+        os.makedirs(os.path.join(root, r))
+    recs = [{"period": "2024-01-15T00", "respondent": "CISO", "type": "D", "value": "100"}]
+    _page(os.path.join(root, "r1", "p0.json"), 1, recs)
+    _page(os.path.join(root, "r2", "p0.json"), 1, recs)
+    with open(os.path.join(root, "r2", "p0.json")) as f:
+        text = f.read()
+    with open(os.path.join(root, "r2", "p0.json"), "w") as f:
+        f.write(text[:-30])                              # cut off in a transfer
+    with open(os.path.join(root, "r3", "p0.json"), "w") as f:
+        f.write("{}")
+    ops, bad, totals = P.ops_from_pages(spark, root, loaded_at="2024-02-01 00:00:00")
+    assert {(r.request[-2:], r.error) for r in bad.collect()} == {
+        ("r2", "unreadable page"), ("r3", "page without a response")}
+    assert [(r.request[-2:], r.complete) for r in totals.collect()] == [("r1", True)] and ops.count() == 1
+    with pytest.raises(ValueError, match="2 request"):
+        jobs.ingest_ops(spark, root, raw)
+    assert not os.path.exists(raw)
+    assert jobs.ingest_ops(spark, root, raw, allow_incomplete=True).rows == 1
 
 
 def _page(path, total, data=None, error=None):

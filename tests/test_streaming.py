@@ -85,6 +85,18 @@ def test_stream_ingest_is_idempotent(spark, tmp_path_run):
     assert t.filter("trading_hub = 'NP15' and load_date = '2024-01-15'").agg(F.max("lmp")).first()[0] == 11.0
 
 
+def test_stream_ingest_merges_parts_of_a_partition(spark, tmp_path_run):
+    land, target = os.path.join(tmp_path_run, "land"), os.path.join(tmp_path_run, "raw")
+    ck = os.path.join(tmp_path_run, "ck")
+    tf = lambda df: with_load_date(df, "interval_start")
+    for hour in (0, 1, 1):                               # one day and hub in two parts, the second twice
+        _land(spark, land, [(60 * hour + 5 * i, "NP15", 10.0 + hour) for i in range(12)])
+        SP.stream_ingest(spark, land, LMP_5MIN, target, ["load_date", "trading_hub"], ck, transform=tf).awaitTermination()
+    t = spark.read.parquet(target)
+    assert t.count() == 24 and t.select("interval_start").distinct().count() == 24
+    assert t.agg(F.sum("lmp")).first()[0] == 12 * 10.0 + 12 * 11.0
+
+
 def test_stream_hours_do_not_depend_on_session_zone(spark, tmp_path_run):
     land = os.path.join(tmp_path_run, "land")
     _land(spark, land, [(60 * h + 5 * i, "NP15", 10.0 + h) for h in range(6) for i in range(12)])
