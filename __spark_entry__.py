@@ -28,7 +28,7 @@ from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, SEVE
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
-from market_engine.session import checkpoint_dir, local_fallback, materialise_frame
+from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback
 from market_engine.streaming import prices as SP
 from market_engine.sources import adapters, tables
 
@@ -560,7 +560,7 @@ _SQL_NUM = {c: (f"cast({c} as double)" if c == "is_weekend" else c) for c in _FR
 
 def _frame(spark, sf):
     lay = L(spark, sf)
-    return ml.next_hour_target(lay.stress, method=lay.row_method)
+    return ml.next_hour_target(lay.stress)
 
 
 @reg("e02_next_hour_target", f"select hour_utc, trading_hub, price_spike_flag, next_hour_price_spike_flag from {_FRAME}")
@@ -597,7 +597,7 @@ def _imputed_sql() -> str:
 @reg("m04_imputed_frame", _imputed_sql())
 def q_m04(spark, sf):
     lay = L(spark, sf)
-    return _stable(ml.build_features(lay.stress, target_method=lay.row_method).df, ["lmp_stddev"])
+    return _stable(ml.build_features(lay.stress).df, ["lmp_stddev"])
 
 
 @reg("d12_all_null_columns", "select " + ", ".join(f"count({c}) as {c}" for c in _FRAME_NUM) + f" from {_FRAME}")
@@ -621,8 +621,8 @@ select hour_utc, trading_hub, next_hour_price_spike_flag,
 from {_FRAME}""")
 def q_e04(spark, sf):
     lay = L(spark, sf)
-    fr = ml.next_hour_target(lay.stress, method=lay.row_method)
-    return ml.stratified_split(fr, method=lay.split_method).select("hour_utc", "trading_hub", ml.TARGET, "is_test")
+    fr = ml.next_hour_target(lay.stress)
+    return ml.stratified_split(fr).select("hour_utc", "trading_hub", ml.TARGET, "is_test")
 
 
 @reg("e04_stratified_split_distributed", f"""
@@ -703,8 +703,8 @@ def q_m16(spark, sf):
 # =============================================================== model (rows-only checks)
 def _trained(spark, sf, kind="logreg"):
     lay = L(spark, sf)
-    ff = ml.build_features(lay.stress, target_method=lay.row_method)
-    split = materialise_frame(ml.stratified_split(ff.df, method=lay.split_method))
+    ff = ml.build_features(lay.stress)
+    split = materialise_frame(ml.stratified_split(ff.df))
     train, test = split.filter("not is_test"), split.filter("is_test")
     model = ml.train_classifier(train, ff.numeric, ff.categorical, kind=kind)
     return ff, train, test, model
@@ -751,13 +751,13 @@ def _stream_events(spark, sf):
 
 def _stream_ck(spark) -> str:
     import uuid
-    base = checkpoint_dir(spark, local_fallback)
+    base = checkpoint_dir(spark, shared_fallback(spark))
     return f"{base.rstrip('/')}/streams/{uuid.uuid4().hex}"
 
 
 def _run(df, spark):
-    import uuid
-    return SP.run_to_memory(df, f"s_{uuid.uuid4().hex}", _stream_ck(spark))
+    folder = _stream_ck(spark)
+    return SP.run_to_parquet(df, f"{folder}/rows", f"{folder}/progress")
 
 
 _CLOSED = "hour_utc + interval 1 hour <= (select max(interval_start) from lmp_5min) - interval 2 hour"

@@ -63,12 +63,3 @@ def distributed_running_count(df: DataFrame, partition_by: Sequence[str], bucket
     local = (Window.partitionBy(*keys, "_bkt").orderBy(*order_by)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return joined.withColumn(name, F.col("_off") + F.sum(weight).over(local) - F.col(weight)).drop("_bkt", "_off")
-
-
-SMALL_ROWS = 2_000_000
-
-
-def fits_one_task(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
-    """Size check behind the "auto" strategies: True when the whole input has at most ``limit``
-    rows, so any single group of it is bounded by ``limit`` as well."""
-    return df.count() <= limit

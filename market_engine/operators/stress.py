@@ -16,7 +16,7 @@ def _qname(q: float) -> str:
 
 def hub_thresholds(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99), value: str = "lmp_avg",
                    key: str = "trading_hub", exact: bool = True, accuracy: int = 10000,
-                   method: str = "aggregate") -> DataFrame:
+                   method: str = "distributed") -> DataFrame:
     """D-2: per-hub percentile thresholds (interpolated, like ``percentile_cont``), mean, stddev.
 
     ``method="aggregate"``: ``percentile(x, array(...))``, one buffer per hub holding its
@@ -29,7 +29,8 @@ def hub_thresholds(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99
                                       F.stddev_samp(value).alias("lmp_historical_stddev"))
     if exact and method == "distributed":
         q = exact_percentiles(features, quantiles, value, key)
-        return q.join(stats, key).select(key, *[_qname(x) for x in quantiles],
+        # every hub stays: one whose prices are all NULL has NULL thresholds
+        return stats.join(q, key, "left").select(key, *[_qname(x) for x in quantiles],
                                          "lmp_historical_mean", "lmp_historical_stddev")
     qs = F.array(*[F.lit(float(q)) for q in quantiles])
     pct = F.percentile(value, qs) if exact else F.percentile_approx(value, qs, accuracy)
@@ -119,7 +120,7 @@ def classify(features: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def market_stress(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99), exact: bool = True,
-                  method: str = "aggregate") -> DataFrame:
+                  method: str = "distributed") -> DataFrame:
     """D-2 -> C-2 -> B-12/B-13 over the feature table (static thresholds over the full history)."""
     return classify(features, hub_thresholds(features, quantiles, exact=exact, method=method))
 

@@ -20,7 +20,7 @@ from market_engine.operators.dashboard import dashboard_view
 from market_engine.operators.features import market_features
 from market_engine.operators.hourly import hourly_prices, staged_ops
 from market_engine.operators.stress import market_stress
-from market_engine.session import checkpoint_dir, local_fallback
+from market_engine.session import checkpoint_dir, shared_fallback
 from market_engine.sources import adapters
 
 
@@ -30,12 +30,9 @@ class MarketParams:
     balancing_authority: str = DEFAULT_BA
     lags: Sequence[int] = DEFAULT_LAGS
     lag_mode: str = "rows"
-    # "auto": the single-shuffle plans (per-hub window, per-hub percentile buffer) only when
-    # the whole raw input has at most ``small_input_rows`` rows (a bound on any hub's hourly
-    # history); beyond it the distributed plans ("join" lags, "distributed" percentiles).
-    lag_method: str = "auto"
-    threshold_method: str = "auto"
-    small_input_rows: int = 2_000_000
+    # one path at every size: "window" / "aggregate" (one task per hub) exist for comparison only
+    lag_method: str = "join"
+    threshold_method: str = "distributed"
     week_start: str = "monday"
     quantiles: Sequence[float] = (0.95, 0.99)
     exact_percentiles: bool = True
@@ -63,44 +60,22 @@ class MarketLayers:
     def stg_ops(self) -> DataFrame:
         return staged_ops(self._get(self._raw_ops))
 
-    @cached_property
-    def small_input(self) -> bool:
-        """Size check for the "auto" strategies: a row count of the raw price input (served
-        from Parquet footers when the input is a plain scan + projection)."""
-        return self._get(self._raw_prices).count() <= self.params.small_input_rows
-
-    @property
-    def row_method(self) -> str:
-        """Ordering strategy for per-hub row offsets downstream (next-hour target): "window" or "join"."""
-        return self._resolve(self.params.lag_method, "window", "join")
-
-    @property
-    def split_method(self) -> str:
-        """Strategy for the per-class split ordering: "window" or "distributed"."""
-        return "window" if self.row_method == "window" else "distributed"
-
-    def _resolve(self, method: str, small: str, large: str) -> str:
-        if method != "auto":
-            return method
-        return small if self.small_input else large
-
     @cached_property
     def features(self) -> DataFrame:
         p = self.params
-        lag_method = self._resolve(p.lag_method, "window", "join")
         f = market_features(self.stg_prices, self.stg_ops, p.market, p.balancing_authority,
-                            p.lags, p.lag_mode, p.week_start, lag_method)
+                            p.lags, p.lag_mode, p.week_start, p.lag_method)
         if self.materialise == "persist":
             return f.persist(StorageLevel.MEMORY_AND_DISK)
         if self.materialise == "checkpoint":
-            checkpoint_dir(f.sparkSession, fallback=local_fallback)
+            checkpoint_dir(f.sparkSession, fallback=shared_fallback(f.sparkSession))
             return f.checkpoint(eager=True)
         return f
 
     @cached_property
     def stress(self) -> DataFrame:
-        method = self._resolve(self.params.threshold_method, "aggregate", "distributed")
-        return market_stress(self.features, self.params.quantiles, self.params.exact_percentiles, method)
+        p = self.params
+        return market_stress(self.features, p.quantiles, p.exact_percentiles, p.threshold_method)
 
     @cached_property
     def dashboard(self) -> DataFrame:

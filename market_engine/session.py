@@ -24,14 +24,18 @@ DEFAULT_CONF = {
 
 
 def get_session(
-    master: str = "local[8]",
+    master: str | None = None,
     app: str = "market_engine",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     conf: dict | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session with the engine's settings; master and shuffle partitions are the cluster's unless given."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)
@@ -40,10 +44,10 @@ def get_session(
     return spark
 
 
-def local_fallback() -> str:
-    """A fresh scratch folder for runs without a cluster checkpoint setting (tests, local)."""
-    import tempfile
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+def shared_fallback(spark: SparkSession) -> str:
+    """Where checkpoints go if ``spark.checkpoint.dir`` is unset: beside the session's tables, in the
+    warehouse, which driver and executors share."""
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def checkpoint_dir(spark: SparkSession, fallback=None) -> str | None:

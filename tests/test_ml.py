@@ -42,6 +42,31 @@ def test_stratified_split_is_disjoint_stratified_and_deterministic(stress):
     assert s.exceptAll(ml.stratified_split(fr)).count() == 0
 
 
+def test_split_of_a_class_with_one_row_is_not_stratified(stress):
+    fr = ml.next_hour_target(stress)
+    one = fr.filter(f"{ml.TARGET} = 1").orderBy("hour_utc", "trading_hub").limit(1)
+    few = fr.filter(f"{ml.TARGET} = 0").unionByName(one)
+    for method in ("distributed", "window"):
+        n, test = ml.stratified_split(few, method=method).agg(F.count("*"), F.count_if("is_test")).first()
+        assert n == few.count() and test == -(-n // 4)
+
+
+def test_medians_equal_percentile_without_one_task(stress):
+    cols = ["lmp_avg", "lmp_stddev", "demand_mwh", "hour_of_day"]
+    got = ml.medians(stress, cols).first().asDict()
+    want = stress.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols]).first().asDict()
+    assert got == want
+    assert "percentile(" not in ml.medians(stress, cols)._jdf.queryExecution().toString()
+
+
+def test_hub_without_prices_keeps_its_row(spark):
+    from market_engine.operators.stress import hub_thresholds
+    df = spark.createDataFrame([("A", 1.0), ("A", 3.0), ("B", None)], "trading_hub string, lmp_avg double")
+    rows = {r.trading_hub: r.lmp_p95_threshold for r in hub_thresholds(df).collect()}
+    assert rows["B"] is None and rows == {
+        r.trading_hub: r.lmp_p95_threshold for r in hub_thresholds(df, method="aggregate").collect()}
+
+
 def test_temporal_split(stress):
     fr = ml.next_hour_target(stress)
     s = ml.temporal_split(fr)

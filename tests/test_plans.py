@@ -22,8 +22,19 @@ def test_distributed_lags_read_the_rollup_once(spark):
     assert "Scan parquet" not in plan                   # every branch reads the materialised input
 
 
+def test_default_mart_broadcasts_thresholds_to_the_features(spark):
+    plan = _plan(market.from_testdata(spark, SF01, materialise="none").stress)
+    tree = [ln for ln in plan.split("\n\n")[0].splitlines() if "Join" in ln]
+    assert "BroadcastHashJoin LeftOuter" in tree[0]      # the outermost join: features with thresholds
+    assert "percentile(" not in plan and "Window [lag" not in plan
+    reads = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")]
+    assert all("event_type" not in r or "props" not in r for r in reads)
+
+
 def test_mart_prunes_scans_and_broadcasts_thresholds(spark):
-    lay = market.from_testdata(spark, SF01, materialise="none")
+    # the one-task-per-hub form, kept for comparison
+    params = market.MarketParams(lag_method="window", threshold_method="aggregate")
+    lay = market.from_testdata(spark, SF01, params, materialise="none")
     plan = _plan(lay.stress)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     reads = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema")]
