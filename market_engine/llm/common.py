@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: White space that separates words: space and U+0009 to U+000D.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+#: Spark's setting that removes a query's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 
 
@@ -27,10 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, survives lost
-    executors, and later readers see only the columns they ask for."""
+    executors, and later readers see only the columns they ask for. Once the table stands nobody reads the
+    shuffle files of its query, so Spark is told to remove them at the query's end, not at some later GC."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
