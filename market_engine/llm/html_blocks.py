@@ -1,12 +1,19 @@
 """Main text of HTML pages by two-pass block rules.
 
-Markup is cut into blocks at block-level tags. Pass one decides each block: inside a part that is not the
-article (navigation, header, footer, sidebar, notice, advert, form, reader comments: by element, role
-or the words of class and id) it is out; with many links it is out; inside a declared article or main
-part it is in, and a page that declares one has nothing else in; otherwise long blocks with enough stop
-words are in and long ones without any are out. The rest, headings and short blocks, is ambiguous, and
-pass two gives it the label of the nearest decided neighbours: of two that disagree the nearer one's,
-at equal distance it is out unless it is a heading, which goes with what follows.
+Markup is cut into blocks at block-level tags. A block inside a part that is not the article (navigation,
+header, footer, sidebar, notice, advert, form, reader comments: by element, role or the words of class and
+id) is out. Pass one decides every other block by its own text: with many links it is out, long with enough
+stop words it is in, long with links and without any it is out. The rest, headings and short blocks, is
+ambiguous, and pass two gives it the label of the nearest decided neighbours: of two that disagree the nearer
+one's, at equal distance it is out unless it is a heading, which goes with what follows.
+
+A declared part (article, main) is one feature of this. The one that holds most of the text that pass one
+decided to be in, else all of them together if they hold as much as is outside give or take two short blocks,
+leads: pass one is repeated with a bias. Inside, twice the share of links is allowed, a linked heading is
+ambiguous, and nothing is out for lack of stop words alone; outside, only a block three times as long with twice the stop words is in. Pass two
+then looks for neighbours on the block's own side of the part's border, inside not at parts that are out, and
+where there are none, or of two at equal distance, the side decides. Without a leading part there is no bias.
+Class and id words put an article out too, unless those so named hold most of the decided text.
 
 Each page is one row of work; pages are independent and nothing is shuffled.
 
@@ -52,11 +59,11 @@ pagination pager login signup search widget hidden""".split())
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "heading", "out", "main")
+    __slots__ = ("parts", "linked", "heading", "out", "main", "named")
 
-    def __init__(self, heading: bool, out: bool, main: bool):
+    def __init__(self, heading: bool, out: bool, main: int, named: bool):
         self.parts: list[str] = []
-        self.linked, self.heading, self.out, self.main = 0, heading, out, main
+        self.linked, self.heading, self.out, self.main, self.named = 0, heading, out, main, named
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -72,15 +79,20 @@ def _leads_out(tag: str, raw: str) -> bool:
     if a.get("role", "").lower() in _OUT_ROLE or "hidden" in a or a.get("aria-hidden", "") == "true" or re.search(
             r"display\s*:\s*none", a.get("style", "")):
         return True
+    return tag not in _MAIN and tag not in ("body", "html") and _out_words(a)
+
+
+def _out_words(a: dict[str, str]) -> bool:
     words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a.get("class", "") + " " + a.get("id", "")).lower())
-    return tag not in _MAIN and tag not in ("body", "html") and not _OUT_WORD.isdisjoint(words)
+    return not _OUT_WORD.isdisjoint(words)
 
 
-def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool]]:
-    """(text, share of it in links, heading, outside by structure, in a declared main part) in page order."""
-    blocks = [_Block(False, False, False)]
-    stack: list[tuple[str, bool, bool]] = []  # open block elements: tag, out, main
-    links, at = 0, 0
+def blocks_of(page: str) -> list[tuple[str, float, bool, bool, int, bool]]:
+    """(text, share of it in links, heading, outside by structure, number of the outermost declared part or
+    0, in an article whose class or id names a part outside) in page order."""
+    blocks = [_Block(False, False, 0, False)]
+    stack: list[tuple[str, bool, int, bool]] = []  # open block elements: tag, out, main, named
+    links, at, declared = 0, 0, 0
 
     def text(s: str) -> None:
         if s:
@@ -101,62 +113,93 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             text(" ")
         elif tag in _BLOCK:
             if m["close"]:
-                if any(t == tag for t, _, _ in stack):
+                if any(x[0] == tag for x in stack):
                     while stack.pop()[0] != tag:
                         pass
             elif tag not in _NO_END:
-                out, main = stack[-1][1:] if stack else (False, False)
-                stack.append((tag, out or _leads_out(tag, m["attrs"]), main or tag in _MAIN or "main" in re.findall(
-                    r"role\s*=\s*[\"']?(\w+)", m["attrs"])))
-            out, main = stack[-1][1:] if stack else (False, False)
+                out, main, named = stack[-1][1:] if stack else (False, 0, False)
+                if not main and (tag in _MAIN or "main" in re.findall(r"role\s*=\s*[\"']?(\w+)", m["attrs"])):
+                    declared += 1
+                    main = declared
+                named = named or tag == "article" and _out_words(_attributes(m["attrs"]))
+                stack.append((tag, out or _leads_out(tag, m["attrs"]), main, named))
+            out, main, named = stack[-1][1:] if stack else (False, 0, False)
             if tag == "p" and not m["close"] and not out:
                 out = _leads_out(tag, m["attrs"])
-            blocks.append(_Block(tag in _HEADING and not m["close"], out, main))
+            blocks.append(_Block(tag in _HEADING and not m["close"], out, main, named))
     text(page[at:])
     found = []
     for b in blocks:
         words = " ".join("".join(b.parts).split())
         if words:
-            found.append((words, b.linked / max(1, len(words) - words.count(" ")), b.heading, b.out, b.main))
+            found.append((words, b.linked / max(1, len(words) - words.count(" ")), b.heading, b.out, b.main, b.named))
     return found
 
 
+def _first_pass(words: str, linked: float, heading: bool, side: int, max_links: float, short: int, min_stop: float) -> bool | None:
+    """In, out or ambiguous by the block's own text; ``side`` 1: in the leading part, -1: outside it, 0: there is none."""
+    if linked > max_links * (2 if side > 0 else 1):
+        return None if heading and side > 0 else False
+    if heading or len(words) < short:
+        return None
+    w = words.lower().split()
+    stop = sum(x in STOP for x in w) / len(w)
+    if side < 0 and len(words) < 3 * short:
+        return None
+    if stop >= min_stop * (2 if side < 0 else 1):
+        return True
+    return False if stop == 0 and linked > 0 and side <= 0 else None
+
+
+def _leading(blocks, first: list[bool | None], out: list[bool], short: int) -> set[int]:
+    """Numbers of the declared parts that lead: the one with most of the decided text, else all of them if
+    their text and that of two short blocks is no less than what is outside, else none."""
+    inside: dict[int, int] = {}
+    for b, x, gone in zip(blocks, first, out):
+        if not gone:
+            inside[b[4]] = inside.get(b[4], 0) + (len(b[0]) if x else 0)
+    outside, parts = inside.pop(0, 0), set(inside)
+    total = outside + sum(inside.values())
+    best = max(parts, key=inside.__getitem__, default=0)
+    if best and 2 * inside[best] > total:
+        return {best}
+    return parts if total - outside + 2 * short >= outside else set()
+
+
 def classify(blocks, max_links: float = 0.33, short: int = 70, min_stop: float = 0.10) -> list[bool]:
     """Keep or drop for every block."""
-    declared = any(main and not out for _, _, _, out, main in blocks)
-    label: list[bool | None] = []
-    for words, linked, heading, out, main in blocks:
-        if out or (declared and not main):
-            label.append(False)
-        elif main:
-            label.append(True)
-        elif linked > max_links:
-            label.append(False)
-        elif heading or len(words) < short:
-            label.append(None)
-        else:
-            w = words.lower().split()
-            stop = sum(x in STOP for x in w) / len(w)
-            label.append(True if stop >= min_stop else False if stop == 0 and linked > 0 else None)
+    bounds = (max_links, short, min_stop)
+    label = [False if out else _first_pass(words, linked, heading, 0, *bounds) for words, linked, heading, out, _, _ in blocks]
+    named = sum(len(b[0]) for b, x in zip(blocks, label) if x and b[5])
+    named_out = 2 * named <= sum(len(b[0]) for b, x in zip(blocks, label) if x)
+    gone = [b[3] or b[5] and named_out for b in blocks]
+    lead = _leading(blocks, label, gone, short)
+    side = [0 if not lead else 1 if b[4] in lead else -1 for b in blocks]
+    label = [False if x else _first_pass(*b[:3], s, *bounds) if s else y for b, x, s, y in zip(blocks, gone, side, label)]
+    # neighbours are looked for on the block's own side; in the leading part, adverts and the like are none
+    decided = [x is not None and not (gone[i] and side[i] > 0) for i, x in enumerate(label)]
     before: list[tuple[int, bool] | None] = []
-    last = None
+    last: dict[int, tuple[int, bool]] = {}
     for i, x in enumerate(label):
-        last = (i, x) if x is not None else last
-        before.append(last)
-    keep, after = [False] * len(label), None
+        if decided[i]:
+            last[side[i]] = (i, x)
+        before.append(last.get(side[i]))
+    keep, behind = [False] * len(label), {}
     for i in range(len(label) - 1, -1, -1):
+        if decided[i]:
+            behind[side[i]] = (i, label[i])
         if label[i] is not None:
-            keep[i], after = label[i], (i, label[i])
+            keep[i] = label[i]
             continue
-        prev = before[i]
+        prev, after = before[i], behind.get(side[i])
         if prev is None or after is None:
-            keep[i] = (prev or after or (0, True))[1]
+            keep[i] = (prev or after or (0, side[i] >= 0))[1]
         elif blocks[i][2]:
             keep[i] = after[1]
         elif prev[1] == after[1]:
             keep[i] = prev[1]
         else:
-            keep[i] = (prev if i - prev[0] < after[0] - i else after)[1] if i - prev[0] != after[0] - i else False
+            keep[i] = (prev if i - prev[0] < after[0] - i else after)[1] if i - prev[0] != after[0] - i else side[i] > 0
     return keep
 
 

@@ -69,3 +69,22 @@ def ex_text():
 def ex_span():
     from pyspark.sql import functions as F
     return F.col("span")
+
+
+def test_a_declared_article_is_one_feature():
+    text = html_blocks.main_text
+    links = "".join(f"<li><a href=/{i}>some words of a link</a></li>" for i in range(5))
+    teaser = "<article class=card><h3><a href=/2>Other</a></h3><p>In short.</p></article>"
+    # a teaser does not push out the text beside it
+    assert text(f"<div id=content><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>{teaser}") == "\n\n".join([LONG] * 3)
+    # link lists in the article go, its short blocks, linked headings and last lines stay
+    page = f"<article><h1><a href=/1>Head</a></h1><p>{LONG}</p><ul>{links}</ul><p>{LONG}</p><p>The end.</p></article><footer>x</footer>"
+    assert text(page) == f"Head\n\n{LONG}\n\n{LONG}\n\nThe end."
+    # the article with the text leads; short posts lead together; a long text beside it counts by itself
+    assert text(f"{teaser}<article><p>{LONG}</p><p>Short.</p></article><p>Beside.</p>") == f"{LONG}\n\nShort."
+    assert text(f"<article><h2>A</h2><p>{LONG}</p></article><article><h2>B</h2><p>{LONG}</p></article>") == f"A\n\n{LONG}\n\nB\n\n{LONG}"
+    assert text(f"<article><p>{LONG * 3}</p></article><div><p>{LONG}</p></div>") == LONG * 3
+    assert text(f"<article><p>{LONG * 3}</p></article><div><p>{LONG * 2}</p></div>") == f"{LONG * 3}\n\n{LONG * 2}"
+    # class words hold for an article too, but not for the one that has the text
+    assert text(f"<article><p>{LONG}</p><p>{LONG}</p></article><article class='post related'><p>{LONG}</p></article>") == f"{LONG}\n\n{LONG}"
+    assert text(f"<article class='post social'><p>{LONG}</p></article><p>x</p>") == LONG
