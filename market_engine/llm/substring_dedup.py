@@ -193,10 +193,11 @@ def paths(edge: DataFrame) -> DataFrame:
 
 def window_owners(edge: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """Rows (k1, k2, owners) for branching runs: the first document of each of their windows, where it is
-    not the only one."""
+    not the only one. Of a repeated row one copy is read, so each window of a run is there once."""
     wanted = edge.filter("branching").groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("start", "n", "k1", "k2", "last")).alias("runs"))
-    win = pack(docs).join(wanted, ["doc_id", "text_key"]).select("doc_id", "packed", "runs").mapInArrow(
+    source = pack(docs).join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    win = source.select("doc_id", "packed", "runs").mapInArrow(
         _windows(size), "k1 long, k2 long, i int, w1 long, w2 long, doc_id long, last long")
     first = win.groupBy("w1", "w2").agg(F.min("doc_id").alias("owner"), F.max("last").alias("hi")).filter("owner < hi")
     return win.drop("doc_id").join(first.drop("hi"), ["w1", "w2"]).filter("owner < last").groupBy("k1", "k2").agg(

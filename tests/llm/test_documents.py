@@ -50,6 +50,19 @@ def test_substring_rewrite_keeps_columns_and_untouched_texts(docs, corpus):
     assert substring_dedup.remove_repeats(docs([]), carry=["doc_id"]).count() == 0
 
 
+def test_substring_dedup_with_a_repeated_source(docs):
+    rng = random.Random(11)
+    passage = _text(rng, 120).split()
+    edited = [*passage[:70], "edit", *passage[71:]]
+    around = lambda w: f"{_text(rng, 20)} {' '.join(w)} {_text(rng, 20)}"
+    rows = [(1, around(passage))] * 2 + [(2, around(edited)), (3, around(passage)), (3, around(edited))]
+    out = substring_dedup.remove_repeats(docs(rows), carry=["doc_id"]).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == removed(rows)
+    assert sum(r.n_removed > 0 for r in out) == 3
+    texts = sorted((r.doc_id, len(r.text.split())) for r in substring_dedup.rewrite(docs(rows)).collect())
+    assert texts == sorted((d, n - gone) for d, n, gone, _ in removed(rows))
+
+
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_parity_join_against_all_pairs(docs, corpus, k, percent):
     out = parity_join.label(docs(corpus), k, percent).collect()
