@@ -18,8 +18,9 @@ Class and id words put an article out too, unless those so named hold most of th
 Each page is one row of work; pages are independent and nothing is shuffled.
 
 Defined results: null or empty html, or a page without such blocks, gives the empty text; unclosed
-elements end with their parents, unclosed comments and scripts at the end of the page, an unfinished tag
-at its end is dropped; repeated rows give equal results; other columns pass through except one named
+elements end with their parents, unclosed comments, scripts and styles at the end of the page, other unclosed
+elements without text (title, button, select, object and the like) at the body or the next block element's
+tag, an unfinished tag at its end is dropped; repeated rows give equal results; other columns pass through except one named
 ``text``, which is replaced; an empty table stays empty; a page of any length is read to its end.
 """
 
@@ -36,16 +37,19 @@ from market_engine.llm.quality_rules import STOP_WORDS
 
 STOP = frozenset(w for words in STOP_WORDS.values() for w in words.split())
 
-#: Elements whose content is never text of the page.
-_RAW = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|canvas|video|audio|title|head"
+#: Elements whose content is never text of the page; the first two end at their first closing tag, whatever is inside.
+_RAW = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|canvas|video|audio|title"
+_TO_END = {x: re.compile(rf"</{x}\s*>|\Z", re.I) for x in _RAW.split("|")[:2]}
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>{_RAW})\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>{_RAW})(?![\w:-])[^>]*(?<!/)>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr
 ul caption""".split())
+_RAW_TAG = {x: re.compile(rf"<(?:(?P<close>/){x}\s*|{x}(?![\w:-])[^>]*(?<!/))>", re.I) for x in _RAW.split("|")}
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCK))})(?![\w:-])", re.I)
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NO_END = frozenset("hr p".split())
 _MAIN = frozenset("article main".split())
@@ -87,12 +91,25 @@ def _out_words(a: dict[str, str]) -> bool:
     return not _OUT_WORD.isdisjoint(words)
 
 
+def _raw_ends(page: str, name: str) -> dict[int, int]:
+    """Where the closed elements of a name end, by where their content begins."""
+    ends: dict[int, int] = {}
+    open_at: list[int] = []
+    for m in _RAW_TAG[name].finditer(page):
+        if not m["close"]:
+            open_at.append(m.end())
+        elif open_at:
+            ends[open_at.pop()] = m.end()
+    return ends
+
+
 def blocks_of(page: str) -> list[tuple[str, float, bool, bool, int, bool]]:
     """(text, share of it in links, heading, outside by structure, number of the outermost declared part or
     0, in an article whose class or id names a part outside) in page order."""
     blocks = [_Block(False, False, 0, False)]
     stack: list[tuple[str, bool, int, bool]] = []  # open block elements: tag, out, main, named
     links, at, declared = 0, 0, 0
+    raw_ends: dict[str, dict[int, int]] = {}
 
     def text(s: str) -> None:
         if s:
@@ -100,9 +117,19 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, int, bool]]:
             if links:
                 blocks[-1].linked += len("".join(s.split()))
 
-    for m in _MARKUP.finditer(page):
+    while m := _MARKUP.search(page, at):
         text(page[at:m.start()])
         at = m.end()
+        if m["raw"]:
+            raw = m["raw"].lower()
+            if raw in _TO_END:
+                at = _TO_END[raw].search(page, at).end()
+                continue
+            if raw not in raw_ends:
+                raw_ends[raw] = _raw_ends(page, raw)
+            after = None if at in raw_ends[raw] else _BLOCK_TAG.search(page, at)
+            at = after.start() if after else raw_ends[raw].get(at, len(page))
+            continue
         tag = m["tag"]
         if tag is None:
             continue

@@ -88,3 +88,15 @@ def test_a_declared_article_is_one_feature():
     # class words hold for an article too, but not for the one that has the text
     assert text(f"<article><p>{LONG}</p><p>{LONG}</p></article><article class='post related'><p>{LONG}</p></article>") == f"{LONG}\n\n{LONG}"
     assert text(f"<article class='post social'><p>{LONG}</p></article><p>x</p>") == LONG
+
+
+def test_unclosed_elements_without_text_end_at_blocks():
+    text = html_blocks.main_text
+    page = f"<article><h1>A</h1><p>{LONG}</p></article>"
+    assert text(f"<html><head><meta charset=utf-8><title>t</title><body>{page}") == f"A\n\n{LONG}"
+    assert text(f"<html><head><title>t<body>{page}<svg><title>x</title></svg>") == f"A\n\n{LONG}"
+    for name in "title button select object iframe textarea noscript svg video".split():
+        assert text(f"<article><{name} a=1>no{page[9:]}<{name}>no</{name}>") == f"A\n\n{LONG}", name
+        assert text(f"<article><{name}>no<div>no</div></{name}>{page[9:]}") == f"A\n\n{LONG}", name
+    assert text(f"<!-- <script> --><script>'<script><p>'</script>{page}<script><p>{LONG}") == f"A\n\n{LONG}"
+    assert text(f"<title-card>{page}") == f"A\n\n{LONG}" and text("<button>" * 20_000 + page) == f"A\n\n{LONG}"
