@@ -3,7 +3,8 @@
 For byte-pair tokenizers with an end-of-word mark whose words never span white space. The distinct new
 words of a batch are put in a trie (held as the sorted list of words; its depth-first walk keeps the
 path of the current word as a stack, so memory is one path). Every node keeps the last token of its
-prefix's encoding: the encoding of a prefix is the encoding of the shorter prefix before its last
+prefix's encoding and where that token begins, two whole numbers, and a word's tokens are read back from its
+end; so a word costs memory in proportion to its length. The encoding of a prefix is the encoding of the shorter prefix before its last
 token, plus that token. So what a prefix shared by many words costs is paid once.
 
 A token t may follow the token u that ends the prefix before it if no merge crosses their border while
@@ -37,6 +38,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 KEEP = 400_000
 #: Rows that are handed back to Spark at a time.
 SLICE = 4000
+#: Symbols up to which a word's positions are found only as they are asked for, by recursion.
+LONG = 256
 _NEVER = 1 << 60
 #: Stands for the token before the first.
 ROOT = (1 << 20) - 1
@@ -140,13 +143,13 @@ class WordBpe:
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Token ids (as bytes of int32) of each distinct word of byte symbols, in one walk of their trie.
 
-        ``last[d]`` is the last token of the current word's prefix of d symbols and ``enc[d]`` that
-        prefix's encoding, both made when a longer prefix first asks for them and kept for the next
-        words as far as they share the prefix."""
+        ``last[d]`` is the last token of the current word's prefix of d symbols and ``begin[d]`` where that
+        token begins, both found when a longer prefix first asks for them and kept for the next words as
+        far as they share the prefix."""
         vocab, pairs, id_bytes, follows, end = self.vocab, self.pairs, self.id_bytes, self._follows, self.end
         longest = self.longest
         out: dict[str, bytes] = {}
-        last, enc, before = [ROOT], [b""], ""
+        last, begin, before = [ROOT], [0], ""
 
         def extend(word: str, d: int, suffix: str) -> tuple[int, int]:
             """The last token of word[:d] + suffix and where it begins."""
@@ -156,7 +159,7 @@ class WordBpe:
                     u = last[j]
                     if u < 0:
                         u, i = extend(word, j, "")
-                        last[j], enc[j] = u, enc[i] + id_bytes[u]
+                        last[j], begin[j] = u, i
                     ok = pairs.get(u << 20 | t)
                     if ok or (ok is None and follows(u, t)):
                         return t, j
@@ -167,15 +170,19 @@ class WordBpe:
             shared, most = 0, min(len(last), n) - 1
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1:], enc[shared + 1:]
+            del last[shared + 1:], begin[shared + 1:]
             last += [-1] * (n - shared - 1)
-            enc += [b""] * (n - shared - 1)
-            for d in range(64, n, 64):  # keeps the recursion of a very long word shallow
-                if last[d] < 0:
-                    t, j = extend(word, d, "")
-                    last[d], enc[d] = t, enc[j] + id_bytes[t]
+            begin += [0] * (n - shared - 1)
+            if n > LONG:  # in order, so that nothing recurses
+                for d in range(shared + 1, n):
+                    last[d], begin[d] = extend(word, d, "")
             t, j = extend(word, n, end)
-            out[word] = enc[j] + id_bytes[t]
+            ids = [id_bytes[t]]
+            while j:
+                ids.append(id_bytes[last[j]])
+                j = begin[j]
+            ids.reverse()
+            out[word] = b"".join(ids)
             before = word
         return out
 

@@ -144,6 +144,13 @@ def test_trie_bpe_fuzz():
         assert [int.from_bytes(b[i:i + 4], "little") for i in range(0, len(b), 4)] == e.ids
 
 
+def test_trie_bpe_very_long_words():
+    rng, lib, own = random.Random(6), _library(), trie_bpe.WordBpe(PATH)
+    for text in ("a" * 100_000, "".join(rng.choice("acgt") for _ in range(1_000_000)), "a" * 300 + " " + "a" * 200 + " " + "a" * 1000 + "b"):
+        e = own.encode([text])[0]
+        assert [int.from_bytes(e[i:i + 4], "little") for i in range(0, len(e), 4)] == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_token_cache_encodes_each_miss_once(spark, docs, corpus, tmp_path_run):
     lib, cache = _library(), tmp_path_run + "/cache"
     rows = [*corpus, *((200 + i, t) for i, t in enumerate(ODD)), (None, "one")]
