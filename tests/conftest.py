@@ -1,19 +1,14 @@
 import os
 import sys
 import tempfile
-from datetime import datetime, timedelta
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from market_engine.schemas import LMP_5MIN, OPS_HOURLY  # noqa: E402
 from market_engine.session import checkpoint_dir, get_session  # noqa: E402
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -28,25 +23,3 @@ def spark():
 @pytest.fixture
 def tmp_path_run():
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-
-
-T0 = datetime(2024, 1, 15, 0, 0)
-
-
-def lmp_rows(spark, rows):
-    """rows: (minutes_from_T0, hub, lmp[, market]) -> raw.lmp_5min frame; components split the price."""
-    out = []
-    for r in rows:
-        m, hub, lmp = r[0], r[1], r[2]
-        market = r[3] if len(r) > 3 else "RTM"
-        st = T0 + timedelta(minutes=m)
-        e = None if lmp is None else round(lmp - 1.0, 2)
-        out.append((st, st + timedelta(minutes=5), hub, lmp, e, None if lmp is None else 0.75,
-                    None if lmp is None else 0.25, market, "test", datetime(2024, 2, 1)))
-    return spark.createDataFrame(out, LMP_5MIN)
-
-
-def ops_rows(spark, rows):
-    """rows: (hours_from_T0, ba, demand, forecast, netgen, interchange)."""
-    out = [(T0 + timedelta(hours=h), ba, d, f, g, i, "test", datetime(2024, 2, 1)) for h, ba, d, f, g, i in rows]
-    return spark.createDataFrame(out, OPS_HOURLY)

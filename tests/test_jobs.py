@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from market_engine.plans import jobs
 from market_engine.sources import adapters
 from test_sources import _page, _zip

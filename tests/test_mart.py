@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01, lmp_rows, ops_rows
+from helpers import SF01, lmp_rows, ops_rows
 from market_engine.functions import hour_bucket, round_half_away
 from market_engine.operators import features as FE
 from market_engine.operators import stress as ST

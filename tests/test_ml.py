@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01, lmp_rows
+from helpers import SF01, lmp_rows
 from market_engine.operators import ml
 from market_engine.operators import ml_outputs as MO
 from market_engine.operators.ranking import distributed_row_number, hex_bucket
@@ -76,7 +76,7 @@ def test_temporal_split(stress):
 
 
 def test_guards(spark):
-    from conftest import ops_rows
+    from helpers import ops_rows
     flat = market.build(lmp_rows(spark, [(60 * h, "NP15", 1.0) for h in range(60)]), ops_rows(spark, []))
     with pytest.raises(ValueError):                 # one class: every hour ties at p95 -> all flagged
         ml.build_features(flat.stress)

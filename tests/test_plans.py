@@ -3,7 +3,7 @@
 import contextlib
 import io
 
-from conftest import SF01
+from helpers import SF01
 from market_engine.operators import features as FE
 from market_engine.plans import market
 

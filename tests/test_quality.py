@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01, lmp_rows
+from helpers import SF01, lmp_rows
 from market_engine.operators import quality as Q
 from market_engine.operators.hourly import hourly_prices
 from market_engine.plans import market

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lmp_rows
+from helpers import lmp_rows
 from market_engine.sinks import tables as S
 
 
@@ -57,7 +57,7 @@ def test_append_and_materialise_and_audit(spark):
 
 
 def test_ops_day_ba_and_model_version_replace(spark, tmp_path_run):
-    from conftest import ops_rows
+    from helpers import ops_rows
     target = os.path.join(tmp_path_run, "ops")
     keys = ["load_date", "balancing_authority"]
     day = lambda rows: S.with_load_date(ops_rows(spark, rows), "period")

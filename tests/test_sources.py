@@ -202,7 +202,7 @@ def test_ops_pages(spark, tmp_path_run):
 
 def test_archive_round_trip_at_volume(spark, tmp_path_run):
     """sf0.001 prices -> long CSV rows in one archive per hub and day -> A-1 -> equal rows."""
-    from conftest import SF001
+    from helpers import SF001
     from market_engine.operators.hourly import hourly_prices
     from market_engine.sources import adapters
     raw = adapters.lmp_5min(spark, SF001).withColumn("trading_hub", F.upper(F.trim("trading_hub")))
@@ -236,7 +236,7 @@ def test_archive_round_trip_at_volume(spark, tmp_path_run):
 
 def test_pages_round_trip_at_volume(spark, tmp_path_run):
     """sf0.001 operations rows as paged JSON (5000 per page, reported totals) -> A-3..A-5 -> D-4."""
-    from conftest import SF001
+    from helpers import SF001
     from market_engine.sources import adapters
     long = adapters.ops_long(spark, SF001).orderBy("seq").toPandas()
     req = os.path.join(tmp_path_run, "pages", "req")

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, lmp_rows
+from helpers import SF001, lmp_rows
 from market_engine.operators.hourly import hourly_prices
 from market_engine.operators.stress import hub_thresholds
 from market_engine.plans import market
