@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from market_engine.llm import chat_format as op10
 from market_engine.llm import html_blocks as op3
 from market_engine.llm import parity_join as op7
+from market_engine.llm import prefix_trie as op13
 from market_engine.llm import quality_rules as op4
 from market_engine.llm import rendezvous as op5
 from market_engine.llm import sql
@@ -78,6 +79,11 @@ def op10_chat_format(spark, sf_dir):
     return op10.read_back(op10.examples(conversations.unionByName(planted)))
 
 
+def op13_conversation_trie(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return op13.prefix_trie(op13.regrown(op13.sequences(conversations)))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -94,5 +100,6 @@ QUERIES = {
     "op8_trie_bpe": (op8_trie_bpe, None),
     "op9_digest_cache": (op9_digest_cache, None),
     "op10_chat_format": (op10_chat_format, sql.OP10),
+    "op13_conversation_trie": (op13_conversation_trie, sql.OP13),
     "pipeline": (pipeline, None),
 }

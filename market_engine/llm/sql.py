@@ -176,3 +176,41 @@ links as (
 reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) as component_id
 from d left join n using (doc_id) left join (select a, min(b) as b from reach group by a) m on m.a = d.doc_id"""
+
+
+OP13 = r"""
+with crc as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first,
+      sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+  from conversations where conv_id is not null),
+conv as (
+  select conv_id, xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(conv_id::varchar)), '..'),
+      lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295::bigint)) % 6 as h
+  from (select distinct conv_id from own) x, crc),
+grown as (
+  select conv.conv_id, 0 as late, i, role, text from conv join own on own.conv_id = conv.conv_id - conv.conv_id % 100 where i <= h
+  union all select conv.conv_id, 1, i, role, text from conv join own on own.conv_id = conv.conv_id where i > h),
+turns as (select conv_id, row_number() over w as d, length(text) as size, string_agg(
+    length(role)::varchar || ':' || length(text)::varchar || ':' || role || text, '') over w as p
+  from grown window w as (partition by conv_id order by late, i rows unbounded preceding)),
+m as (select conv_id, d, size, p from turns union all select conv_id, 0, 0, '' from conv),
+node as (select d, p, min(conv_id) as c, count(*) as n, max(size) as size from m group by d, p),
+mm as (select m.conv_id, m.d, node.c from m join node on m.d = node.d and m.p = node.p),
+above as (select node.d, node.c, mm.c as parent from node join mm on mm.conv_id = node.c and mm.d = node.d - 1),
+kids as (select d - 1 as d, parent as c, count(*) as n_children from above group by all),
+full_node as (
+  select node.*, above.parent, coalesce(n_children, 0) as n_children from node
+  left join above using (d, c) left join kids using (d, c)),
+sums as (
+  select mm.d, mm.c, sum(case when n_children = 0 then 1 else 0 end)::bigint as n_leaves, sum((n - 1) * size)::bigint as saved
+  from full_node f join mm on mm.conv_id = f.c and mm.d <= f.d group by mm.d, mm.c),
+last_turn as (select conv_id, max(d) as d from m group by conv_id),
+ends as (
+  select mm.d, mm.c, string_agg(conv_id::varchar, ',' order by conv_id) as ids from mm join last_turn using (conv_id, d) group by mm.d, mm.c)
+select f.c as conv_id, f.d::bigint as depth, f.parent as parent_conv_id, f.n::bigint as n_convs, f.n_children::bigint as n_children,
+  n_leaves, saved as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from full_node f join sums using (d, c) left join ends using (d, c)"""
