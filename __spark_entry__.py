@@ -10,6 +10,7 @@ neither needs rounding.
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 from collections.abc import Callable
@@ -28,7 +29,7 @@ from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, SEVE
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
-from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback
+from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback, ship_package
 from market_engine.streaming import prices as SP
 from market_engine.sources import adapters, tables
 
@@ -817,22 +818,29 @@ def q_g03(spark, sf):
 # =============================================================== contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: each hour and hub with its stress severity (sf0.001)."""
-    return q_b13(spark, SF_SMOKE)
+    return _shipping(q_b13)(spark, SF_SMOKE)
 
 
-# the training-data queries are optional: without their folder everything else works
+# the training-data queries are optional: without their folder, or without a library that they need, everything
+# else works
 try:
-    import market_engine.llm  # noqa: F401
-    _HAS_LLM = True
-except ImportError:
-    _HAS_LLM = False
-if _HAS_LLM:
     from market_engine.llm.queries import QUERIES as _LLM
     _Q.update(_LLM)
+except ImportError as e:
+    print(f"training-data queries are left out: {e}", file=sys.stderr)
+
+
+def _shipping(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``fn`` on a session whose workers have the package, from whatever folder the driver was started."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v[0] for k, v in _Q.items()}
+    return {k: _shipping(v[0]) for k, v in _Q.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 # Settings every job relies on: UTC wall clock for NTZ timestamps, AQE for runtime
 # re-planning (partition coalescing, skew-join splitting, broadcast promotion), and
 # dynamic partition overwrite for idempotent day/hub replaces.
@@ -44,6 +50,24 @@ def get_session(
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package's code, once per application: a task that runs Python imports the package
+    by name, wherever the driver found it. The driver packs it to one file, which Spark sends to the executors."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-package-"), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def shared_fallback(spark: SparkSession) -> str:
     """Where checkpoints go if ``spark.checkpoint.dir`` is unset: beside the session's tables, in the
     warehouse, which driver and executors share."""
