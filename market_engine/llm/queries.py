@@ -7,6 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from market_engine.llm import bloom_search as op11
 from market_engine.llm import chat_format as op10
 from market_engine.llm import html_blocks as op3
 from market_engine.llm import parity_join as op7
@@ -79,6 +80,10 @@ def op10_chat_format(spark, sf_dir):
     return op10.read_back(op10.examples(conversations.unionByName(planted)))
 
 
+def op11_bloom_search(spark, sf_dir):
+    return op11.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_conversation_trie(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return op13.prefix_trie(op13.regrown(op13.sequences(conversations)))
@@ -100,6 +105,7 @@ QUERIES = {
     "op8_trie_bpe": (op8_trie_bpe, None),
     "op9_digest_cache": (op9_digest_cache, None),
     "op10_chat_format": (op10_chat_format, sql.OP10),
+    "op11_bloom_search": (op11_bloom_search, sql.OP11),
     "op13_conversation_trie": (op13_conversation_trie, sql.OP13),
     "pipeline": (pipeline, None),
 }

@@ -214,3 +214,17 @@ ends as (
 select f.c as conv_id, f.d::bigint as depth, f.parent as parent_conv_id, f.n::bigint as n_convs, f.n_children::bigint as n_children,
   n_leaves, saved as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
 from full_node f join sums using (d, c) left join ends using (d, c)"""
+
+
+_TERMS11 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11 = rf"""
+with d as (select doc_id, ts, len(ts)::bigint as n from (select doc_id, {_TERMS11} as ts from documents) x where len(ts) > 0),
+c as (select count(*)::bigint as docs, sum(n)::bigint as total from d),
+tf as (select doc_id, term, count(*)::bigint as tf from (select doc_id, unnest(ts) as term from d) x group by doc_id, term),
+w as (select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w from tf, c group by term, docs),
+q as (select distinct item_id, unnest({_TERMS11}) as term from benchmark),
+s as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::bigint as score
+  from q join w using (term) join tf using (term) join d using (doc_id), c group by item_id, doc_id),
+r as (select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score from s where score > 0)
+select * from r where rank <= 10"""
