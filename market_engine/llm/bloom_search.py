@@ -45,6 +45,8 @@ LEVELS = (1, 2, 3, 5, 9, 17)
 HASHES, BITS = 3, 4
 #: Documents of a block at most, and bits of its bitmap (a document that needs more is a block of its own).
 BLOCK_DOCS, BLOCK_BITS = 4096, 1 << 24
+#: Documents whose words are sorted together at most, as a power of two.
+DOC_BITS = 16
 #: Documents that are scored exactly to find a query's bound, for each place of its result.
 SEEDS = 3
 #: Bytes of query texts a block.
@@ -63,34 +65,47 @@ def terms_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
-def _places(hashes: np.ndarray, level: int, width: int) -> np.ndarray:
-    """Signature bits (hash, HASHES) of terms at a level."""
+def _mixed(hashes: np.ndarray, level: int) -> np.ndarray:
+    """HASHES numbers of 32 bits for each term at a level."""
     step = np.arange(1, HASHES + 1, dtype=np.uint64) + np.uint64(16 * level)
     with np.errstate(over="ignore"):
-        mixed = H.mix(hashes[:, None] + step[None, :] * np.uint64(0x9E3779B97F4A7C15))
-    return (((mixed >> np.uint64(32)) * np.uint64(width)) >> np.uint64(32)).astype(np.int64)
+        return H.mix(hashes[:, None] + step[None, :] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+
+
+def _places(mixed: np.ndarray, width) -> np.ndarray:
+    """Signature bits of numbers of 32 bits."""
+    return ((mixed * width) >> np.uint64(32)).astype(np.int64)
 
 
 class _Band:
     """Documents of one block that is being filled."""
 
     def __init__(self, width: int):
-        self.width = width
-        self.ids: list[int] = []
-        self.n: list[int] = []
-        self.top: list[int] = []
-        self.bits: list[np.ndarray] = []
-
-    def full(self) -> bool:
-        return len(self.ids) >= BLOCK_DOCS or self.width * (len(self.ids) + 8) > BLOCK_BITS
+        self.width, self.size = width, 0
+        self.room = max(8, min(BLOCK_DOCS, BLOCK_BITS // width // 8 * 8))
+        self.parts: list[tuple] = []
+
+    def add(self, ids, n, top, column, places):
+        """Blocks that are full after the documents; ``column`` numbers them, for each of ``places``."""
+        done, a = [], 0
+        while a < len(ids):
+            b = min(len(ids), a + self.room - self.size)
+            own = slice(*np.searchsorted(column, [a, b]))
+            self.parts.append((ids[a:b], n[a:b], top[a:b], column[own] - a + self.size, places[own]))
+            self.size += b - a
+            if self.size == self.room:
+                done.append(self.row())
+                self.parts, self.size = [], 0
+            a = b
+        return done
 
     def row(self) -> tuple:
-        columns = -(-len(self.ids) // 8) * 8
+        columns = -(-self.size // 8) * 8
+        ids, n, top, column, places = (np.concatenate(x) for x in zip(*self.parts))
         whole = np.zeros(self.width * columns, bool)
-        for d, places in enumerate(self.bits):
-            whole[places * columns + d] = True
+        whole[places * columns + column[:, None]] = True
         packed = np.packbits(whole.reshape(self.width, columns), axis=1, bitorder="little")
-        return (self.width, None, None, self.ids, np.array(self.n, np.int64).tobytes(), np.array(self.top, np.int64).tobytes(), packed.tobytes())
+        return self.width, None, None, ids, n.tobytes(), top.tobytes(), packed.tobytes()
 
 
 def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -100,35 +115,57 @@ def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _build(batches):
     bands: dict[int, _Band] = {}
-    for batch in batches:
-        ids = batch.column(0).to_pylist()
-        data, offsets = H.text_bytes(batch.column(1))
-        for i, j in H.doc_groups(offsets):
-            own = TERM[data[offsets[i]:offsets[j]]]
-            starts, ends, first = H.word_places(own, offsets[i:j + 1] - offsets[i])
-            hashes = H.word_hashes(own, starts, ends)
-            docs = terms = 0
-            for d in range(j - i):
-                n = int(first[d + 1] - first[d])
-                if not n:
-                    continue
-                docs, terms = docs + 1, terms + n
-                if ids[i + d] is None:
-                    continue
-                each, tf = np.unique(hashes[first[d]:first[d + 1]], return_counts=True)
-                held = [each[tf >= x] if x > 1 else each for x in LEVELS]
-                keys = sum(map(len, held))
-                width = HASHES * BITS << (keys - 1).bit_length()
-                band = bands.setdefault(width, _Band(width))
-                band.bits.append(np.concatenate([_places(h, k, width).ravel() for k, h in enumerate(held) if len(h)]))
-                band.ids.append(ids[i + d])
-                band.n.append(n)
-                band.top.append(int(tf.max()))
-                if band.full():
-                    yield _index_batch([bands.pop(width).row()])
-            yield _index_batch([(0, docs, terms, None, None, None, None)])
+    for whole in batches:
+        for k in range(0, whole.num_rows, 1 << DOC_BITS):
+            batch = whole.slice(k, 1 << DOC_BITS)
+            ids, null = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            data, offsets = H.text_bytes(batch.column(1))
+            for i, j in H.doc_groups(offsets):
+                own = TERM[data[offsets[i]:offsets[j]]]
+                starts, ends, first = H.word_places(own, offsets[i:j + 1] - offsets[i])
+                n = np.diff(first)
+                yield _index_batch([(0, int((n > 0).sum()), int(n.sum()), None, None, None, None)])
+                rows = [row for width, *part in _signatures(H.word_hashes(own, starts, ends), n, ids[i:j], null[i:j])
+                        for row in bands.setdefault(width, _Band(width)).add(*part)]
+                if rows:
+                    yield _index_batch(rows)
     for band in bands.values():
-        yield _index_batch([band.row()])
+        if band.size:
+            yield _index_batch([band.row()])
+
+
+def _signatures(hashes: np.ndarray, n: np.ndarray, ids: np.ndarray, null: np.ndarray):
+    """(width, ids, n, top, column, places) of the documents of each width; hashes of a group's words, n a document."""
+    doc = np.repeat(np.arange(len(n), dtype=np.uint64), n)
+    rows = np.sort((doc << np.uint64(64 - DOC_BITS)) | _name(hashes))
+    if not len(rows):
+        return
+    head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    tf, rows = np.diff(np.append(head, len(rows))), rows[head]
+    doc = (rows >> np.uint64(64 - DOC_BITS)).astype(np.int64)
+    name = rows & np.uint64((1 << 64 - DOC_BITS) - 1)
+    top = np.zeros(len(n), np.int64)
+    np.maximum.at(top, doc, tf)
+    at, mixed = [], []
+    for level, least in enumerate(LEVELS):
+        held = np.flatnonzero(tf >= least)
+        at.append(doc[held])
+        mixed.append(_mixed(name[held], level))
+    at, mixed = np.concatenate(at), np.concatenate(mixed)
+    keys = np.bincount(at, minlength=len(n))
+    width = np.int64(HASHES * BITS) << np.ceil(np.log2(np.maximum(keys, 1))).astype(np.int64)
+    width[(keys == 0) | null] = 0
+    order = np.argsort(at, kind="stable")
+    at, mixed = at[order], mixed[order]
+    for w in np.unique(width[width > 0]):
+        docs = width == w
+        use = docs[at]
+        yield int(w), ids[docs], n[docs].astype(np.int64), top[docs], (np.cumsum(docs) - 1)[at[use]], _places(mixed[use], np.uint64(w))
+
+
+def _name(hashes: np.ndarray) -> np.ndarray:
+    """What is kept of a term's hash; terms that share it are only found too often."""
+    return hashes >> np.uint64(DOC_BITS)
 
 
 def build(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,12 +188,10 @@ class Queries:
         lens = np.array([len(t) for t in self.terms], np.int64)
         data = np.frombuffer(b" ".join(self.terms), np.uint8)
         ends = np.cumsum(lens) + np.arange(len(lens))
-        self.hashes = H.word_hashes(data, ends - lens, ends)
-        users: list[list[int]] = [[] for _ in self.terms]
-        for q, ts in enumerate(self.of):
-            for t in ts:
-                users[t].append(q)
-        self.users = [np.array(u, np.int64) for u in users]
+        names = _name(H.word_hashes(data, ends - lens, ends))
+        self.mixed = [_mixed(names, level) for level in range(len(LEVELS))]
+        self.used = np.concatenate(self.of)
+        self.by = np.repeat(np.arange(len(self.of)), [len(ts) for ts in self.of])
 
     def norm(self, n):
         """A document's m from its number of terms."""
@@ -175,21 +210,21 @@ class Queries:
             adds, before = np.maximum(adds - before, 0), np.maximum(adds, before)
             found = np.empty((len(on), slices.shape[1]), np.uint8)
             for a in range(0, len(on), 512):
-                places = _places(self.hashes[on[a:a + 512]], level, width)
-                found[a:a + 512] = np.bitwise_and.reduce(slices[places], axis=1)
+                found[a:a + 512] = np.bitwise_and.reduce(slices[_places(self.mixed[level][on[a:a + 512]], np.uint64(width))], axis=1)
             yes = found if yes is None else yes & found
             some = yes.any(axis=1)
             on, yes = on[some], yes[some]
             if not len(on):
                 break
-            sums = np.zeros_like(out)
-            for t, row in zip(on, np.unpackbits(yes, axis=1, count=len(n), bitorder="little")):
-                users = self.users[t]
-                if len(users) == 1:
-                    sums[users[0]] += self.weight[t] * row.astype(np.int64)
-                else:
-                    sums[users] += (self.weight[t] * row.astype(np.int64))[None, :]
-            out += sums * adds[None, :]
+            row = np.full(len(self.terms), -1)
+            row[on] = np.arange(len(on))
+            use = np.flatnonzero(row[self.used] >= 0)
+            head = np.flatnonzero(np.append(True, np.diff(self.by[use]) != 0))
+            for c in range(0, slices.shape[1], 32):  # 256 documents at a time
+                said = np.unpackbits(yes[:, c:c + 32], axis=1, bitorder="little")[row[self.used[use]]]
+                sums = np.add.reduceat(said * self.weight[self.used[use]][:, None], head, axis=0)
+                docs = slice(8 * c, min(8 * c + 256, len(n)))
+                out[self.by[use[head]], docs] += sums[:, :docs.stop - docs.start] * adds[None, docs]
         return out
 
     def score(self, text: str | None, wanted: list[int]) -> list[int]:

@@ -14,7 +14,7 @@ PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def test_names():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14)) and "pipeline" in QUERIES
     assert {n for n, (_, sql) in QUERIES.items() if sql is None} == {"op3_block_rules", "op8_trie_bpe", "op9_digest_cache", "pipeline"}
 
 
