@@ -2,8 +2,10 @@
 
 Markup is cut into blocks at block-level tags. A block inside a part that is not the article (navigation,
 header, footer, sidebar, notice, advert, form, reader comments: by element, role or the words of class and
-id) is out. Pass one decides every other block by its own text: with many links it is out, long with enough
-stop words it is in, long with links and without any it is out. The rest, headings and short blocks, is
+id) is out, but for the headings of an article's own header; a form that holds most of the text that pass one decides to
+be in, or an element whose class or id holds such a word and nine tenths of that text, wraps the page and puts nothing
+out. Links are ``a`` with href; one without a closing tag of its own ends at the next block or link. Pass one decides every other block by its own text: with many links it is out, long with enough
+stop words it is in, long with links and, in Latin script, without any it is out. The rest, headings and short blocks, is
 ambiguous, and pass two gives it the label of the nearest decided neighbours: of two that disagree the nearer
 one's, at equal distance it is out unless it is a heading, which goes with what follows.
 
@@ -20,7 +22,8 @@ Each page is one row of work; pages are independent and nothing is shuffled.
 Defined results: null or empty html, or a page without such blocks, gives the empty text; unclosed
 elements end with their parents, unclosed comments, scripts and styles at the end of the page, other unclosed
 elements without text (title, button, select, object and the like) at the body or the next block element's
-tag, an unfinished tag at its end is dropped; repeated rows give equal results; other columns pass through except one named
+tag, an unfinished tag at its end is dropped; a quoted value ends at a quote before white space or the tag's end, a
+stray quote is part of the tag; repeated rows give equal results; other columns pass through except one named
 ``text``, which is replaced; an empty table stays empty; a page of any length is read to its end.
 """
 
@@ -42,8 +45,9 @@ _RAW = "script|style|noscript|template|svg|math|iframe|object|select|textarea|bu
 _TO_END = {x: re.compile(rf"</{x}\s*>|\Z", re.I) for x in _RAW.split("|")[:2]}
 _MARKUP = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>{_RAW})(?![\w:-])[^>]*(?<!/)>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S | re.I)
-_ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')(?=[\s/>]|\Z)|[^>])*)(?:>|\Z)", re.S | re.I)
+_ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_LINK_TAG = re.compile(r"<(/?)a(?![\w:-])", re.I)
 
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr
@@ -62,10 +66,23 @@ breadcrumbs footer header masthead topbar toolbar comment comments reply replies
 pagination pager login signup search widget hidden""".split())
 
 
+#: Share of the page's decided text above which an element is no part outside the article but wraps it, by what
+#: names it: a form, or words of its class and id. Other elements and roles are always outside.
+_WRAPS = {"form": 0.5, "word": 0.9}
+
+
+class _Outside:
+    """An open element outside the article: the one around it, and the share above which it is none."""
+    __slots__ = ("around", "share", "of_article")
+
+    def __init__(self, around: int, share: float, of_article: bool):
+        self.around, self.share, self.of_article = around, share, of_article
+
+
 class _Block:
     __slots__ = ("parts", "linked", "heading", "out", "main", "named")
 
-    def __init__(self, heading: bool, out: bool, main: int, named: bool):
+    def __init__(self, heading: bool, out: int, main: int, named: bool):
         self.parts: list[str] = []
         self.linked, self.heading, self.out, self.main, self.named = 0, heading, out, main, named
 
@@ -74,16 +91,22 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw)} if raw.strip() else {}
 
 
-def _leads_out(tag: str, raw: str) -> bool:
+def _leads_out(tag: str, raw: str) -> float | None:
+    """Whether an element is outside the article: the share of text above which it is not, None if it never is."""
+    plain = "=" not in raw and "hidden" not in raw.lower()
     if tag in _OUT_TAG:
-        return True
-    if "=" not in raw and "hidden" not in raw.lower():
-        return False
+        return _WRAPS["form"] if tag == "form" and (plain or not _out_role(_attributes(raw))) else 2
+    if plain:
+        return None
     a = _attributes(raw)
-    if a.get("role", "").lower() in _OUT_ROLE or "hidden" in a or a.get("aria-hidden", "") == "true" or re.search(
-            r"display\s*:\s*none", a.get("style", "")):
-        return True
-    return tag not in _MAIN and tag not in ("body", "html") and _out_words(a)
+    if _out_role(a):
+        return 2
+    return _WRAPS["word"] if tag not in _MAIN and tag not in ("body", "html") and _out_words(a) else None
+
+
+def _out_role(a: dict[str, str]) -> bool:
+    return a.get("role", "").lower() in _OUT_ROLE or "hidden" in a or a.get("aria-hidden", "") == "true" or bool(
+        re.search(r"display\s*:\s*none", a.get("style", "")))
 
 
 def _out_words(a: dict[str, str]) -> bool:
@@ -103,20 +126,40 @@ def _raw_ends(page: str, name: str) -> dict[int, int]:
     return ends
 
 
-def blocks_of(page: str) -> list[tuple[str, float, bool, bool, int, bool]]:
-    """(text, share of it in links, heading, outside by structure, number of the outermost declared part or
-    0, in an article whose class or id names a part outside) in page order."""
-    blocks = [_Block(False, False, 0, False)]
-    stack: list[tuple[str, bool, int, bool]] = []  # open block elements: tag, out, main, named
-    links, at, declared = 0, 0, 0
+def _closed_links(page: str) -> set[int]:
+    """Where links begin whose closing tag comes before the next link."""
+    closed, last = set(), -1
+    for m in _LINK_TAG.finditer(page):
+        if m[1] and last >= 0:
+            closed.add(last)
+        last = -1 if m[1] else m.start()
+    return closed
+
+
+def blocks_of(page: str) -> tuple[list[tuple[str, float, bool, int, int, bool]], list[_Outside]]:
+    """(text, share of it in links, heading, innermost element outside the article or -1, number of the outermost declared part
+    or 0, in an article whose class or id names a part outside) in page order, and the elements outside."""
+    blocks = [_Block(False, -1, 0, False)]
+    outside: list[_Outside] = []
+    stack: list[tuple[str, int, int, bool]] = []  # open block elements: tag, out, main, named
+    open_tags: dict[str, int] = {}
+    link, at, declared = "", 0, 0  # an open link: "closed" by a tag of its own, or "loose"
+    closed = _closed_links(page)
     raw_ends: dict[str, dict[int, int]] = {}
 
     def text(s: str) -> None:
         if s:
             blocks[-1].parts.append(htmllib.unescape(s) if "&" in s else s)
-            if links:
+            if link:
                 blocks[-1].linked += len("".join(s.split()))
 
+    def leads_out(tag: str, attrs: str, out: int, main: int) -> int:
+        share = _leads_out(tag, attrs)
+        if share is None:
+            return out
+        outside.append(_Outside(out, share, tag == "header" and main > 0))
+        return len(outside) - 1
+
     while m := _MARKUP.search(page, at):
         text(page[at:m.start()])
         at = m.end()
@@ -135,32 +178,41 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, int, bool]]:
             continue
         tag = tag.lower()
         if tag == "a":
-            links = 0 if m["close"] else 1
+            link = "" if m["close"] or "href" not in _attributes(m["attrs"]) else "closed" if m.start() in closed else "loose"
         elif tag == "br":
             text(" ")
         elif tag in _BLOCK:
+            link = "" if link == "loose" else link
             if m["close"]:
-                if any(x[0] == tag for x in stack):
-                    while stack.pop()[0] != tag:
-                        pass
+                if open_tags.get(tag):
+                    while True:
+                        last = stack.pop()[0]
+                        open_tags[last] -= 1
+                        if last == tag:
+                            break
             elif tag not in _NO_END:
-                out, main, named = stack[-1][1:] if stack else (False, 0, False)
+                out, main, named = stack[-1][1:] if stack else (-1, 0, False)
+                inside = main
                 if not main and (tag in _MAIN or "main" in re.findall(r"role\s*=\s*[\"']?(\w+)", m["attrs"])):
                     declared += 1
                     main = declared
                 named = named or tag == "article" and _out_words(_attributes(m["attrs"]))
-                stack.append((tag, out or _leads_out(tag, m["attrs"]), main, named))
-            out, main, named = stack[-1][1:] if stack else (False, 0, False)
-            if tag == "p" and not m["close"] and not out:
-                out = _leads_out(tag, m["attrs"])
-            blocks.append(_Block(tag in _HEADING and not m["close"], out, main, named))
+                stack.append((tag, leads_out(tag, m["attrs"], out, inside), main, named))
+                open_tags[tag] = open_tags.get(tag, 0) + 1
+            out, main, named = stack[-1][1:] if stack else (-1, 0, False)
+            heading = tag in _HEADING and not m["close"]
+            if tag == "p" and not m["close"]:
+                out = leads_out(tag, m["attrs"], out, main)
+            elif heading and out >= 0 and outside[out].of_article:
+                out = outside[out].around  # the heading of an article's own header
+            blocks.append(_Block(heading, out, main, named))
     text(page[at:])
     found = []
     for b in blocks:
         words = " ".join("".join(b.parts).split())
         if words:
             found.append((words, b.linked / max(1, len(words) - words.count(" ")), b.heading, b.out, b.main, b.named))
-    return found
+    return found, outside
 
 
 def _first_pass(words: str, linked: float, heading: bool, side: int, max_links: float, short: int, min_stop: float) -> bool | None:
@@ -175,7 +227,26 @@ def _first_pass(words: str, linked: float, heading: bool, side: int, max_links:
         return None
     if stop >= min_stop * (2 if side < 0 else 1):
         return True
-    return False if stop == 0 and linked > 0 and side <= 0 else None
+    return False if stop == 0 and linked > 0 and side <= 0 and _latin(words) else None
+
+
+def _latin(words: str) -> bool:
+    """Most letters are of the script that the stop words are written in."""
+    letters = [c for c in words if c.isalpha()]
+    return 2 * sum(c < "\u0250" for c in letters) >= len(letters)
+
+
+def _outside(blocks, outside: list[_Outside], first: list[bool | None]) -> list[bool]:
+    """Blocks outside the article by structure: in an element outside that doesn't hold most of the decided text."""
+    held = [0] * (len(outside) + 1)  # the last place is for blocks in none
+    for b, x in zip(blocks, first):
+        held[b[3]] += len(b[0]) if x else 0
+    for i in range(len(outside) - 1, -1, -1):  # an element stands after the one around it
+        held[outside[i].around] += held[i]
+    out = [False] * (len(outside) + 1)
+    for i, x in enumerate(outside):
+        out[i] = out[x.around] or held[i] <= x.share * held[-1]
+    return [out[b[3]] for b in blocks]
 
 
 def _leading(blocks, first: list[bool | None], out: list[bool], short: int) -> set[int]:
@@ -193,13 +264,15 @@ def _leading(blocks, first: list[bool | None], out: list[bool], short: int) -> s
     return parts if total - outside + 2 * short >= outside else set()
 
 
-def classify(blocks, max_links: float = 0.33, short: int = 70, min_stop: float = 0.10) -> list[bool]:
+def classify(blocks, outside: list[_Outside], max_links: float = 0.33, short: int = 70, min_stop: float = 0.10) -> list[bool]:
     """Keep or drop for every block."""
     bounds = (max_links, short, min_stop)
-    label = [False if out else _first_pass(words, linked, heading, 0, *bounds) for words, linked, heading, out, _, _ in blocks]
+    plain = [_first_pass(*b[:3], 0, *bounds) for b in blocks]
+    structure = _outside(blocks, outside, plain)
+    label = [False if out else x for out, x in zip(structure, plain)]
     named = sum(len(b[0]) for b, x in zip(blocks, label) if x and b[5])
     named_out = 2 * named <= sum(len(b[0]) for b, x in zip(blocks, label) if x)
-    gone = [b[3] or b[5] and named_out for b in blocks]
+    gone = [out or b[5] and named_out for b, out in zip(blocks, structure)]
     lead = _leading(blocks, label, gone, short)
     side = [0 if not lead else 1 if b[4] in lead else -1 for b in blocks]
     label = [False if x else _first_pass(*b[:3], s, *bounds) if s else y for b, x, s, y in zip(blocks, gone, side, label)]
@@ -231,8 +304,8 @@ def classify(blocks, max_links: float = 0.33, short: int = 70, min_stop: float =
 
 
 def main_text(page: str | None) -> str:
-    blocks = blocks_of(page or "")
-    return "\n\n".join(b[0] for b, keep in zip(blocks, classify(blocks)) if keep)
+    blocks, outside = blocks_of(page or "")
+    return "\n\n".join(b[0] for b, keep in zip(blocks, classify(blocks, outside)) if keep)
 
 
 def _extract(batches):

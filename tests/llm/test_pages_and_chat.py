@@ -100,3 +100,78 @@ def test_unclosed_elements_without_text_end_at_blocks():
         assert text(f"<article><{name}>no<div>no</div></{name}>{page[9:]}") == f"A\n\n{LONG}", name
     assert text(f"<!-- <script> --><script>'<script><p>'</script>{page}<script><p>{LONG}") == f"A\n\n{LONG}"
     assert text(f"<title-card>{page}") == f"A\n\n{LONG}" and text("<button>" * 20_000 + page) == f"A\n\n{LONG}"
+
+
+def test_stray_quotes_stay_in_their_tag():
+    text = html_blocks.main_text
+    page = f"""<article><h1>A</h1><p class="x"">{LONG}</p><p data-x=it's>{LONG}</p><p title='a > b' data-j="<p>">{LONG}</p><p class="y>{LONG}</p>"""
+    assert text(page + "<p class=z>End.</p></article>") == "\n\n".join(["A", *[LONG] * 4, "End."])
+    assert text("<p a='" * 20_000 + f"<p>{LONG}</p>").endswith(LONG)
+
+
+def test_links_without_an_end_and_anchors():
+    text = html_blocks.main_text
+    assert text(f"<a name=top><h1>A</h1><p>{LONG}</p>") == text(f"<a name=top><article><h1>A</h1><p>{LONG}</p></article>") == f"A\n\n{LONG}"
+    assert text(f"<p><a href=/>Go</p><h1>A</h1><p>{LONG}</p><p><a href=/1>one <a href=/2>two</a> {LONG}</p>").endswith(f"A\n\n{LONG}\n\none two {LONG}")
+    card = f"<a href=/3><h3>Other</h3><p>{LONG}</p></a>"
+    assert text(f"<div><h1>A</h1><p>{LONG}</p></div><div>{card}</div>") == f"A\n\n{LONG}"
+
+
+def test_what_wraps_the_page_puts_nothing_out():
+    text = html_blocks.main_text
+    inner = f"<h1>A</h1><p>{LONG}</p><p>{LONG}</p>"
+    assert text(f"<form action=x>{inner}</form><form><p>Name</p></form>") == f"A\n\n{LONG}\n\n{LONG}"
+    assert text(f"<div class='has-sidebar'>{inner}</div>") == f"A\n\n{LONG}\n\n{LONG}"
+    assert text(f"<div class='comments'>{inner}</div><p>{LONG}</p>") == LONG
+    assert text(f"<form role=search>{inner}</form>") == "" and text(f"<div hidden>{inner}</div>") == ""
+    assert text(f"<article><header><h1>A</h1><p>By {LONG}</p></header><p>{LONG}</p></article><header><h1>no</h1></header>") == f"A\n\n{LONG}"
+
+
+def test_other_scripts_are_not_judged_by_stop_words():
+    russian = "Это длинный абзац на русском языке, в нём нет слов из списка, но он важен для читателя и должен остаться. " * 2
+    assert html_blocks.main_text(f"<p><a href=/>Ссылка</a> {russian}</p>") == f"Ссылка {russian}".strip()
+
+
+def test_many_closing_tags_take_linear_time():
+    import time
+    began = time.time()
+    assert html_blocks.main_text("<div>" * 40_000 + "</p>" * 40_000 + f"<nav>{LONG}" * 200 + "</nav>" * 40_000 + f"<p>{LONG}") != "no"
+    assert time.time() - began < 10
+
+
+def _plain_passes(blocks, max_links, short, min_stop):
+    """Both passes over blocks without structure, each neighbour looked for on its own."""
+    first = []
+    for words, linked, heading, *_ in blocks:
+        w = words.lower().split()
+        stop = sum(x in html_blocks.STOP for x in w)
+        if linked > max_links:
+            first.append(False)
+        elif heading or len(words) < short:
+            first.append(None)
+        elif stop >= min_stop * len(w):
+            first.append(True)
+        else:
+            first.append(False if not stop and linked else None)
+    keep = []
+    for i, x in enumerate(first):
+        left = [(i - j, first[j]) for j in range(i - 1, -1, -1) if first[j] is not None][:1]
+        right = [(j - i, first[j]) for j in range(i + 1, len(first)) if first[j] is not None][:1]
+        if x is not None:
+            keep.append(x)
+        elif not left or not right:
+            keep.append((left or right or [(0, True)])[0][1])
+        elif blocks[i][2]:
+            keep.append(right[0][1])
+        else:
+            keep.append(min(left[0], right[0])[1] if left[0][0] != right[0][0] else left[0][1] and right[0][1])
+    return keep
+
+
+def test_both_passes_against_a_plain_version():
+    import random
+    rng = random.Random(12)
+    say = lambda: " ".join(rng.choice(["the", "of", "word", "other", "text"] if rng.random() < .5 else ["word", "text"]) for _ in range(rng.randrange(1, 40)))
+    for _ in range(300):
+        blocks = [(say(), rng.choice([0, 0, 0, .1, .3, .6]), rng.random() < .15, -1, 0, False) for _ in range(rng.randrange(0, 14))]
+        assert html_blocks.classify(blocks, []) == _plain_passes(blocks, 0.33, 70, 0.10)
