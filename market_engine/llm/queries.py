@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from market_engine.llm import bloom_search as op11
 from market_engine.llm import chat_format as op10
+from market_engine.llm import factor_machine as op12
 from market_engine.llm import html_blocks as op3
 from market_engine.llm import parity_join as op7
 from market_engine.llm import prefix_trie as op13
@@ -84,6 +85,14 @@ def op11_bloom_search(spark, sf_dir):
     return op11.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_factor_machine(spark, sf_dir):
+    third = lambda d: F.coalesce(F.crc32(d["doc_id"].cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = op12.fit(docs, labels.filter(~third(labels)), "quality", metadata=["n_chars"])
+    out = op12.score(docs, model, metadata=["n_chars"], keep=["doc_id"])
+    return out.select("doc_id", third(out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op13_conversation_trie(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return op13.prefix_trie(op13.regrown(op13.sequences(conversations)))
@@ -106,6 +115,7 @@ QUERIES = {
     "op9_digest_cache": (op9_digest_cache, None),
     "op10_chat_format": (op10_chat_format, sql.OP10),
     "op11_bloom_search": (op11_bloom_search, sql.OP11),
+    "op12_factor_machine": (op12_factor_machine, None),
     "op13_conversation_trie": (op13_conversation_trie, sql.OP13),
     "pipeline": (pipeline, None),
 }
