@@ -7,13 +7,14 @@ Hashes depend on the bytes alone, so any worker gives the same.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15
-#: Bytes that are hashed at a time: the work arrays of a chunk stay in the CPU's cache.
-CHUNK_BYTES = 1 << 20
+#: Numbers of powers that are kept: twice as many words as a group of short texts has.
+_KEPT = 1 << 22
 #: Bytes of text whose words are held at a time; a longer text is held alone.
 GROUP_BYTES = 4 << 20
 
@@ -30,10 +31,10 @@ def powers(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is not None and len(have) >= n:
         return have[:n]
-    out = np.full(max(n, CHUNK_BYTES // 2), base, np.uint64)
+    out = np.full(max(n, _KEPT // 8), base, np.uint64)
     out[0] = 1
     np.cumprod(out, out=out)
-    if len(out) <= 4 * CHUNK_BYTES:
+    if len(out) <= _KEPT:
         _powers[base] = out
     return out[:n]
 
@@ -86,19 +87,54 @@ def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK_BYTES, "right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * powers(_BASE, hi - lo), out=sums[1:])
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix((sums[e] - sums[s]) * powers(inverse(_BASE), hi - lo)[s] + (e - s).astype(np.uint64))
-        i = j
-    return out
+#: Masks that keep the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _lanes(lane: np.ndarray, at: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two mixes of 8-byte lanes with their places in the word, one to be added and one to be XORed."""
+    place = mix(at + np.uint64(salt))
+    return mix(lane ^ place), mix((lane + place) * _SPREAD)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
+    """64-bit hash of every word, from its bytes eight at a time, each eight mixed with its place before they are
+    combined in two ways. ``kind`` gives independent hashes."""
+    salt = (_BASE * (2 * kind + 1)) & (1 << 64) - 1
+    padded = np.append(np.ascontiguousarray(data), np.zeros(8, np.uint8))
+    eight = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+    length = ends - starts
+    total, other = _lanes(eight[starts] & _FIRST[np.minimum(length, 8)], np.zeros(1, np.uint64), salt)
+    long = np.flatnonzero(length > 8)
+    if len(long):
+        more = (length[long] - 1) // 8
+        begin = np.cumsum(more) - more
+        at = np.arange(1, int(more.sum()) + 1) - np.repeat(begin, more)
+        left = np.repeat(length[long], more) - 8 * at
+        lane = eight[np.repeat(starts[long], more) + 8 * at] & _FIRST[np.minimum(left, 8)]
+        add, xor = _lanes(lane, at.astype(np.uint64), salt)
+        total[long] += np.add.reduceat(add, begin)
+        other[long] ^= np.bitwise_xor.reduceat(xor, begin)
+    return mix(total + mix(other + length.astype(np.uint64)))
+
+
+class Spans:
+    """128-bit BLAKE2b digests of word sequences [i, j): of the words themselves, joined by one space."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        length = ends - starts
+        begin = np.cumsum(length + 1) - (length + 1)
+        text = np.full(int(length.sum()) + len(length), 32, np.uint8)
+        step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        text[np.repeat(begin, length) + step] = data[np.repeat(starts, length) + step]
+        self.text, self.begin, self.end = text.tobytes(), begin, begin + length
+
+    def digests(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Rows of two 64-bit numbers; every sequence has at least one word."""
+        text = self.text
+        found = [blake2b(text[a:b], digest_size=16).digest() for a, b in zip(self.begin[i].tolist(), self.end[j - 1].tolist())]
+        return np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
 
 
 class Sequences:

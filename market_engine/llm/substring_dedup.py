@@ -2,7 +2,7 @@
 
 The edges of the graph are all windows of ``size`` (50) consecutive words. Consecutive windows that
 share their minimizer (the leftmost smallest hash of k words inside) form one run, and a run is
-written once: its key is a 128-bit digest of all its words, with its coordinates (document, first
+written once: its key is a 128-bit digest (BLAKE2b) of all its words, with its coordinates (document, first
 window, number of windows) and the digests of the runs before and after it. Equal windows have equal
 minimizers at equal places, so:
 
@@ -18,8 +18,9 @@ minimizers at equal places, so:
    document has a smaller id give the word ranges to remove; ranges of a document are merged and cut
    from its text.
 
-A range is only as good as its digests: 128 bits of independent hashes over the words at the source
-coordinates verify every path and window.
+What is compared before a cut are the words: each run's and window's key is a cryptographic digest of its words,
+made from the text at its coordinates, in the source as in the document that loses them. Hashes of words only
+choose minimizers; words that share one make a minimizer branch, no more.
 
 Defined results: windows are judged on the input. A null text has no words; a text of fewer than
 ``size`` words keeps all. Rows that repeat a doc_id are no earlier than each other and each gets its
@@ -42,7 +43,7 @@ from market_engine.llm.packing import pack, unpack
 
 #: Words of a minimizer.
 MINIMIZER = 12
-_RUN = "minimizer long, k1 long, k2 long, doc_id long, text_key int, start int, n int"
+_RUN = "minimizer long, k1 long, k2 long, doc_id long, text_key long, start int, n int"
 _EDGE = _RUN + ", last long, prev long, next long"
 
 
@@ -50,7 +51,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _runs_of(words: np.ndarray, first: np.ndarray, size: int):
+def _runs_of(words: np.ndarray, first: np.ndarray, spans: H.Spans, size: int):
     """Arrays (text, start, n, minimizer, k1, k2, prev, next) of the runs of a group of texts."""
     grams = H.Sequences(words, 1).all(MINIMIZER)
     at = H.sliding_argmin(grams, size - MINIMIZER + 1)
@@ -66,7 +67,7 @@ def _runs_of(words: np.ndarray, first: np.ndarray, size: int):
     n = np.diff(np.append(head, len(s)))
     lo, doc = s[head], text[head]
     hi = lo + n - 1 + size
-    k1, k2 = H.Sequences(words, 2).hash(lo, hi), H.Sequences(words, 3).hash(lo, hi)
+    k1, k2 = spans.digests(lo, hi).T
     same = doc[1:] == doc[:-1]
     prev, nxt = np.zeros_like(k1), np.zeros_like(k1)
     prev[1:][same] = k1[:-1][same]
@@ -83,7 +84,7 @@ def _runs(size: int, summed: bool):
             for i, j in H.doc_groups(offsets):
                 own = data[offsets[i]:offsets[j]]
                 starts, ends, first = H.word_places(own, offsets[i:j + 1] - offsets[i])
-                got = _runs_of(H.word_hashes(own, starts, ends), first, size)
+                got = _runs_of(H.word_hashes(own, starts, ends), first, H.Spans(own, starts, ends), size)
                 if got is not None:
                     parts.append((got[0] + i, *got[1:]))
             if not parts:
@@ -91,7 +92,7 @@ def _runs(size: int, summed: bool):
             row, start, n, minimizer, k1, k2, prev, nxt = (np.concatenate(x) for x in zip(*parts))
             ids = batch.column(0).to_numpy(zero_copy_only=False)[row]
             key = batch.column(1).to_numpy(zero_copy_only=False)[row]
-            columns = [minimizer, k1, k2, ids, key.astype(np.int32), start.astype(np.int32), n.astype(np.int32)]
+            columns = [minimizer, k1, k2, ids, key, start.astype(np.int32), n.astype(np.int32)]
             names = ["minimizer", "k1", "k2", "doc_id", "text_key", "start", "n"]
             if summed:
                 order = np.lexsort((start, key, ids, k2, k1))
@@ -117,13 +118,13 @@ def _windows(size: int):
                 starts, ends, first = H.word_places(own, offsets[i:j + 1] - offsets[i])
                 rows = [(d, r["start"] + first[d - i], r["n"], r["k1"], r["k2"], r["last"]) for d in range(i, j) for r in wanted[d]]
                 doc, lo, n, k1, k2, last = (np.array(x, np.int64) for x in zip(*rows))
-                words = H.word_hashes(own, starts, ends)
                 at = np.repeat(np.arange(len(n)), n)
                 step = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
                 s = lo[at] + step
+                w1, w2 = H.Spans(own, starts, ends).digests(s, s + size).T
                 yield pa.record_batch(
                     [pa.array(k1[at]), pa.array(k2[at]), pa.array(step.astype(np.int32)),
-                     _signed(H.Sequences(words, 4).hash(s, s + size)), _signed(H.Sequences(words, 5).hash(s, s + size)),
+                     _signed(np.ascontiguousarray(w1)), _signed(np.ascontiguousarray(w2)),
                      batch.column(0).take(pa.array(doc[at])), pa.array(last[at])],
                     names=["k1", "k2", "i", "w1", "w2", "doc_id", "last"])
     return work
@@ -152,7 +153,7 @@ def _cut(with_text: bool):
 
 def _keyed(documents: DataFrame, doc_id: str, text: str) -> list:
     """Document id and a key that tells different texts of one id apart."""
-    return [F.col(doc_id).cast("long").alias("doc_id"), F.hash(F.col(text)).alias("text_key"), F.col(text).alias("text")]
+    return [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text")]
 
 
 def runs(docs: DataFrame, size: int = 50, summed: bool = False) -> DataFrame:
