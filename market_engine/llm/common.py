@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Spark's setting that removes a query's shuffle files when it ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_paths: WeakKeyDictionary = WeakKeyDictionary()
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 
 
@@ -39,7 +41,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Remove the tables that ``stored`` wrote for these frames; nothing may read them any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_paths.pop(df))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def split_words(text: Column) -> Column:

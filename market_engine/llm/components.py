@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from market_engine.llm.common import stored
+from market_engine.llm.common import drop_stored, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges are summed in part before they move."""
     e = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
                .filter("a <> b").distinct(), "edges")
-    labels = stored(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
+    table = labels = stored(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
         "node", F.least("node", "m").alias("component")), "labels")
     while True:
         near = e.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(
@@ -26,6 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("to"), F.col("component").alias("then"))
         new = stored(moved.join(jump, "to").select(
             "node", F.least("to", "then").alias("component"), (F.least("to", "then") < F.col("component")).alias("new")), "labels")
-        labels = new.select("node", "component")
+        drop_stored(table)
+        table, labels = new, new.select("node", "component")
         if new.filter("new").isEmpty():
+            drop_stored(e)
             return labels

@@ -24,6 +24,19 @@ def pack(df: DataFrame) -> DataFrame:
     return df.mapInArrow(_pack, keep.schema.add("packed", "binary"))
 
 
+def unpack_slices(columns: list[pa.Array], size: int):
+    """Yields (first row, row after the last, string columns) of packed columns, about ``size`` bytes of text at a time."""
+    z = zstandard.ZstdDecompressor()
+    first, held, texts = 0, 0, [[] for _ in columns]
+    for r, row in enumerate(zip(*columns)):
+        for x, to in zip(row, texts):
+            to.append(z.decompress(x.as_buffer()) if x.is_valid else b"")
+            held += len(to[-1])
+        if held > size or r + 1 == len(columns[0]):
+            yield first, r + 1, [pa.array(t, pa.binary()).cast(pa.string()) for t in texts]
+            first, held, texts = r + 1, 0, [[] for _ in columns]
+
+
 def unpack(column: pa.Array) -> pa.Array:
     z = zstandard.ZstdDecompressor()
     return pa.array([z.decompress(x.as_buffer()) if x.is_valid else None for x in column], pa.binary()).cast(pa.string())

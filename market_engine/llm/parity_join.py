@@ -12,14 +12,20 @@ and P = D + 1 + spare blocks for the band's largest D. By the pigeonhole princip
 of the join as long as a set has at most ``spare`` of them: one equal block with shingles is then left.
 A set with more joins on its empty blocks too, and so still meets any other such set.
 
-The join goes by (band, block, XOR). Texts with the same set are one class: of those in one task only
-the first is dealt out, so exact copies cost one row a task. Each joined group is compared with its
-smallest member, its pivot. Where a pivot's members still are of several components, they are joined by
-what differs between them and the pivot (``_meet``): members without a common difference by their one
-nearest, the others by each common difference. Such a group is compared member by member (few first: a
+The join goes by (band, block, XOR); the smallest member of each group, its pivot, is found by an aggregate and
+joined back, so a hot group is split like any join. Texts with the same set are one class: of those in one task only
+the first is dealt out, so exact copies cost one row a task. Each group is compared with its pivot. A pair is verified
+in two steps: a second sketch of four bits a shingle, whose Hamming distance again is a lower bound, drops most pairs
+before any text moves; the others are told on their whole sets.
+
+Where a pivot's members still are of several components, those with too many shingles that no other such member has
+are done (``_not_alone``). The others are joined by what differs between them and the pivot (``_meet``): members without
+a common difference by their one nearest, the others by each common difference. Such a group is compared member by member (few first: a
 member's level is the number of trailing zeros of its hash) until no two of it are left that are neither
-connected nor compared. Every compared pair is verified on the whole sets, so the links are exact and
-none is lost, and a large group of copies with edits of their own costs rows, not pairs.
+connected nor compared. No link is lost, and a large group of copies with edits of their own costs rows, not pairs.
+
+Shingles are 64-bit hashes; a word's hash mixes its bytes, eight at a time, with their places in two ways. Classes are
+told by two digests of sets made from word hashes of two kinds.
 
 Defined results: a null or blank text has no set, is linked with nothing and its component is its own
 id; fewer words than ``words`` make one shingle of all; rows that repeat a doc_id are one node; rows
@@ -29,6 +35,7 @@ with a null id are linked with nothing; other columns are ignored; empty tables
 from __future__ import annotations
 
 import math
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +43,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from market_engine.llm import hashing as H
-from market_engine.llm.common import stored
+from market_engine.llm.common import drop_stored, stored
 from market_engine.llm.components import components
+from market_engine.llm.packing import pack, unpack_slices
 
 #: Ratio of the sizes that bound a band.
 BAND_RATIO = 1.5
 #: Pairs that a round of pivots compares at most per member row, unless one level alone needs more.
 PAIRS_PER_ROW = 4
+#: Distinct sets that a task remembers, so as to deal out copies once.
+SEEN = 100_000
 
 
 def most_different(a: int, b: int, percent: int) -> int:
@@ -70,39 +80,37 @@ def bands(percent: int, largest: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _sets(batch_ids, column, words: int):
-    """Yields (row, sorted distinct shingle hashes) of a string column's texts."""
+def _sets(column, words: int, kind: int = 0):
+    """Yields the sorted distinct shingle hashes of a string column's texts, one after the other."""
     data, offsets = H.text_bytes(column)
-    data = H.ASCII_LOWER[data]
     for i, j in H.doc_groups(offsets):
-        own = data[offsets[i]:offsets[j]]
+        own = H.ASCII_LOWER[data[offsets[i]:offsets[j]]]
         starts, ends, first = H.word_places(own, offsets[i:j + 1] - offsets[i])
-        seq = H.Sequences(H.word_hashes(own, starts, ends), words)
+        seq = H.Sequences(H.word_hashes(own, starts, ends, kind), words + 100 * kind)
         grams = seq.all(words)
         for d in range(j - i):
             lo, hi = int(first[d]), int(first[d + 1])
             if hi - lo >= words:
-                yield i + d, np.unique(grams[lo:hi - words + 1])
+                yield np.unique(grams[lo:hi - words + 1])
             elif hi > lo:
-                yield i + d, seq.hash(np.array([lo]), np.array([hi]))
+                yield seq.hash(np.array([lo]), np.array([hi]))
             else:
-                yield i + d, np.zeros(0, np.uint64)
+                yield np.zeros(0, np.uint64)
 
 
-def _class_of(s: np.ndarray) -> tuple[int, int]:
-    """128-bit digest of a set (order does not matter)."""
-    with np.errstate(over="ignore"):
-        return (int(H.mix(s).sum(dtype=np.uint64).view(np.int64)),
-                int(H.mix(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64)))
+def _digest(s: np.ndarray) -> int:
+    """64-bit digest of a set (order does not matter)."""
+    return int(H.mix(s).sum(dtype=np.uint64).view(np.int64))
 
 
 def _classes(words: int):
+    """Size of each text's set and two digests of it, from word hashes of two kinds."""
     def work(batches):
         for batch in batches:
-            rows = [(r, len(s), *(_class_of(s))) for r, s in _sets(batch.column(0), batch.column(1), words)]
-            r, n, c1, c2 = zip(*rows) if rows else ((), (), (), ())
-            yield pa.record_batch([batch.column(0).take(pa.array(r, pa.int64())), pa.array(n, pa.int64()),
-                                   pa.array(c1, pa.int64()), pa.array(c2, pa.int64())], names=["doc_id", "n", "c1", "c2"])
+            rows = [(len(s), _digest(s), _digest(t)) for s, t in zip(_sets(batch.column(1), words), _sets(batch.column(1), words, 1))]
+            n, c1, c2 = zip(*rows) if rows else ((), (), ())
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64())],
+                                  names=["doc_id", "n", "c1", "c2"])
     return work
 
 
@@ -120,15 +128,17 @@ def _blocks(s: np.ndarray, p: int, spare: int, band: int) -> np.ndarray:
 
 def _keys(words: int, percent: int):
     def work(batches):
-        seen: set[tuple[int, int]] = set()
+        seen: set[bytes] = set()
         known: list[tuple[int, int, int, int]] = []
         for batch in batches:
             ids = batch.column(0)
             at, keys, size = [], [], 0
-            for r, s in _sets(ids, batch.column(1), words):
+            for r, s in enumerate(_sets(batch.column(1), words)):
                 n = len(s)
-                if not n or (c := _class_of(s)) in seen:
+                if not n or (c := blake2b(s.tobytes(), digest_size=16).digest()) in seen:
                     continue
+                if len(seen) >= SEEN:
+                    seen.clear()
                 seen.add(c)
                 if not known or n >= known[-1][1]:
                     known = bands(percent, 2 * n)
@@ -138,7 +148,7 @@ def _keys(words: int, percent: int):
                         keys.append(_blocks(s, p, spare, b))
                         at.append((r, len(keys[-1])))
                         size += len(keys[-1])
-                if size > 1 << 20:
+                if size > 1 << 18:
                     yield _key_batch(ids, at, keys)
                     at, keys, size = [], [], 0
             if at:
@@ -152,26 +162,90 @@ def _key_batch(ids, at, keys):
                            names=["key", "doc_id"])
 
 
-def _set_rows(words: int):
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parity sketch of a set: every hash turns one bit round; at least four bits a hash, in numbers of 64 bits whose
+    count is a power of two, so a longer sketch folds to a shorter one."""
+    bits = 64 << max(0, (4 * len(s) - 1).bit_length() - 6)
+    odd = np.bincount((H.mix(s ^ np.uint64(0x632BE59BD9B4E019)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
+def _sketches(words: int):
+    def work(batches):
+        for batch in batches:
+            for i, j, (texts,) in unpack_slices([batch.column(1)], H.GROUP_BYTES):
+                sets = list(_sets(texts, words))
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), _lists(map(_sketch, sets), pa.int64())],
+                                      names=["doc_id", "n", "sketch"])
+    return work
+
+
+def _lists(arrays, kind) -> pa.ListArray:
+    arrays = list(arrays)
+    at = np.append(0, np.cumsum([len(a) for a in arrays])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(arrays), kind))
+
+
+def _shingles(words: int):
+    """Rows (f, doc_id): the shingles of texts."""
+    def work(batches):
+        for batch in batches:
+            for i, j, (texts,) in unpack_slices([batch.column(1)], H.GROUP_BYTES // 4):
+                sets = list(_sets(texts, words))
+                row = np.repeat(np.arange(i, j), [len(s) for s in sets])
+                yield pa.record_batch([pa.array(np.concatenate(sets).view(np.int64)), batch.column(0).take(pa.array(row))], names=["f", "doc_id"])
+    return work
+
+
+def _both(words: int, columns):
+    """Yields (row, row after the last, sets of the first column, sets of the second) of packed texts."""
+    for i, j, (x, y) in unpack_slices(columns, H.GROUP_BYTES):
+        yield i, j, list(_sets(x, words)), list(_sets(y, words))
+
+
+def _alike(words: int, percent: int):
+    """Of rows (a, b, packed_a, packed_b) those whose sets are similar enough."""
+    def work(batches):
+        for batch in batches:
+            for i, j, xs, ys in _both(words, batch.columns[2:]):
+                common = np.array([len(np.intersect1d(x, y, True)) for x, y in zip(xs, ys)])
+                whole = np.array([len(x) + len(y) for x, y in zip(xs, ys)]) - common
+                yield batch.slice(i, j - i).select(["a", "b"]).filter(pa.array(common * 100 >= whole * percent))
+    return work
+
+
+def _differing(words: int):
+    """Of rows (pivot, doc_id, packed, packed_pivot): n and the shingles that only one of the two has."""
     def work(batches):
         for batch in batches:
-            rows = list(_sets(batch.column(0), batch.column(1), words))
-            n = np.array([len(s) for _, s in rows], np.int32)
-            flat = np.concatenate([s for _, s in rows]) if rows else np.zeros(0, np.uint64)
-            at = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(flat.view(np.int64)))
-            yield pa.record_batch([batch.column(0).take(pa.array([r for r, _ in rows], pa.int64())), at], names=["doc_id", "set"])
+            for i, j, xs, ys in _both(words, batch.columns[2:]):
+                diff = _lists((np.setxor1d(x, y, True).view(np.int64) for x, y in zip(xs, ys)), pa.int64())
+                own = batch.slice(i, j - i)
+                yield pa.record_batch([own.column(0), own.column(1), pa.array([len(x) for x in xs], pa.int64()), diff],
+                                      names=["pivot", "doc_id", "n", "diff"])
     return work
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    a, b = (sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}")) for x in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    na, nb = F.size("set_a"), F.size("set_b")
-    near = F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    alike = F.when(near, common * 100 >= (na + nb - common) * percent).otherwise(False)
-    return both.filter(alike).select("a", "b").distinct()
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow the similarity: a pair's sketches, folded to one length, differ in no
+    more bits than its sets in shingles."""
+    a, b = (sketches.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    both = pairs.join(a, "a").join(b, "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    folded = "transform(sequence(1, m), i -> aggregate(sequence(0, cast(size({0}) div m as int) - 1), 0L, (x, j) -> x ^ element_at({0}, i + j * m)))"
+    both = both.withColumn("m", F.least(F.size("sa"), F.size("sb")))
+    apart = F.expr(f"aggregate(zip_with({folded.format('sa')}, {folded.format('sb')}, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)")
+    most = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
+    return both.filter(apart <= most).select("a", "b").distinct()
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, told on the whole sets."""
+    near = stored(_possible(pairs, sketches, percent), "possible")
+    a, b = (texts.select(F.col("doc_id").alias(x), F.col("packed").alias(f"packed_{x}")) for x in "ab")
+    out = stored(near.join(a, "a").join(b, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(
+        _alike(words, percent), "a long, b long"), "links")
+    drop_stored(near)
+    return out
 
 
 def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -180,12 +254,28 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "doc_id"))
 
 
-def _differences(stars: DataFrame, sets: DataFrame) -> DataFrame:
+def _mixed(stars: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows (pivot, doc_id) of pivots whose members are of several components."""
+    several = _with_component(stars, found).groupBy("pivot").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("pivot")
+    return stars.join(several, "pivot").select("pivot", "doc_id")
+
+
+def _differences(stars: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Rows (pivot, doc_id, n, diff): the size of a member's set and its symmetric difference to the pivot's."""
-    own, piv = (sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"{x}_set")) for x in ("doc_id", "pivot"))
-    both = stars.join(own, "doc_id").join(piv, "pivot")
-    diff = F.concat(F.array_except("doc_id_set", "pivot_set"), F.array_except("pivot_set", "doc_id_set"))
-    return both.select("pivot", "doc_id", F.size("doc_id_set").alias("n"), diff.alias("diff"))
+    base = texts.select(F.col("doc_id").alias("pivot"), F.col("packed").alias("packed_pivot"))
+    both = stars.join(texts, "doc_id").join(base, "pivot").select("pivot", "doc_id", "packed", "packed_pivot")
+    return both.mapInArrow(_differing(words), "pivot long, doc_id long, n long, diff array<long>")
+
+
+def _not_alone(docs: DataFrame, texts: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of ``docs`` (doc_id) those that share enough of their shingles with others of them to be similar to one: a text
+    that only has a passage in common with others goes here, in one exchange."""
+    one = texts.join(docs, "doc_id", "left_semi").mapInArrow(_shingles(words), "f long, doc_id long")
+    own = one.groupBy("f").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")).filter("c = 1")
+    own = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+    return docs.join(sketches.select("doc_id", "n"), "doc_id").join(own, "doc_id", "left").na.fill(0, ["own"]).filter(
+        (F.col("n") - F.col("own")) * 100 >= F.col("n") * percent).select("doc_id")
 
 
 def _meet(delta: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -240,33 +330,39 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     reps = full.groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
     classes = stored(full.join(reps, ["n", "c1", "c2"]).select("doc_id", "n", "rep").unionByName(
         own.filter("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("rep"))), "reps")
-    rep_of = full.select("doc_id").distinct().join(classes.select("doc_id", "rep").distinct(), "doc_id")
+    drop_stored(own)
+    rep_of = classes.filter("n > 0 and doc_id is not null").select("doc_id", "rep").distinct()
 
     keys = docs.filter("doc_id is not null and text is not null").mapInArrow(_keys(words, percent), "key long, doc_id long")
-    met = keys.withColumn("pivot", F.min("doc_id").over(Window.partitionBy("key"))).filter("doc_id <> pivot")
-    met = stored(met.distinct(), "met")
-    by_rep = met.join(rep_of, "doc_id").select("key", "pivot", F.col("rep").alias("doc_id"))
+    meeting = stored(keys.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter(
+        "pivot < last").select("key", "pivot"), "meeting")
+    met = stored(keys.join(meeting, "key").filter("doc_id <> pivot").select("doc_id", "pivot").distinct(), "met")
+    drop_stored(meeting)
+    by_rep = met.join(rep_of, "doc_id").select("pivot", F.col("rep").alias("doc_id"))
     by_rep = by_rep.join(rep_of.select(F.col("doc_id").alias("pivot"), "rep"), "pivot").select(
-        "key", "doc_id", F.col("rep").alias("pivot")).filter("doc_id <> pivot")
-    by_rep = stored(by_rep.distinct(), "groups")
-
-    pairs = by_rep.select(*_ordered("doc_id", "pivot")).distinct()
-    nodes = by_rep.select("doc_id").unionByName(by_rep.select(F.col("pivot").alias("doc_id"))).distinct()
-    sets = stored(docs.join(nodes, "doc_id").select("doc_id", "text").mapInArrow(_set_rows(words), "doc_id long, set array<long>"), "sets")
-    links = stored(_verified(pairs, sets, percent), "links")
+        F.col("rep").alias("pivot"), "doc_id").filter("doc_id <> pivot")
+    stars = stored(by_rep.distinct(), "stars")
+    drop_stored(met)
+
+    pairs = stars.select(*_ordered("doc_id", "pivot")).distinct()
+    nodes = stars.select("doc_id").unionByName(stars.select(F.col("pivot").alias("doc_id"))).distinct()
+    texts = stored(pack(docs).join(nodes, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    sketches = stored(texts.mapInArrow(_sketches(words), "doc_id long, n long, sketch array<long>"), "sketches")
+    links = _verified(pairs, sketches, texts, words, percent)
     found = components(links)
 
     # members of a pivot whose components differ: what two of them share is told from their differences
-    stars = by_rep.select("pivot", "doc_id").distinct()
     stars = stars.unionByName(stars.select("pivot", F.col("pivot").alias("doc_id")).distinct())
-    mixed = _with_component(stars, found).groupBy("pivot").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("pivot")
-    delta = stored(_differences(stars.join(mixed, "pivot"), sets), "deltas")
+    stars = stored(_mixed(stars, found), "mixed")
+    left = _not_alone(stars.select("doc_id").distinct(), texts, sketches, words, percent)
+    left = stored(_mixed(stars.join(left, "doc_id"), found), "left")
+    delta = stored(_differences(left, texts, words), "deltas")
+    drop_stored(stars, left)
     near, member = _meet(delta, percent)
     near = stored(_with_component(near, found).join(found.select(F.col("node").alias("nearest"), F.col("component").alias("nc")), "nearest", "left")
                   .filter("component <> coalesce(nc, nearest)").select(*_ordered("doc_id", "nearest")).distinct()
                   .join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = stored(_verified(near, sets, percent), "links")
+    more = _verified(near, sketches, texts, words, percent)
     if not more.isEmpty():
         links = stored(links.unionByName(more), "links")
         found = components(links)
@@ -274,6 +370,7 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
 
     level = F.length(F.regexp_extract(F.bin(F.xxhash64("doc_id")), "0*$", 0))
     member = stored(member.withColumn("level", level), "members")
+    drop_stored(delta)
     done, top = pairs, None
     while True:
         labelled = _with_component(member, found)
@@ -282,6 +379,7 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
         cost = left.filter(F.lit(True) if top is None else F.col("level") < top).groupBy("level").agg(
             F.sum("c").alias("pairs"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect()  # at most 65 rows
         if not cost:
+            drop_stored(left, member, texts, sketches)
             return classes, found
         room = PAIRS_PER_ROW * max(1_000_000, sum(r["n"] for r in cost))
         high, low = cost[0]["level"], cost[0]["level"]
@@ -296,7 +394,8 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
         new = left.join(p, "key").filter("component <> pc and (level < pl or level = pl and doc_id < pivot)"
                                          " and (early and m <= pm or pe and pm <= m)").select(*_ordered("doc_id", "pivot")).distinct()
         new = stored(new.join(done, ["a", "b"], "left_anti"), "pairs")
-        more = stored(_verified(new, sets, percent), "links")
+        drop_stored(left)
+        more = _verified(new, sketches, texts, words, percent)
         if not more.isEmpty():
             links = stored(links.unionByName(more), "links")
             found = components(links)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tests_llm_brute import components, removed
@@ -71,6 +72,56 @@ def test_parity_join_against_all_pairs(docs, corpus, k, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
 
 
+def _thue_morse(a, b):
+    """Word of 1,024 letters; with its complement it defeats polynomial hashes modulo powers of two."""
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(1024))
+
+
+def test_words_that_defeat_polynomial_hashes(docs):
+    x, y = _thue_morse("a", "b"), _thue_morse("b", "a")
+    rows = [(1, " ".join([*map(str, range(49)), x])), (2, " ".join([*map(str, range(49)), y])), (3, f"x y {x}"), (4, f"x y {y}")]
+    out = substring_dedup.remove_repeats(docs(rows), carry=["doc_id"]).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out) == removed(rows)
+    out = parity_join.label(docs(rows), 3, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == components(rows, 3, 90)
+
+
+def _families(seed):
+    """Groups of edited copies around the bound, a passage that many texts share, and a large family without its base."""
+    rng = random.Random(seed)
+    passage, rows = _text(rng, 60, 5000), []
+    for family in range(4):
+        base = _text(rng, rng.choice([30, 90, 160]), 5000).split()
+        for _ in range(18):
+            w = list(base)
+            for _ in range(rng.randrange(0, 2 + len(base) // 12)):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(99999)}"
+            rows.append(" ".join(w[rng.randrange(3):len(w) - rng.randrange(4)]))
+    rows += [f"{_text(rng, rng.randrange(5, 120), 5000)} {passage} {_text(rng, rng.randrange(5, 120), 5000)}" for _ in range(40)]
+    rows += [passage, passage + " end", "a b", "a b", "", _text(rng, 700, 5000)]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed,k,percent", [(1, 3, 90), (2, 5, 80), (3, 1, 80), (4, 2, 70), (5, 5, 90)])
+def test_parity_join_on_families(docs, seed, k, percent):
+    rows = _families(seed)
+    out = parity_join.label(docs(rows), k, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == components(rows, k, percent)
+
+
+def test_sketch_distance_is_a_lower_bound():
+    rng = np.random.default_rng(6)
+    for n in (3, 40, 300, 3000):
+        x = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        y = np.unique(np.append(x[rng.random(len(x)) < 0.8], rng.integers(0, 2 ** 63, n // 8).astype(np.uint64)))
+        a, b = parity_join._sketch(x), parity_join._sketch(y)
+        m = min(len(a), len(b))
+        fold = [np.bitwise_xor.reduce(s.reshape(-1, m)) for s in (a, b)]
+        apart = sum(bin(int(v) & (1 << 64) - 1).count("1") for v in fold[0] ^ fold[1])
+        assert apart <= len(np.setxor1d(x, y)) and apart % 2 == len(np.setxor1d(x, y)) % 2
+
+
 def test_parity_join_empty_null_and_bands(docs):
     assert parity_join.label(docs([])).count() == 0
     rows = parity_join.label(docs([(None, "a b c d"), (1, "a b c d"), (2, None)])).collect()
