@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from market_engine.constants import DEFAULT_BA, DEFAULT_LAGS, DEFAULT_MARKET
 from market_engine.functions import calendar_columns
-from market_engine.operators.ranking import distributed_row_number
+from market_engine.operators.ranking import distributed_row_number, with_neighbours
 from market_engine.session import materialise_frame
 
 PRICE_COLS = ["lmp_avg", "lmp_min", "lmp_max", "lmp_stddev",
@@ -36,12 +36,12 @@ def lag_name(n: int, value: str = "lmp_avg") -> str:
 
 def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lmp_avg",
              key: str = "trading_hub", order: str = "hour_utc", mode: str = "rows",
-             method: str = "join") -> DataFrame:
+             method: str = "join", stored: bool = False) -> DataFrame:
     """E-1 / C-4: previous values of ``value`` per ``key``.
 
     ``mode="rows"`` (reference semantics): offset by rows; a missing hour shifts every lag.
-      ``method="join"``: exact distributed row numbers (bucketed by day) and one exploded equi
-      join on (key, row); no task holds a whole hub. The input is materialised once. ``method="window"``: ``lag`` over one
+      ``method="join"``: exact distributed row numbers (bucketed by day), then ``lag`` over blocks of row numbers
+      that hold copies of the rows before them; no task holds a whole hub. The input is materialised once. ``method="window"``: ``lag`` over one
       shared window per hub (one sort, one task per hub; fine for short histories).
     ``mode="time"``: exact ``order - n hours`` via one exploded equi join on (key, hour). Should
     an hour hold several rows (two source systems, T5), its largest value is taken instead of
@@ -51,23 +51,17 @@ def add_lags(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, value: str = "lm
         w = Window.partitionBy(key).orderBy(order)
         return df.withColumns({lag_name(n, value): F.lag(value, n).over(w) for n in lags})
     if mode == "rows" and method == "join":
-        # the input is read three times (bucket counts, row numbers, offers); materialise it
-        # once so the upstream roll-up is not recomputed per branch
-        df = materialise_frame(df)
+        # the input is read twice (counts a day, rows); materialise it once so the upstream roll-up is not
+        # recomputed per branch
+        df = df if stored else materialise_frame(df)
         ranked = distributed_row_number(df, [key], F.to_date(order), [F.col(order)], "_rn")
-        # every row offers its value to the rows n positions later: one exploded copy per lag,
-        # aggregated on the target index. The aggregate's output is hash-partitioned on
-        # (key, _rn), which is exactly what the join back needs, so it adds no exchange.
-        offers = ranked.select(key, F.col(value).alias("_v"), F.explode(F.array(
-            *[F.struct((F.col("_rn") + n).alias("_rn"), F.lit(n).alias("_n")) for n in lags])).alias("_o"))
-        lagged = offers.groupBy(key, F.col("_o._rn").alias("_rn")).agg(
-            *[F.max(F.when(F.col("_o._n") == n, F.col("_v"))).alias(lag_name(n, value)) for n in lags])
-        out = ranked.join(lagged, [key, "_rn"], "left")
+        rows, w, own = with_neighbours(ranked, [key], back=max(lags))
+        out = rows.select("*", *[F.lag(value, n).over(w).alias(lag_name(n, value)) for n in lags]).filter(own)
         return out.select(*df.columns, *[lag_name(n, value) for n in lags])
     if mode == "time":
         # each hour offers its value to the hours n later; aggregated on (key, target hour), whose
         # hash partitioning is what the join back needs. The input is read twice: materialise it.
-        df = materialise_frame(df)
+        df = df if stored else materialise_frame(df)
         offers = df.select(key, F.col(value).alias("_v"), F.explode(F.array(
             *[F.struct(F.timestamp_add("HOUR", F.lit(n), F.col(order)).alias("_t"), F.lit(n).alias("_n"))
               for n in lags])).alias("_o"))
@@ -83,17 +77,24 @@ def add_calendar(df: DataFrame, ts: str = "hour_utc", week_start: str = "monday"
     return df.withColumns(calendar_columns(ts, week_start))
 
 
+def joined_prices(stg_prices: DataFrame, stg_ops: DataFrame, market: str = DEFAULT_MARKET,
+                  balancing_authority: str = DEFAULT_BA) -> DataFrame:
+    """Prices of ``market`` with the operations of the authority. Filters (B-7) sit below the join and are pushed into the
+    scans by Catalyst."""
+    return join_ops(stg_prices.filter(F.col("market") == market), stg_ops.filter(F.col("balancing_authority") == balancing_authority))
+
+
 def market_features(stg_prices: DataFrame, stg_ops: DataFrame, market: str = DEFAULT_MARKET,
                     balancing_authority: str = DEFAULT_BA, lags: Sequence[int] = DEFAULT_LAGS,
                     lag_mode: str = "rows", week_start: str = "monday", lag_method: str = "join") -> DataFrame:
-    """Intermediate feature table: one row per (hour, hub) of ``market``.
+    """Intermediate feature table: one row per (hour, hub) of ``market``."""
+    return features_of(joined_prices(stg_prices, stg_ops, market, balancing_authority), lags, lag_mode, week_start, lag_method)
 
-    Filters (B-7) sit below the join and are pushed into the scans by Catalyst.
-    """
-    prices = stg_prices.filter(F.col("market") == market)
-    ops = stg_ops.filter(F.col("balancing_authority") == balancing_authority)
-    joined = join_ops(prices, ops)
-    lagged = add_lags(joined, lags, mode=lag_mode, method=lag_method)
+
+def features_of(joined: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, lag_mode: str = "rows", week_start: str = "monday",
+                lag_method: str = "join", stored: bool = False) -> DataFrame:
+    """The feature table of joined rows; ``stored``: they are a table already."""
+    lagged = add_lags(joined, lags, mode=lag_mode, method=lag_method, stored=stored)
     out = add_calendar(lagged, week_start=week_start)
     lag_cols = [lag_name(n) for n in lags]
     return out.select("hour_utc", "trading_hub", *PRICE_COLS, *OPS_COLS, *lag_cols,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from market_engine.operators.features import OPS_COLS, PRICE_COLS
+from market_engine.session import materialise_frame
 
 
 def _qname(q: float) -> str:
@@ -44,24 +45,20 @@ def hub_thresholds(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99
 
 
 def exact_percentiles(df: DataFrame, quantiles: Sequence[float], value: str, key: str,
-                      buckets: int = 1024) -> DataFrame:
+                      buckets: int = 256) -> DataFrame:
     """Exact interpolated percentiles per key with no per-key buffer or sort.
 
     1. distinct (key, value) with counts: a value repeated a million times is one row;
-    2. rows before each distinct value (running count over ``buckets`` equal-width value
-       ranges per key, ``ranking.distributed_running_count``);
+    2. rows before each distinct value (``ranking.distributed_running_count`` over ``buckets`` value ranges per key,
+       cut by a quantile sketch so that each holds about as many distinct values, see ``ranking.with_range``);
     3. for each quantile the two order statistics around position (n-1)q are the distinct
        values whose count range covers floor/ceil of the position; they are interpolated with
        weights (ceil - pos), (pos - floor) — the same arithmetic as Spark's ``percentile``.
     """
-    from market_engine.operators.ranking import distributed_running_count
-    from market_engine.session import materialise_frame
+    from market_engine.operators.ranking import distributed_running_count, with_range
     v = materialise_frame(df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c")))
-    rng = v.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_c").alias("_n"))
-    v = v.join(rng, key)
-    width = F.try_divide(F.col("_hi") - F.col("_lo"), F.lit(float(buckets)))
-    bkt = F.least(F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_lo"), width)), F.lit(0)), F.lit(buckets - 1))
-    ranked = distributed_running_count(v, [key], bkt, [F.col(value)], "_c", "_before")
+    v = with_range(v, [key], value, F.sum("_c").alias("_n"), buckets=buckets)
+    ranked = distributed_running_count(v, [key], "_bkt", [F.col(value)], "_c", "_before")
     cols = []
     for i, q in enumerate(quantiles):
         pos = (F.col("_n") - 1) * float(q)
@@ -120,9 +117,10 @@ def classify(features: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def market_stress(features: DataFrame, quantiles: Sequence[float] = (0.95, 0.99), exact: bool = True,
-                  method: str = "distributed") -> DataFrame:
-    """D-2 -> C-2 -> B-12/B-13 over the feature table (static thresholds over the full history)."""
-    return classify(features, hub_thresholds(features, quantiles, exact=exact, method=method))
+                  method: str = "distributed", prices: DataFrame | None = None) -> DataFrame:
+    """D-2 -> C-2 -> B-12/B-13 over the feature table (static thresholds over the full history). ``prices``: rows with
+    the same hubs and prices that are cheaper to read than the features, for the thresholds."""
+    return classify(features, hub_thresholds(features if prices is None else prices, quantiles, exact=exact, method=method))
 
 
 def rolling_threshold(features: DataFrame, days: int = 30, q: float = 0.95, value: str = "lmp_avg",

@@ -1,9 +1,8 @@
 """Composed market-stress job: raw feeds -> staging -> features -> mart -> dashboard.
 
 Each stage is a lazy DataFrame; Catalyst sees one plan per output and pushes the market /
-authority filters into the scans. The feature table feeds both the per-hub threshold
-aggregate and the join back; inside one plan Spark reuses the shared exchanges, and
-``materialise=True`` persists it (recomputable from lineage if an executor is lost).
+authority filters into the scans. The roll-up's hourly rows, joined with the operations, feed the lags
+and the per-hub thresholds; they are stored once, everything behind them is one lazy plan.
 """
 
 from __future__ import annotations
@@ -17,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from market_engine.constants import DEFAULT_BA, DEFAULT_LAGS, DEFAULT_MARKET
 from market_engine.operators.dashboard import dashboard_view
-from market_engine.operators.features import market_features
+from market_engine.operators.features import features_of, joined_prices
 from market_engine.operators.hourly import hourly_prices, staged_ops
 from market_engine.operators.stress import market_stress
-from market_engine.session import checkpoint_dir, shared_fallback
+from market_engine.session import materialise_frame
 from market_engine.sources import adapters
 
 
@@ -60,22 +59,23 @@ class MarketLayers:
     def stg_ops(self) -> DataFrame:
         return staged_ops(self._get(self._raw_ops))
 
+    @cached_property
+    def joined(self) -> DataFrame:
+        """Prices with operations: the roll-up's result, stored once if anything is (the lags and the thresholds read it)."""
+        j = joined_prices(self.stg_prices, self.stg_ops, self.params.market, self.params.balancing_authority)
+        if self.materialise == "persist":
+            return j.persist(StorageLevel.MEMORY_AND_DISK)
+        return materialise_frame(j) if self.materialise == "checkpoint" else j
+
     @cached_property
     def features(self) -> DataFrame:
         p = self.params
-        f = market_features(self.stg_prices, self.stg_ops, p.market, p.balancing_authority,
-                            p.lags, p.lag_mode, p.week_start, p.lag_method)
-        if self.materialise == "persist":
-            return f.persist(StorageLevel.MEMORY_AND_DISK)
-        if self.materialise == "checkpoint":
-            checkpoint_dir(f.sparkSession, fallback=shared_fallback(f.sparkSession))
-            return f.checkpoint(eager=True)
-        return f
+        return features_of(self.joined, p.lags, p.lag_mode, p.week_start, p.lag_method, stored=self.materialise != "none")
 
     @cached_property
     def stress(self) -> DataFrame:
         p = self.params
-        return market_stress(self.features, p.quantiles, p.exact_percentiles, p.threshold_method)
+        return market_stress(self.features, p.quantiles, p.exact_percentiles, p.threshold_method, prices=self.joined)
 
     @cached_property
     def dashboard(self) -> DataFrame:
@@ -84,13 +84,13 @@ class MarketLayers:
 
 def build(raw_prices: DataFrame, raw_ops: DataFrame, params: MarketParams = MarketParams(),
           materialise: str = "none") -> MarketLayers:
-    """Compose the layers. ``materialise`` for the feature table (read by the threshold
-    aggregate, the join back and every downstream report):
+    """Compose the layers. ``materialise`` for the rolled-up prices joined with operations (read by the lags and
+    the threshold aggregate of every downstream report):
 
     * ``"none"``: lazy; one plan per output.
     * ``"persist"``: MEMORY_AND_DISK cache (lost partitions are recomputed from lineage).
-    * ``"checkpoint"``: written to the shared ``spark.checkpoint.dir``; cuts the lineage so
-      downstream plans start from a small table scan and survive executor loss.
+    * ``"checkpoint"``: written as Parquet to the shared ``spark.checkpoint.dir``; cuts the lineage so
+      downstream plans start from a scan of the columns they need and survive executor loss.
     """
     if materialise not in ("none", "persist", "checkpoint"):
         raise ValueError(f"materialise must be none, persist or checkpoint, got {materialise!r}")

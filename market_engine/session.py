@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -69,8 +72,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_fallback(spark: SparkSession) -> str:
-    """Where checkpoints go if ``spark.checkpoint.dir`` is unset: beside the session's tables, in the
-    warehouse, which driver and executors share."""
+    """Where intermediate tables go if ``spark.checkpoint.dir`` is unset: beside the session's tables, in the
+    warehouse. A warehouse that nobody named is a folder of the driver's machine, so this holds for local runs
+    only; a cluster must name a folder that its executors share."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
@@ -92,16 +98,31 @@ def checkpoint_dir(spark: SparkSession, fallback=None) -> str | None:
     return None
 
 
-def materialise_frame(df, fallback: str | None = None):
-    """Cut a DataFrame's lineage before it is read many times (model fits, repeated scoring).
-
-    With a shared ``spark.checkpoint.dir`` the rows are written there (reliable checkpoint:
-    survives executor loss and keeps downstream plans small). Without one and without a
-    ``fallback``, the frame is persisted to memory and disk instead.
-    """
-    from pyspark import StorageLevel
-    if checkpoint_dir(df.sparkSession, fallback):
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_frames(spark: SparkSession):
+    """Frames that ``materialise_frame`` writes inside are removed at the end; what is to outlive them is
+    materialised with ``keep=True``."""
+    token = _scratch.set([])
+    try:
+        yield
+    finally:
+        paths = _scratch.get()
+        _scratch.reset(token)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialise_frame(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Cut a frame's lineage before it is read several times: write it as Parquet in the shared folder and read it
+    back. The rows survive lost executors, and every reader takes only the columns and rows that it asks for."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark, lambda: shared_fallback(spark)).rstrip('/')}/frame-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    scratch = _scratch.get()
+    if scratch is not None and not keep:
+        scratch.append(path)
+    return spark.read.schema(df.schema).parquet(path)
