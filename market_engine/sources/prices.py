@@ -12,7 +12,6 @@ discovery), or from a ``NODE`` column mapped back through the hub->node table.
 
 from __future__ import annotations
 
-import csv
 import io
 import lzma
 import zipfile
@@ -20,7 +19,6 @@ import zlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +26,7 @@ from pyspark.sql import types as T
 from market_engine.constants import HUB_NODES, PRICE_CSV_CANDIDATES, PRICE_ITEMS, PRICES_SOURCE_SYSTEM
 from market_engine.functions import clean_key, instant_to_utc_ntz, parse_iso_utc
 from market_engine.operators.hourly import pivot_prices
+from market_engine.session import materialise_frame
 
 LONG_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
@@ -130,16 +129,19 @@ def read_price_files(spark: SparkSession, path: str, kind: str = "zip", glob: st
 
 
 def split_quarantine(long: DataFrame, hub: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Data rows, and what is rejected (path, status, detail): one row per undecodable file, and one per
-    file and node (or hub folder) whose trading hub is unknown."""
-    long = long.withColumn("_hub", _hub_column(long, hub)).persist(StorageLevel.MEMORY_AND_DISK)
-    known = F.col("_hub").isNotNull()
-    ok = long.filter((F.col("status") == "ok") & known).drop("_hub")
-    bad = long.filter(F.col("status") != "ok").select("source_file", "status", "detail")
+    """Data rows, and what is rejected (path, status, detail): one row per undecodable file and per line that
+    can't be read (its times, or a wrong number of fields), and one per file and node (or hub folder) whose trading
+    hub is unknown."""
+    known = _hub_column(long, hub).isNotNull()
+    timed = parse_iso_utc("start_raw").isNotNull() & parse_iso_utc("end_raw").isNotNull()
+    good = F.col("status") == "ok"
+    bad = long.filter(~good).select("source_file", "status", "detail")
+    untimed = long.filter(good & ~timed).select("source_file", F.lit("bad_time").alias("status"), F.substring(
+        F.concat_ws("|", F.coalesce("start_raw", F.lit("")), F.coalesce("end_raw", F.lit(""))), 1, 500).alias("detail"))
     folder = F.col("trading_hub").cast("string") if "trading_hub" in long.columns else F.lit(None).cast("string")
-    lost = long.filter((F.col("status") == "ok") & ~known).select(
+    lost = long.filter(good & timed & ~known).select(
         "source_file", F.lit("unknown_hub").alias("status"), F.coalesce(folder, "node").alias("detail")).distinct()
-    return ok, bad.unionByName(lost)
+    return long.filter(good & timed & known), bad.unionByName(untimed).unionByName(lost)
 
 
 def _hub_column(long: DataFrame, hub: str | None) -> F.Column:
@@ -172,58 +174,70 @@ def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = PR
 
 
 def read_price_archives(spark: SparkSession, path: str, kind: str = "zip", **stamps) -> tuple[DataFrame, DataFrame]:
-    """A-1 end to end: (raw.lmp_5min rows, quarantine rows)."""
-    ok, bad = split_quarantine(read_price_files(spark, path, kind), stamps.get("hub"))
+    """A-1 end to end: (raw.lmp_5min rows, quarantine rows). The decoded rows are a table: archives are opened once."""
+    ok, bad = split_quarantine(materialise_frame(read_price_files(spark, path, kind), keep=True), stamps.get("hub"))
     return prices_from_long(ok, **stamps), bad
 
 
-def csv_variants(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
-    """(header names, files) per header line found under ``path``.
+#: Files whose headers are broadcast at most; more are joined on the file.
+BROADCAST_FILES = 100_000
 
-    A file's header is the first line of its first block. What comes to the driver is one row per
-    file, as in Spark's own listing of them."""
-    lines = spark.read.option("recursiveFileLookup", False).text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    lines = lines.filter("start = 0 and trim(value) <> ''").select("file", "value", F.monotonically_increasing_id().alias("line"))
-    heads = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    files: dict[str, list[str]] = {}
-    for r in heads.orderBy("file").toLocalIterator():
-        files.setdefault(r.header, []).append(r.file)
-    return [([c.strip().upper() for c in next(csv.reader([h.lstrip("\ufeff")]))], f) for h, f in files.items()]
 
+def csv_fields(line) -> F.Column:
+    """The fields of a CSV line as an array: cut at commas outside quotes, quotes removed, blank fields NULL."""
+    line = F.col(line) if isinstance(line, str) else line
+    outside = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    plain = F.split(line, ",", -1)
+    quoted = F.transform(F.split(line, outside, -1), lambda x: F.replace(
+        F.regexp_replace(x, '^\\s*"(.*)"\\s*$', "$1"), F.lit('""'), F.lit('"')))
+    return F.transform(F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain), lambda x: F.nullif(F.trim(x), F.lit("")))
 
-def read_price_csv(spark: SparkSession, path: str, **stamps) -> tuple[DataFrame, DataFrame]:
-    """A-2 for large plain CSVs through Spark's splittable reader: (raw.lmp_5min rows, quarantine rows).
-
-    Every file's own header decides its columns (first candidate present; of names that repeat the
-    first): files are read per header variant and united. Files that lack a logical column and rows
-    of unknown hubs go to the quarantine, as in A-1."""
-    fields = [f for f in LONG_SCHEMA.fields]
-    long = spark.createDataFrame([], T.StructType(fields))
-    for names, files in csv_variants(spark, path):
-        first = {n: f"c{i}" for i, n in reversed(list(enumerate(names)))}
-        res = resolve_columns(first, PRICE_CSV_CANDIDATES)
-        missing = [k for k, v in res.items() if v is None]
-        if missing:
-            part = spark.createDataFrame([(f, "missing_columns", ",".join(missing)) for f in files],
-                                         "source_file string, status string, detail string")
-        else:
-            schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-            df = spark.read.schema(schema).option("header", True).option("basePath", _folder(path)).csv(files)
-            node = next((first[c] for c in NODE_CANDIDATES if c in first), None)
-            col = {k: F.col(first[v]) for k, v in res.items()}
-            part = df.select(
-                F.col("_metadata.file_path").alias("source_file"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("detail"),
-                col["start"].alias("start_raw"), col["end"].alias("end_raw"),
-                F.upper(F.trim(col["item"])).alias("item"), col["value"].alias("value"),
-                (F.col(node) if node else F.lit(None).cast("string")).alias("node"),
-                F.monotonically_increasing_id().alias("line"),
-                *[F.col(c) for c in ("trading_hub",) if c in df.columns])
-        long = long.unionByName(part, allowMissingColumns=True)
-    ok, bad = split_quarantine(long, stamps.get("hub"))
-    return prices_from_long(ok, **stamps), bad
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the files under ``path`` that is not blank: source_file, start (of its block in the file), line, value,
+    and the partition columns of the landing layout."""
+    text = spark.read.option("recursiveFileLookup", False).text(path)
+    name = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    rows = text.select(name.alias("source_file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"),
+                       *[F.col(c) for c in text.columns])
+    return rows.filter(F.trim("value") != "")
 
 
-def _folder(path: str) -> str:
-    """The folder that partition discovery starts from: ``path``, or that of the one file it names."""
-    return path.rsplit("/", 1)[0] if path.lower().endswith(".csv") else path
+def csv_headers(lines: DataFrame) -> DataFrame:
+    """One row per file: the line of its header, its number of columns, and the place of every logical column (of
+    candidates the first present, of names that repeat the first; NULL if there is none)."""
+    first = lines.filter("start = 0").groupBy("source_file").agg(F.min_by("value", "line").alias("header"), F.min("line").alias("header_line"))
+    names = F.transform(csv_fields(F.ltrim(F.col("header"), F.lit("\ufeff"))), lambda x: F.upper(F.trim(x)))
+    first = first.withColumn("names", names)
+    place = lambda cands: F.coalesce(*[F.nullif(F.array_position("names", c), F.lit(0)) for c in cands])
+    return first.select("source_file", "header_line", F.size("names").alias("width"),
+                        *[place(c).cast("int").alias(f"_{k}") for k, c in {**PRICE_CSV_CANDIDATES, "node": NODE_CANDIDATES}.items()])
+
+
+def read_price_csv(spark: SparkSession, path: str, **stamps) -> tuple[DataFrame, DataFrame]:
+    """A-2 for plain CSVs of any size: (raw.lmp_5min rows, quarantine rows).
+
+    The landed text is read once, as splittable lines, into a table of lines. A file's header stands in its first
+    block, so the headers come from a pruned read of that table; they are joined to the lines by file and each line's
+    fields are taken by the places that its own file's header gives them. No list of files and no header passes
+    the driver. Quarantined, with status and detail: files that lack a logical column (``missing_columns``), lines with
+    more or fewer fields than their header (``ragged_row``), lines whose times can't be read (``bad_time``), and
+    unknown hubs, as in A-1. Quoted fields may hold commas, not line ends. The line table stays until the folder of
+    intermediate tables is cleared, since both results read it."""
+    lines = materialise_frame(csv_lines(spark, path), keep=True)
+    heads = materialise_frame(csv_headers(lines), keep=True)
+    few = heads.count() <= BROADCAST_FILES
+    logical = list(PRICE_CSV_CANDIDATES)
+    lacking = F.array_compact(F.array(*[F.when(F.col(f"_{k}").isNull(), F.lit(k)) for k in logical]))
+    rows = lines.join(F.broadcast(heads) if few else heads, "source_file").filter(
+        (F.col("line") != F.col("header_line")) & (F.size(lacking) == 0)).withColumn("f", csv_fields("value"))
+    whole = F.size("f") == F.col("width")
+    at = lambda k: F.when(whole, F.get("f", F.col(f"_{k}") - 1))
+    ok = rows.select(
+        "source_file", F.when(whole, "ok").otherwise("ragged_row").alias("status"),
+        F.when(~whole, F.substring("value", 1, 500)).alias("detail"), at("start").alias("start_raw"), at("end").alias("end_raw"),
+        F.upper(at("item")).alias("item"), at("value").alias("value"), at("node").alias("node"), "line",
+        *[F.col(c) for c in ("trading_hub",) if c in rows.columns])
+    bad = heads.filter(F.size(lacking) > 0).select("source_file", F.lit("missing_columns").alias("status"), F.array_join(lacking, ",").alias("detail"))
+    ok, rest = split_quarantine(ok, stamps.get("hub"))
+    return prices_from_long(ok, **stamps), bad.unionByName(rest)

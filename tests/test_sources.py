@@ -2,6 +2,7 @@ import io
 import json
 import os
 import zipfile
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,43 @@ def test_plain_csv_files_have_headers_of_their_own(spark, tmp_path_run):
     assert [(r.source_file[-5:], r.status) for r in bad.collect()] == [("d.csv", "missing_columns")]
 
 
+def test_plain_csv_lines_that_cannot_be_read_are_quarantined(spark, tmp_path_run):
+    """A path with a space and a plus, headers in three orders, quotes, a BOM, ragged lines and broken times."""
+    d = os.path.join(tmp_path_run, "day 1+2", "trading_hub=SP15")
+    os.makedirs(d)
+    iv = [_iv(i) for i in range(6)]
+    files = {"a.csv": f"STARTTIME,ENDTIME,DATA_ITEM,VALUE\n{iv[0][0]},{iv[0][1]},LMP,1.5\n{iv[1][0]},{iv[1][1]},LMP\n\n{iv[2][0]},{iv[2][1]},LMP,3,4\n",
+             "b.csv": f'\ufeffNOTE,VALUE,DATA_ITEM,ENDTIME,STARTTIME\n"a, b",2.5,LMP,{iv[3][1]},{iv[3][0]}\n"say ""x""",7,MCC,{iv[3][1]},{iv[3][0]}\n,9,LMP,soon,now\n',
+             "c.csv": f'"LMP_TYPE",MW,INTERVAL_START_GMT,"INTERVAL_END_GMT"\nlmp ,"4.5",{iv[4][0]},{iv[4][1]}\nLMP,n/a,{iv[5][0]},{iv[5][1]}\n'}
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    df, bad = PR.read_price_csv(spark, os.path.dirname(d), loaded_at="2024-02-01 00:00:00")
+    assert {r.interval_start.minute: (r.trading_hub, r.lmp, r.congestion_component) for r in df.collect()} == {
+        0: ("SP15", 1.5, None), 15: ("SP15", 2.5, 7.0), 20: ("SP15", 4.5, None)}
+    got = sorted((r.source_file[-5:], r.status) for r in bad.collect())
+    assert got == [("a.csv", "ragged_row"), ("a.csv", "ragged_row"), ("b.csv", "bad_time")]
+    assert all("/day 1+2/" in r.source_file for r in bad.collect())
+
+
+def test_plain_csv_headers_hold_for_all_blocks_of_a_file(spark, tmp_path_run):
+    """A file read in many blocks takes its header from the first one; headers come from a pruned read."""
+    d = os.path.join(tmp_path_run, "blocks")
+    os.makedirs(os.path.join(d, "trading_hub=NP15"))
+    hours = [datetime(2024, 1, 1) + timedelta(minutes=5 * i) for i in range(4000)]
+    with open(os.path.join(d, "trading_hub=NP15", "long.csv"), "w") as f:
+        f.write("VALUE,ENDTIME,DATA_ITEM,STARTTIME\n")
+        f.writelines(f"{i},{t + timedelta(minutes=5):%Y-%m-%dT%H:%M:%S},LMP,{t:%Y-%m-%dT%H:%M:%S}\n" for i, t in enumerate(hours))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert PR.csv_lines(spark, d).select("start").distinct().count() > 5
+        df, bad = PR.read_price_csv(spark, d)
+        assert {r.interval_start: r.lmp for r in df.collect()} == {t: float(i) for i, t in enumerate(hours)} and bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_every_damaged_archive_is_quarantined(spark, tmp_path_run):
     d = os.path.join(tmp_path_run, "zips")
     os.makedirs(d)
