@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # the package and the oracle module live next to this file; make them importable however the
@@ -25,13 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_sql as O
-from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, SEVERITIES
+from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, PRICE_ITEMS, SEVERITIES
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
 from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback, ship_package
 from market_engine.streaming import prices as SP
 from market_engine.sources import adapters, tables
+from market_engine.sources import pages as PG
+from market_engine.sources import prices as PR
 
 SF_SMOKE = "/root/testdata/sf0.001"
 _Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -60,6 +63,99 @@ _INEXACT = ["lmp_stddev", "lmp_historical_mean", "lmp_historical_stddev"]
 _FRAME_NUM = [c for c in NUMERIC_FEATURES]
 
 
+# =============================================================== landings
+def _folder(spark, name: str) -> str:
+    base = checkpoint_dir(spark, lambda: shared_fallback(spark))
+    return f"{base.rstrip('/')}/{name} {uuid.uuid4().hex}"
+
+
+_PRICE_COLS = list(PRICE_ITEMS.values())
+_FIRST = ", ".join(f"min({c}) as {c}" for c in _PRICE_COLS)
+_BAD_LOSS = "case when strftime(interval_start, '%H:%M:%S.%f') like '%:00:0%' then null else loss_component end as loss_component"
+_LANDED = f"""
+select interval_start, interval_end, upper(trim(trading_hub)) as trading_hub, cast(lmp as varchar) as lmp, lmp as lmp_x,
+  energy_component, congestion_component, {_BAD_LOSS}
+from lmp_5min"""
+
+
+@reg("a01_price_archives", f"""
+select interval_start, interval_end, trading_hub, {_FIRST.replace('min(lmp)', 'min(lmp_x)')}, 'RTM' as market, 'landing' as source_system
+from ({_LANDED}) l where day(interval_start) not in (13, 17) group by interval_start, interval_end, trading_hub""")
+def q_a01(spark, sf):
+    raw, _ = PR.prices_of(PR.decode_files(adapters.price_archives(spark, sf)), source_system="landing")
+    return raw.drop("loaded_at")
+
+
+@reg("a01_quarantine", """
+select distinct '/landing/' || upper(trim(trading_hub)) || '/' || strftime(interval_start, '%Y-%m-%d') || '.zip' as source_file,
+  case day(interval_start) when 13 then 'bad_zip' else 'no_csv' end as status
+from lmp_5min where day(interval_start) in (13, 17)""")
+def q_a01q(spark, sf):
+    _, bad = PR.prices_of(PR.decode_files(adapters.price_archives(spark, sf)))
+    return bad.select("source_file", "status")
+
+
+_CSV_OK = "not (dayofyear(interval_start) % 3 = 1 and day(interval_start) % 7 = 0)"
+
+
+@reg("a02_price_csv", f"""
+select interval_start, interval_end, trading_hub, {_FIRST.replace('min(lmp)', 'min(lmp_x)')}, 'RTM' as market, 'landing' as source_system
+from ({_LANDED}) l where {_CSV_OK} group by interval_start, interval_end, trading_hub""")
+def q_a02(spark, sf):
+    folder = _folder(spark, "landing of day")
+    adapters.land_price_csv(spark, sf, folder)
+    raw, _ = PR.read_price_csv(spark, folder, source_system="landing")
+    return raw.drop("loaded_at")
+
+
+@reg("a02_quarantine", f"""
+select trading_hub, 'ragged_row' as status, 5 * count(*)::bigint as lines
+from (select distinct interval_start, interval_end, upper(trim(trading_hub)) as trading_hub from lmp_5min where not ({_CSV_OK})) d
+group by trading_hub""")
+def q_a02q(spark, sf):
+    folder = _folder(spark, "landing of day")
+    adapters.land_price_csv(spark, sf, folder)
+    _, bad = PR.read_price_csv(spark, folder)
+    hub = F.regexp_extract("source_file", "trading_hub=([^/]+)/", 1).alias("trading_hub")
+    return bad.groupBy(hub, "status").agg(F.count(F.lit(1)).alias("lines"))
+
+
+_PAGED = """
+select *, '/landing/' || respondent || '/' || period[1:10] as request, cast(period[9:10] as int) as d,
+  count(*) over (partition by respondent, period[1:10]) as total,
+  (row_number() over (partition by respondent, period[1:10] order by seq) - 1) // 40 as page
+from ops_long"""
+_GOOD_PAGES = f"select * from ({_PAGED}) p where not (page = 0 and d in (5, 9)) and not (d = 11 and seq % 5 = 0)"
+
+
+@reg("a03_ops_pages", f"""
+select try_strptime(period, '%Y-%m-%dT%H') as period, respondent as balancing_authority,
+  min_by(v, seq) filter (where type = 'D') as demand_mwh, min_by(v, seq) filter (where type = 'DF') as demand_forecast_mwh,
+  min_by(v, seq) filter (where type = 'NG') as net_generation_mwh, min_by(v, seq) filter (where type = 'TI') as interchange_mwh,
+  'landing' as source_system
+from (select *, try_cast(value as double) as v from ({_GOOD_PAGES}) g where type in ('D', 'DF', 'NG', 'TI')) s
+where v is not null group by period, respondent""")
+def q_a03(spark, sf):
+    ops, _, _ = PG.ops_of(PG.parse_pages(adapters.ops_pages(spark, sf)), "landing")
+    return ops.drop("loaded_at")
+
+
+@reg("a04_rejected_pages", f"""
+select distinct request || '/p00000.json' as page_file, request, case d when 5 then 'unreadable page' else 'over the limit' end as error
+from ({_PAGED}) p where page = 0 and d in (5, 9)""")
+def q_a04(spark, sf):
+    return PG.reject_error_pages(PG.parse_pages(adapters.ops_pages(spark, sf)))[1]
+
+
+@reg("a05_page_totals", f"""
+select request, max(total)::bigint as reported_total, count(*)::bigint as received_rows, count(distinct page)::bigint as pages,
+  max(total) = count(*) as complete
+from ({_GOOD_PAGES}) g group by request""")
+def q_a05(spark, sf):
+    good, _ = PG.reject_error_pages(PG.parse_pages(adapters.ops_pages(spark, sf)))
+    return PG.check_page_totals(good)
+
+
 # =============================================================== staging, features, mart
 @reg("d01_hourly_prices", f"select * replace ({_r6(['lmp_stddev'])}) from stg_lmp")
 def q_d01(spark, sf):

@@ -6,10 +6,15 @@ mixed-case on purpose, so staging has to clean them. Every row of ``events`` is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import io
+import zipfile
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from market_engine.functions import parse_hour_period
+from market_engine.constants import PRICE_ITEMS
+from market_engine.functions import clean_key, parse_hour_period
 from market_engine.operators.hourly import pivot_ops
 
 # fixed load time stamped on adapter rows (lineage constant, keeps runs reproducible)
@@ -89,3 +94,71 @@ def ops_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("events_feed").alias("source_system"),
         F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
     )
+
+
+# ---------------------------------------------------------------- landings built from the test tables
+def price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long price rows over ``events``, as text: the four items, an unknown one, and values that can't be read."""
+    raw = lmp_5min(spark, sf_dir).withColumn("event_id", F.monotonically_increasing_id())
+    stamp = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("-00:00"))
+    items = [F.struct(F.lit(code).alias("item"), F.col(name).cast("string").alias("value")) for code, name in PRICE_ITEMS.items()]
+    items += [F.struct(F.lit("OTHER").alias("item"), F.lit("1").alias("value"))]
+    return raw.select(clean_key("trading_hub").alias("trading_hub"), stamp("interval_start").alias("start"), stamp("interval_end").alias("end"),
+                      F.to_date("interval_start").alias("day"), F.posexplode(F.array(*items)).alias("place", "cell")).select(
+        "trading_hub", "start", "end", "day", "place", "cell.item",
+        F.when((F.col("place") == 3) & F.col("start").contains(":00:0"), F.lit("n/a")).otherwise(F.col("cell.value")).alias("value"))
+
+
+#: Column orders of the CSV landing, by day.
+CSV_ORDERS = (("STARTTIME", "ENDTIME", "DATA_ITEM", "VALUE"), ("MW", "LMP_TYPE", "INTERVAL_END_GMT", "INTERVAL_START_GMT"),
+              ("INTERVALSTARTTIME_GMT", "NOTE", "DATA_ITEM", "MW", "ENDTIME"))
+
+
+def land_price_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """``price_lines`` as a CSV file for each hub and day under ``folder``/trading_hub=<hub>/day=<day>/, one row an interval and
+    item, in three orders of columns; every seventh day's lines of the second order lack their last field."""
+    one = price_lines(spark, sf_dir).groupBy("trading_hub", "day", "start", "end", "item").agg(F.min("value").alias("value"))
+    of = {"STARTTIME": "start", "ENDTIME": "end", "DATA_ITEM": "item", "VALUE": "value", "MW": "value", "LMP_TYPE": "item",
+          "INTERVAL_END_GMT": "end", "INTERVAL_START_GMT": "start", "INTERVALSTARTTIME_GMT": "start"}
+    line, head = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, order in enumerate(CSV_ORDERS):
+        cells = [F.coalesce(F.col(of[c]), F.lit("")) if c in of else F.lit('"a, b"') for c in order]
+        short = (F.lit(i) == 1) & (F.dayofmonth("day") % 7 == 0)
+        own = F.dayofyear("day") % len(CSV_ORDERS) == i
+        line = F.when(own, F.when(short, F.concat_ws(",", *cells[:-1])).otherwise(F.concat_ws(",", *cells))).otherwise(line)
+        head = F.when(own, F.lit(",".join(order))).otherwise(head)
+    place = ["trading_hub", "day"]
+    rows = one.select(*place, F.lit(1).alias("nth"), line.alias("value")).unionByName(
+        one.select(*place).distinct().select(*place, F.lit(0).alias("nth"), head.alias("value")))
+    rows.repartition(*place).sortWithinPartitions(*place, "nth").select("value", *place).write.partitionBy(*place).text(folder)
+
+
+def price_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``price_lines`` as ZIP archives (path, content, trading_hub), one per hub and day: some cut off, some without a CSV."""
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        hub, day = group.trading_hub.iat[0], group.day.iat[0]
+        rows = group.sort_values(["start", "place", "value"])
+        text = "INTERVALSTARTTIME_GMT,INTERVALENDTIME_GMT,LMP_TYPE,MW\n" + "".join(
+            f"{r.start},{r.end},{r.item},{r.value or ''}\n" for r in rows.itertuples())
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt" if day.day == 17 else f"{hub}_{day}.csv", text)
+        data = out.getvalue()
+        return pd.DataFrame([{"path": f"/landing/{hub}/{day}.zip", "content": data[:-30] if day.day == 13 else data, "trading_hub": hub}])
+    return price_lines(spark, sf_dir).groupBy("trading_hub", "day").applyInPandas(pack, "path string, content binary, trading_hub string")
+
+
+def ops_pages(spark: SparkSession, sf_dir: str, per_page: int = 40) -> DataFrame:
+    """``ops_long`` as API pages (page_file, content), a request per respondent and day: on the 5th the first page is cut off,
+    on the 9th it is an error, on the 11th every fifth record is missing."""
+    rec = ops_long(spark, sf_dir).withColumn("request", F.concat_ws("/", F.lit("/landing"), "respondent", F.substring("period", 1, 10)))
+    day = F.substring("request", -2, 2).cast("int")
+    total = F.count(F.lit(1)).over(Window.partitionBy("request"))
+    nth = F.row_number().over(Window.partitionBy("request").orderBy("seq"))
+    rec = rec.withColumns({"total": total, "page": F.floor((nth - 1) / per_page)}).filter(~((day == 11) & (F.col("seq") % 5 == 0)))
+    pages = rec.groupBy("request", "page").agg(F.max("total").alias("total"), F.sort_array(F.collect_list(F.struct(
+        "seq", "period", "respondent", "type", "value"))).alias("data"))
+    body = F.to_json(F.struct(F.struct(F.col("total").cast("string").alias("total"), F.transform("data", lambda r: r.dropFields("seq")).alias("data")).alias("response")))
+    first = F.col("page") == 0
+    body = F.when(first & (day == 5), F.substring(body, 1, 60)).when(first & (day == 9), F.lit('{"error": "over the limit"}')).otherwise(body)
+    return pages.select(F.concat("request", F.format_string("/p%05d.json", "page")).alias("page_file"), body.alias("content"))

@@ -1,8 +1,9 @@
 """Operations API pages landed as JSON files.
 
 Each file is one page ``{"response": {"total": .., "data": [..]}}`` or ``{"error": ..}``.
-Pages are read with an explicit schema (no inference pass), one row per page, and unnested
-with ``posexplode`` so each record keeps (file, position) as its arrival order.
+Pages are parsed with an explicit schema (no inference pass) from (file, content) rows, so landed files and
+pages from any other frame take one path, and unnested with ``posexplode`` so each record keeps (file, position)
+as its arrival order.
 """
 
 from __future__ import annotations
@@ -18,14 +19,21 @@ from market_engine.schemas import OPS_PAGE
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page with its file path and request folder; ``_corrupt`` holds the text of a page
-    that is cut off or does not fit the schema."""
-    df = (spark.read.schema(T.StructType([*OPS_PAGE.fields, T.StructField("_corrupt", T.StringType())]))
-          .option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.json").json(path))
-    f = F.col("_metadata.file_path")
-    return df.select("error", "response", "_corrupt", f.alias("page_file"),
-                     F.regexp_replace(f, "/[^/]*$", "").alias("request"))
+    """Landed JSON files, one row per page, see ``parse_pages``."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    return parse_pages(files.select(F.col("_metadata.file_path").alias("page_file"), F.col("value").alias("content")))
+
+
+def parse_pages(files: DataFrame) -> DataFrame:
+    """Pages (page_file, content) with an explicit schema: error, response, the request folder, and ``_corrupt``, the
+    text of a page that is cut off or does not fit the schema (a blank one too). Pages of several landings are united
+    before (G-2); each is parsed where it lies."""
+    schema = T.StructType([*OPS_PAGE.fields, T.StructField("_corrupt", T.StringType())])
+    page = F.from_json("content", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    blank = F.when(F.trim(F.coalesce("content", F.lit(""))) == "", F.coalesce("content", F.lit("")))
+    return files.withColumn("page", page).select(
+        "page.error", "page.response", F.coalesce("page._corrupt", blank).alias("_corrupt"), "page_file",
+        F.regexp_replace("page_file", "/[^/]*$", "").alias("request"))
 
 
 def reject_error_pages(pages: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -71,7 +79,12 @@ def incomplete_requests(totals: DataFrame, bad: DataFrame) -> DataFrame:
 def ops_from_pages(spark: SparkSession, path: str, source_system: str = OPS_SOURCE_SYSTEM,
                    loaded_at: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages -> raw.ops_hourly rows (D-4 keyed on period and respondent), error pages, totals check."""
-    pages = read_pages(spark, path)
+    return ops_of(read_pages(spark, path), source_system, loaded_at)
+
+
+def ops_of(pages: DataFrame, source_system: str = OPS_SOURCE_SYSTEM,
+           loaded_at: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``ops_from_pages`` on pages that are parsed already."""
     good, bad = reject_error_pages(pages)
     long = explode_pages(good)
     wide = pivot_ops(long)

@@ -107,7 +107,11 @@ def read_price_files(spark: SparkSession, path: str, kind: str = "zip", glob: st
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
     reader = reader.option("pathGlobFilter", glob or ("*.zip" if kind == "zip" else "*.csv"))
-    files = reader.load(path)
+    return decode_files(reader.load(path), kind)
+
+
+def decode_files(files: DataFrame, kind: str = "zip") -> DataFrame:
+    """Archives or CSVs as rows (path, content, partition columns) -> long rows incl. quarantine rows."""
     part_cols = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
     schema = T.StructType(LONG_SCHEMA.fields + [files.schema[c] for c in part_cols])
     names = [f.name for f in schema.fields]
@@ -175,7 +179,12 @@ def prices_from_long(ok: DataFrame, market: str = "RTM", source_system: str = PR
 
 def read_price_archives(spark: SparkSession, path: str, kind: str = "zip", **stamps) -> tuple[DataFrame, DataFrame]:
     """A-1 end to end: (raw.lmp_5min rows, quarantine rows). The decoded rows are a table: archives are opened once."""
-    ok, bad = split_quarantine(materialise_frame(read_price_files(spark, path, kind), keep=True), stamps.get("hub"))
+    return prices_of(read_price_files(spark, path, kind), **stamps)
+
+
+def prices_of(long: DataFrame, **stamps) -> tuple[DataFrame, DataFrame]:
+    """``read_price_archives`` on long rows that are decoded already."""
+    ok, bad = split_quarantine(materialise_frame(long, keep=True), stamps.get("hub"))
     return prices_from_long(ok, **stamps), bad
 
 
