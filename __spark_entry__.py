@@ -31,6 +31,8 @@ from market_engine.functions import day_window, instant_to_utc_ntz, on_date, rou
 from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
 from market_engine.plans import market
 from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback, ship_package
+from market_engine.sinks.ledger import load
+from market_engine.sinks.tables import merge_partitions, with_load_date
 from market_engine.streaming import prices as SP
 from market_engine.sources import adapters, tables
 from market_engine.sources import pages as PG
@@ -156,6 +158,85 @@ def q_a05(spark, sf):
     return PG.check_page_totals(good)
 
 
+# =============================================================== sinks
+def _keyed_prices(spark, sf):
+    """One row an interval, hub and market, with the partition columns of the raw table."""
+    raw = adapters.lmp_5min(spark, sf).select("interval_start", F.upper(F.trim("trading_hub")).alias("trading_hub"),
+                                              F.upper(F.trim("market")).alias("market"), "lmp")
+    return with_load_date(raw.groupBy("interval_start", "trading_hub", "market").agg(F.min("lmp").alias("lmp")), "interval_start")
+
+
+_KEYED = """(select interval_start, upper(trim(trading_hub)) as trading_hub, upper(trim(market)) as market, min(lmp) as lmp,
+  cast(interval_start as date) as load_date from lmp_5min group by all)"""
+_DAY_HUB, _ROW = ["load_date", "trading_hub"], ["interval_start", "trading_hub", "market"]
+_KEYED_COLS = ["interval_start", "trading_hub", "market", "lmp"]
+
+
+@reg("a09_replace_days", f"""
+select interval_start, trading_hub, market, case when day(load_date) <= 10 and trading_hub <> 'ZP26' then lmp + 1 else lmp end as lmp
+from {_KEYED} k""")
+def q_a09(spark, sf):
+    rows, target = _keyed_prices(spark, sf), _folder(spark, "raw_lmp")
+    load(rows, target, "first", "replace", _DAY_HUB)
+    load(rows.filter("day(load_date) <= 10 and trading_hub <> 'ZP26'").withColumn("lmp", F.col("lmp") + 1), target, "rerun", "replace", _DAY_HUB)
+    load(rows, target, "first", "replace", _DAY_HUB)        # a replay changes nothing
+    return spark.read.parquet(target).select(*_KEYED_COLS)
+
+
+@reg("a10_replace_day_authority", """
+select period, balancing_authority, case when balancing_authority = 'CISO' then demand_mwh * 2 else demand_mwh end as demand_mwh
+from ops_hourly where period is not null""")
+def q_a10(spark, sf):
+    ops = with_load_date(adapters.ops_hourly(spark, sf).filter("period is not null").select("period", "balancing_authority", "demand_mwh"), "period")
+    target, keys = _folder(spark, "raw_ops"), ["load_date", "balancing_authority"]
+    load(ops, target, "first", "replace", keys)
+    load(ops.filter("balancing_authority = 'CISO'").withColumn("demand_mwh", F.col("demand_mwh") * 2), target, "rerun", "replace", keys)
+    return spark.read.parquet(target).select("period", "balancing_authority", "demand_mwh")
+
+
+@reg("a11_replace_model_version", f"""
+select v as model_version, trading_hub, day(load_date)::int as day, count(*) as rows, max(lmp + case v when 'm2' then 7 else 0 end) as top
+from {_KEYED} k, (values ('m1'), ('m2')) as t(v) group by 1, 2, 3""")
+def q_a11(spark, sf):
+    out, target = _keyed_prices(spark, sf).drop("market"), _folder(spark, "predictions")
+    of = lambda v, more: out.select(F.lit(v).alias("model_version"), "trading_hub", "load_date", (F.col("lmp") + more).alias("lmp"))
+    load(of("m1", 0).unionByName(of("m2", 0)), target, "train", "replace", ["model_version"])
+    load(of("m2", 7), target, "retrain", "replace", ["model_version"])
+    return spark.read.parquet(target).groupBy("model_version", "trading_hub", F.dayofmonth("load_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("lmp").alias("top"))
+
+
+@reg("a12_append", f"""
+select trading_hub, market, count(*) as rows, sum(cast(round(lmp * 100) as bigint))::bigint as cents
+from (select * from {_KEYED} k union all select * from {_KEYED} k where market = 'DAM') a group by all""")
+def q_a12(spark, sf):
+    rows, name = _keyed_prices(spark, sf), f"appended_{uuid.uuid4().hex}"
+    rows.limit(0).write.format("parquet").saveAsTable(name)
+    load(rows, name, "all", "append")
+    load(rows.filter("market = 'DAM'"), name, "more", "append")
+    load(rows, name, "all", "append")                       # a replay adds nothing
+    return spark.table(name).groupBy("trading_hub", "market").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.round(F.col("lmp") * 100).cast("bigint")).alias("cents"))
+
+
+@reg("a22_merge_in_parts", f"""
+select interval_start, trading_hub, market, case when minute(interval_start) % 10 = 0 then lmp + 5 else lmp end as lmp
+from {_KEYED} k""")
+def q_a22(spark, sf):
+    rows, target = _keyed_prices(spark, sf), _folder(spark, "raw_lmp")
+    at = lambda df, t: df.withColumn("loaded_at", F.lit(f"2024-02-0{t} 00:00:00").cast("timestamp_ntz"))
+    late = F.minute("interval_start") % 3 == 0
+    first = at(rows.filter(~late), 1)
+    fixed = rows.filter(F.minute("interval_start") % 10 == 0).withColumn("lmp", F.col("lmp") + 5)
+    second = at(rows.filter(late & (F.minute("interval_start") % 10 != 0)).unionByName(fixed), 2)
+    load(first, target, "epoch 1", "merge", _DAY_HUB, _ROW)
+    merge_partitions(second.filter("trading_hub = 'NP15'"), target, _DAY_HUB, _ROW)     # a part of epoch 2 was written when its job died
+    for _ in range(2):
+        load(second, target, "epoch 2", "merge", _DAY_HUB, _ROW)
+    load(first, target, "epoch 1", "merge", _DAY_HUB, _ROW)
+    return spark.read.parquet(target).select(*_KEYED_COLS)
+
+
 # =============================================================== staging, features, mart
 @reg("d01_hourly_prices", f"select * replace ({_r6(['lmp_stddev'])}) from stg_lmp")
 def q_d01(spark, sf):

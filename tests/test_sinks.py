@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import lmp_rows
+from market_engine.sinks import ledger as L
 from market_engine.sinks import tables as S
 
 
@@ -74,3 +75,34 @@ def test_ops_day_ba_and_model_version_replace(spark, tmp_path_run):
     S.replace_partitions(m("v1", 0.7), ml_t, ["model_version"])
     got = {r.model_version: r.accuracy for r in spark.read.parquet(ml_t).collect()}
     assert got == {"v1": 0.7, "v2": 0.6}
+
+
+def test_ledger_recognises_replays_and_half_finished_batches(spark, tmp_path_run):
+    target, keys, row = os.path.join(tmp_path_run, "raw_lmp"), ["load_date", "trading_hub"], ["interval_start", "trading_hub"]
+    day = _day(spark, 0, ["NP15", "SP15"], 10.0)
+    assert L.load(day, target, "e1", "merge", keys, row) == 6
+    other = _day(spark, 0, ["NP15", "SP15"], 99.0).withColumn("loaded_at", F.lit("2030-01-01").cast("timestamp_ntz"))
+    assert L.load(other, target, "e1", "merge", keys, row) == 6                 # the name is known: nothing is written
+    assert {r.lmp for r in spark.read.parquet(target).collect()} == {10.0}
+    # the job of e2 dies after one of its partitions was replaced
+    L._note(spark, target, "e2", "begun", "merge", L._touched(other, keys), 0, 0)
+    S.merge_partitions(other.filter("trading_hub = 'NP15'"), target, keys, row)
+    assert L.load(other, target, "e2", "merge", keys, row) == 6
+    assert {r.lmp for r in spark.read.parquet(target).collect()} == {99.0}
+    got = {(r.batch, r.state): (r.rows, r.partitions) for r in L.read_ledger(spark, target).collect()}
+    parts = ["load_date=2024-01-15/trading_hub=NP15", "load_date=2024-01-15/trading_hub=SP15"]
+    assert got == {("e1", "begun"): (0, parts), ("e1", "done"): (6, parts), ("e2", "begun"): (0, parts), ("e2", "done"): (6, parts)}
+    with pytest.raises(ValueError):
+        L.load(day, target, "e3", "upsert")
+
+
+def test_ledger_appends_once(spark):
+    spark.sql("DROP TABLE IF EXISTS appended_once")
+    day = _day(spark, 0, ["NP15"], 1.0)
+    day.limit(0).write.format("parquet").saveAsTable("appended_once")
+    assert L.load(day, "appended_once", "b1", "append") == 3 == L.load(day, "appended_once", "b1", "append")
+    L._note(spark, "appended_once", "b2", "begun", "append", None, 0, 3)        # died before the write
+    assert L.load(day, "appended_once", "b2", "append") == 3 and spark.table("appended_once").count() == 6
+    L._note(spark, "appended_once", "b3", "begun", "append", None, 0, 6)        # died after the write, before the mark
+    S.append_to(day, "appended_once")
+    assert L.load(day, "appended_once", "b3", "append") == 3 and spark.table("appended_once").count() == 9
