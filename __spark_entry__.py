@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 import oracle_sql as O
 from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, PRICE_ITEMS, SEVERITIES
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
-from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST
+from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST, threshold_history as TH
 from market_engine.plans import market
 from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback, ship_package
 from market_engine.sinks.ledger import load
@@ -323,6 +323,39 @@ def q_e07(spark, sf):
     return ST.rolling_threshold(L(spark, sf).features, days=7, q=0.95)
 
 
+@reg("e07_rolling_threshold_7d_halo", f"""
+select trading_hub, hour_utc, lmp_avg, {O.interp('v', 'len(v)', 0.95)} as rolling_p95_7d from (
+  select trading_hub, hour_utc, lmp_avg, list_sort(list(lmp_avg) over (
+    partition by trading_hub order by hour_utc
+    range between interval 7 days preceding and current row)) as v from features) x""")
+def q_e07h(spark, sf):
+    return ST.rolling_threshold(L(spark, sf).features, days=7, q=0.95, method="halo")
+
+
+def _sketch_store(spark, sf):
+    """Daily sketches of the hourly prices, loaded in two parts, then one day again."""
+    prices, path = L(spark, sf).joined, _folder(spark, "threshold_days")
+    early = F.dayofmonth("hour_utc") < 20
+    TH.store_days(prices.filter(early), path)
+    TH.store_days(prices.filter(~early), path)
+    TH.store_days(prices.filter(F.dayofmonth("hour_utc") == 3), path)
+    return prices, TH.thresholds_from(spark, path)
+
+
+@reg("d02_incremental_rank_error", """
+select trading_hub, q as quantile, count(lmp_avg)::bigint as n, true as within_bound
+from features, (values (0.95::double), (0.99::double)) as t(q) group by trading_hub, q""")
+def q_d02i(spark, sf):
+    prices, thresholds = _sketch_store(spark, sf)
+    return TH.within_bound(prices, thresholds)
+
+
+@reg("d02_incremental_moments", "select trading_hub, " + _r6(_INEXACT[1:]) + ", (select count(*) from features f where f.trading_hub = t.trading_hub) as n from thresholds t")
+def q_d02m(spark, sf):
+    _, thresholds = _sketch_store(spark, sf)
+    return _stable(thresholds.select("trading_hub", "lmp_historical_mean", "lmp_historical_stddev", "n"), _INEXACT)
+
+
 # =============================================================== filters and predicates
 @reg("b08_filter_codes", "select * from ops_long where type in ('D', 'DF', 'NG', 'TI')")
 def q_b08(spark, sf):
