@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 import oracle_sql as O
 from market_engine.constants import MODEL_VERSION_PREFIX, NUMERIC_FEATURES, PRICE_ITEMS, SEVERITIES
 from market_engine.functions import day_window, instant_to_utc_ntz, on_date, round_half_away, stable
-from market_engine.operators import clean, hourly, ml, quality, reports as R, stress as ST, threshold_history as TH
+from market_engine.operators import clean, hourly, ml, ml_outputs, preprocess as PP, quality, reports as R, stress as ST, threshold_history as TH
 from market_engine.plans import market
 from market_engine.session import checkpoint_dir, materialise_frame, shared_fallback, ship_package
 from market_engine.sinks.ledger import load
@@ -911,6 +911,89 @@ def q_m16(spark, sf):
     return _stable(ml.lag_regression(L(spark, sf).stress), ["slope", "intercept", "r2"])
 
 
+@reg("m16_price_regression", f"""
+with x as (select lmp_avg as y, lmp_lag_1h as a, lmp_lag_24h as b from stress where lmp_lag_24h is not null and lmp_lag_1h is not null and lmp_avg is not null),
+m as (select avg(y) as my, avg(a) as ma, avg(b) as mb, count(*)::bigint as n from x),
+s as (select sum((a - ma) * (a - ma)) as aa, sum((b - mb) * (b - mb)) as bb, sum((a - ma) * (b - mb)) as ab,
+  sum((a - ma) * (y - my)) as ay, sum((b - mb) * (y - my)) as by_ from x, m),
+c as (select (ay * bb - by_ * ab) / (aa * bb - ab * ab) as ca, (by_ * aa - ay * ab) / (aa * bb - ab * ab) as cb from s)
+select feature, {O.r("v", 6)} as coefficient, n from m, (
+  select '' as feature, my - ca * ma - cb * mb as v from c, m union all select 'lmp_lag_1h', ca from c union all select 'lmp_lag_24h', cb from c) f""".replace("with x as", "select * from (with x as", 1) + ") z")
+def q_m16m(spark, sf):
+    return _stable(ml.least_squares(L(spark, sf).features, ["lmp_lag_1h", "lmp_lag_24h"]), ["coefficient"])
+
+
+# ------------------------------------------------------- inputs and scores of a fitted table
+_IN = ["lmp_avg", "lmp_lag_1h", "lmp_lag_168h", "demand_mwh"]
+_WEIGHTS = {("lmp_avg", None): 0.75, ("lmp_lag_1h", None): -0.5, ("lmp_lag_168h", None): 0.125, ("demand_mwh", None): 0.25,
+            ("trading_hub", "NP15"): 0.375, ("trading_hub", "SP15"): -0.625}
+
+
+def _inputs_sql(train: str) -> str:
+    """Rows of the frame with the scaled inputs z_<c> by the fills, means and deviations of the rows where ``train`` holds."""
+    med = ", ".join(f"list_sort(list({c}) filter (where {c} is not null and {train})) as {c}__v" for c in _IN)
+    fill = ", ".join(f"{O.interp(f'{c}__v', f'len({c}__v)', 0.5)} as {c}__f" for c in _IN)
+    stats = ", ".join(f"avg(coalesce({c}, {c}__f)) as {c}__m, stddev_pop(coalesce({c}, {c}__f)) as {c}__s" for c in _IN)
+    z = ", ".join(f"(coalesce({c}, {c}__f) - {c}__m) / {c}__s as z_{c}" for c in _IN)
+    return f"""(select fr.*, {z} from {_FRAME}, (select {fill} from (select {med} from {_FRAME}) v) f,
+  (select {stats} from {_FRAME}, (select {fill} from (select {med} from {_FRAME}) v) g where {train}) s)"""
+
+
+_MARGIN = " + ".join([f"{w} * z_{c}" for (c, level), w in _WEIGHTS.items() if level is None]
+                     + [f"{w} * (trading_hub = '{level}')::int" for (c, level), w in _WEIGHTS.items() if level])
+
+
+@reg("m04_train_only_inputs", f"""
+select hour_utc, trading_hub, {", ".join(f"{O.r(f'z_{c}', 6)} as {c}" for c in _IN)}, (trading_hub = 'NP15')::int::double as is_np15,
+  (trading_hub = 'SP15')::int::double as is_sp15, 6::int as n_inputs
+from {_inputs_sql("trading_hub <> 'ZP26'")} i""")
+def q_m04t(spark, sf):
+    """M-4 / M-6: everything is learned without hub ZP26, whose rows then get the training fills and no level."""
+    fr = materialise_frame(_frame(spark, sf))
+    fitted = PP.fit(fr.filter("trading_hub <> 'ZP26'"), _IN, ["trading_hub"])
+    out = PP.apply(fr, fitted)
+    return _stable(out.select("hour_utc", "trading_hub", *[F.col("inputs")[i].alias(c) for i, c in enumerate(_IN)],
+                              F.col("inputs")[4].alias("is_np15"), F.col("inputs")[5].alias("is_sp15"), F.size("inputs").alias("n_inputs")), _IN)
+
+
+@reg("m09_fixed_scores", f"""
+select hour_utc, trading_hub, {O.r(f"1 / (1 + exp(-({_MARGIN} - 1.5e0)))", 6)} as predicted_spike_probability
+from {_inputs_sql("trading_hub <> 'ZP26'")} i""")
+def q_m09(spark, sf):
+    fr = materialise_frame(_frame(spark, sf))
+    fitted = PP.fit(fr.filter("trading_hub <> 'ZP26'"), _IN, ["trading_hub"])
+    out = PP.linear_probability(fr, fitted, _WEIGHTS, -1.5)
+    return _stable(out.select("hour_utc", "trading_hub", "predicted_spike_probability"), ["predicted_spike_probability"])
+
+
+def _auc_sql(score: str, of: str, by: str = "") -> str:
+    part = f"partition by {by}" if by else ""
+    return f"""(select {by + ', ' if by else ''}case when count_if(y = 1) > 0 and count_if(y = 0) > 0 then (sum(case when y = 1 then rk end)
+    - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0e0) / (count_if(y = 1) * cast(count_if(y = 0) as double)) end as auc
+  from (select *, rank() over ({part} order by s) + (count(*) over (partition by {by + ', ' if by else ''}s) - 1) / 2.0e0 as rk
+        from (select *, {score} as s from {of}) a) b {'group by ' + by if by else ''})"""
+
+
+_PERM = ["lmp_avg", "lmp_lag_1h", "demand_mwh"]
+_H = lambda seed: f"md5(concat_ws('|', '{seed}', trading_hub, cast(hour_utc as varchar)))"
+
+
+@reg("m13_permutation_importance", f"""
+select * from (with i as (select *, next_hour_price_spike_flag as y from {_inputs_sql("true")} i),
+t as (select *, row_number() over (order by {_H(7)}) as r1, row_number() over (order by {_H(8)}) as r2 from i),
+p as (select t.* replace ({", ".join(f"case when feature = '{c}' then d.z_{c} else t.z_{c} end as z_{c}" for c in _PERM)}), feature
+  from t join t as d on d.r2 = t.r1, (values {", ".join(f"('{c}')" for c in _PERM)}) as f(feature))
+select feature, {O.r("b.auc", 6)} as base_auc, {O.r("q.auc", 6)} as permuted_auc
+from {_auc_sql(_MARGIN, "t")} b, {_auc_sql(_MARGIN, "p", "feature")} q) z""")
+def q_m13p(spark, sf):
+    """M-13 with given coefficients on all rows, so that SQL can follow it to the number."""
+    fr = materialise_frame(_frame(spark, sf))
+    fitted = PP.fit(fr, _IN, ["trading_hub"])
+    score = lambda df: PP.apply(df, fitted, _WEIGHTS).withColumnRenamed("margin", "predicted_spike_probability")
+    out = ml_outputs.permutation_importance(score, fr, _PERM)
+    return _stable(out.select("feature", "base_auc", "permuted_auc"), ["base_auc", "permuted_auc"])
+
+
 # =============================================================== model (rows-only checks)
 def _trained(spark, sf, kind="logreg"):
     lay = L(spark, sf)
@@ -921,16 +1004,50 @@ def _trained(spark, sf, kind="logreg"):
     return ff, train, test, model
 
 
+_SPLIT = f"""(select hour_utc, trading_hub, lmp_avg, demand_mwh, next_hour_price_spike_flag as y,
+  row_number() over (partition by next_hour_price_spike_flag order by {_SPLIT_H})
+    <= ceil(count(*) over (partition by next_hour_price_spike_flag) * 0.25e0) as is_test from {_FRAME})"""
+
+
+@reg("m08_fit_certificate", f"select count(*)::bigint as training_rows, sum(y)::bigint as positives, true as stationary from {_SPLIT} s where not is_test")
+def q_m08(spark, sf):
+    ff, train, test, model = _trained(spark, sf)
+    flat = ml.fit_gradient(model, train).agg(F.max(F.abs("gradient")).alias("g"))
+    return train.agg(F.count(F.lit(1)).alias("training_rows"), F.sum(ml.TARGET).alias("positives")).join(F.broadcast(flat)).select(
+        "training_rows", "positives", (F.col("g") < 1e-4).alias("stationary"))
+
+
+@reg("m10_prediction_rows", f"""
+select hour_utc, trading_hub, y as actual_price_spike_flag, {O.r("lmp_avg", 6)} as lmp_avg,
+  true as sane from {_SPLIT} s where is_test""")
+def q_m10r(spark, sf):
+    ff, train, test, model = _trained(spark, sf)
+    p = F.col("predicted_spike_probability")
+    out = ml_outputs.predictions(ml.score(model, test), f"{MODEL_VERSION_PREFIX}_r1")
+    return _stable(out.select("hour_utc", "trading_hub", "actual_price_spike_flag", "lmp_avg", (
+        p.between(0, 1) & ((p > 0.5).cast("int") == F.col("predicted_price_spike_flag"))).alias("sane")), ["lmp_avg"])
+
+
+@reg("m11_metric_rows", f"""
+select (select count(*) from {_SPLIT} s where not is_test)::bigint as training_row_count, (select count(*) from {_SPLIT} s where is_test)::bigint as test_row_count,
+  true as consistent""")
+def q_m11r(spark, sf):
+    ff, train, test, model = _trained(spark, sf)
+    row = ml_outputs.model_metrics(ml.score(model, test), train, f"{MODEL_VERSION_PREFIX}_r1")
+    share = lambda c: F.col(c).between(0, 1)
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision_score") * F.col("recall_score"), F.col("precision_score") + F.col("recall_score")), F.lit(0.0))
+    return row.select("training_row_count", "test_row_count", (
+        share("accuracy") & share("roc_auc") & (F.abs(f1 - F.col("f1_score")) < 1e-9)).alias("consistent"))
+
+
 @reg("m10_predictions", None)
 def q_m10(spark, sf):
-    from market_engine.operators import ml_outputs
     ff, train, test, model = _trained(spark, sf)
     return ml_outputs.predictions(ml.score(model, test), f"{MODEL_VERSION_PREFIX}_r1")
 
 
 @reg("m11_model_metrics", None)
 def q_m11(spark, sf):
-    from market_engine.operators import ml_outputs
     ff, train, test, model = _trained(spark, sf)
     return ml_outputs.model_metrics(ml.score(model, test), train, f"{MODEL_VERSION_PREFIX}_r1")
 
@@ -943,7 +1060,6 @@ def q_m17(spark, sf):
 
 @reg("m13_feature_importance", None)
 def q_m13(spark, sf):
-    from market_engine.operators import ml_outputs
     ff, train, test, model = _trained(spark, sf)
     return ml_outputs.feature_importance(model, test)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +66,11 @@ def save_run(spark: SparkSession, model: ml.TrainedModel, metrics: DataFrame, pa
 
 def feature_importance(model: ml.TrainedModel, test: DataFrame, features: Sequence[str] | None = None,
                        seed: int = 7) -> DataFrame:
+    """M-13 of a fitted model, see ``permutation_importance``."""
+    return permutation_importance(lambda df: ml.score(model, df), test, features or model.numeric, seed)
+
+
+def permutation_importance(score: Callable[[DataFrame], DataFrame], test: DataFrame, features: Sequence[str], seed: int = 7) -> DataFrame:
     """M-13: AUC drop when one feature's values are permuted across test rows; one job.
 
     Each test row is paired with a donor row (the row holding the same rank under a second hash
@@ -74,7 +79,7 @@ def feature_importance(model: ml.TrainedModel, test: DataFrame, features: Sequen
     copies are scored together and one AUC per feature comes from a grouped AUC.
     """
     from market_engine.operators.ranking import distributed_row_number, hex_bucket
-    feats = list(features or model.numeric)
+    feats = list(features)
     keyed = distributed_row_number(test.withColumn("_h1", ml.split_hash(seed)), [], hex_bucket(F.col("_h1")),
                                    [F.col("_h1")], "_r1", broadcast_offsets=True)
     keyed = distributed_row_number(keyed.withColumn("_h2", ml.split_hash(seed + 1)), [], hex_bucket(F.col("_h2")),
@@ -85,7 +90,20 @@ def feature_importance(model: ml.TrainedModel, test: DataFrame, features: Sequen
     permuted = paired.withColumns({f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f))
                                    for f in feats})
     permuted = permuted.drop("_h1", "_h2", "_r1", "_r2", *[f"_d_{f}" for f in feats])
-    base = ml.roc_auc(ml.score(model, test)).select("roc_auc").scalar()
-    per = ml.roc_auc(ml.score(model, permuted), by=["feature"])
+    base = ml.roc_auc(score(test)).select("roc_auc").scalar()
+    per = ml.roc_auc(score(permuted), by=["feature"])
     return per.select("feature", base.alias("base_auc"), F.col("roc_auc").alias("permuted_auc"),
                       (base - F.col("roc_auc")).alias("importance"))
+
+
+def scaled_coefficients(model: ml.TrainedModel, spark: SparkSession) -> DataFrame:
+    """M-13, linear form: the coefficients of the standardised inputs, rows (feature, coefficient, size), largest size
+    first for a reader who sorts; one row a model input."""
+    from pyspark.ml.feature import StringIndexerModel
+    last = model.pipeline.stages[-1]
+    names = list(model.numeric)
+    for stage in model.pipeline.stages:
+        if isinstance(stage, StringIndexerModel):
+            names += [f"{stage.getInputCol()}={level}" for level in stage.labels]
+    rows = [(n, float(c), abs(float(c))) for n, c in zip(names, last.coefficients.toArray())]
+    return spark.createDataFrame(rows, "feature string, coefficient double, size double")

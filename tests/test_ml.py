@@ -9,6 +9,7 @@ from market_engine.operators import ml
 from market_engine.operators import ml_outputs as MO
 from market_engine.operators.ranking import distributed_row_number, hex_bucket
 from market_engine.plans import market
+from market_engine.session import materialise_frame
 
 
 @pytest.fixture(scope="module")
@@ -148,10 +149,59 @@ def test_logreg_matches_weighted_l2_objective(spark):
     assert lr.intercept == pytest.approx(beta[2], abs=1e-5)
 
 
-def test_forecast_model_and_gbt(spark, stress):
+def test_least_squares_equals_spark_and_takes_collinear_and_empty_input(spark, stress):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    cols = ["lmp_lag_1h", "lmp_lag_24h", "hour_of_day"]
     fr = ml.next_hour_target(stress)
-    model, va = ml.forecast_model(fr, ["lmp_lag_1h", "lmp_lag_24h", "hour_of_day"])
-    assert len(model.coefficients) == 3 and model.summary.r2 <= 1.0
+    model = LinearRegression(featuresCol="f", labelCol="lmp_avg", solver="normal").fit(
+        VectorAssembler(inputCols=cols, outputCol="f", handleInvalid="skip").transform(fr.filter("lmp_avg is not null")))
+    ours = ml.least_squares(fr, cols)
+    got = {r.feature: r.coefficient for r in ours.collect()}
+    assert got[""] == pytest.approx(model.intercept, rel=1e-6)
+    assert [got[c] for c in cols] == [pytest.approx(b, rel=1e-6) for b in model.coefficients]
+    out = ml.forecast(fr, ours).filter("lmp_lag_24h is null").select("predicted_lmp").distinct().collect()
+    assert [r.predicted_lmp for r in out] in ([], [None])
+    twice = ml.least_squares(fr.withColumn("again", F.col("lmp_lag_1h")), ["lmp_lag_1h", "again"]).collect()
+    one = ml.least_squares(fr, ["lmp_lag_1h"]).collect()
+    assert twice[1].coefficient + twice[2].coefficient == pytest.approx(one[1].coefficient, rel=1e-6)
+    assert ml.least_squares(fr.limit(0), cols).count() == 0
+
+
+def test_fitted_inputs_of_training_rows_only(spark, tmp_path_run):
+    from market_engine.operators import preprocess as PP
+    schema = "hub string, x double, y double, z double"
+    train = spark.createDataFrame([("A", 1.0, 5.0, None), ("B", None, 5.0, None), (None, 3.0, 5.0, None), ("A", 2.0, 5.0, None)], schema)
+    fitted = PP.fit(train, ["x", "y", "z"], ["hub"])
+    fitted.write.parquet(tmp_path_run + "/fitted")                       # the table is all that scoring needs
+    fitted = spark.read.parquet(tmp_path_run + "/fitted")
+    assert sorted((r.place, r.feature, r.level) for r in fitted.collect()) == [
+        (0, "x", None), (1, "y", None), (3, "hub", "A"), (4, "hub", "B"), (5, "hub", "UNKNOWN")]   # z has no value
+    new = spark.createDataFrame([("NEW", None, 6.0, 1.0), ("B", 4.0, None, 1.0), (None, 2.0, 5.0, None)], schema)
+    got = {r.hub: r.inputs for r in PP.apply(new, fitted).collect()}
+    sd = 0.5 ** 0.5
+    assert got["NEW"] == [0.0, 1.0, 0.0, 0.0, 0.0] and got[None] == [0.0, 0.0, 0.0, 0.0, 1.0]
+    assert got["B"] == [pytest.approx(2 / sd), 0.0, 0.0, 1.0, 0.0]
+    p = PP.linear_probability(new, fitted, {("x", None): sd, ("hub", "B"): -2.0}, 1.0)
+    assert {r.hub: r.predicted_spike_probability for r in p.collect()}["B"] == pytest.approx(1 / (1 + 2.718281828459045 ** -1))
+
+
+def test_outputs_keep_prices_and_the_fit_is_stationary(spark, stress):
+    ff = ml.build_features(stress)
+    s = materialise_frame(ml.stratified_split(ff.df))
+    train, test = s.filter("not is_test"), s.filter("is_test")
+    model = ml.train_classifier(train, ff.numeric, ff.categorical)
+    out = MO.predictions(ml.score(model, test), "v1")
+    assert sorted(r.lmp_avg for r in out.collect()) == sorted(r.lmp_avg for r in test.collect())
+    gradient = ml.fit_gradient(model, train).collect()
+    beta = MO.scaled_coefficients(model, spark).collect()
+    assert len(gradient) == len(beta) + 1 and max(abs(r.gradient) for r in gradient) < 1e-4
+    assert {r.feature for r in beta} >= {"lmp_avg", "trading_hub=NP15"} and all(r.size == abs(r.coefficient) for r in beta)
+    other = ml.train_classifier(train, ff.numeric, ff.categorical, max_iter=2)
+    assert max(abs(r.gradient) for r in ml.fit_gradient(other, train).collect()) > 1e-3
+
+
+def test_gbt(spark, stress):
     ff = ml.build_features(stress)
     s = ml.stratified_split(ff.df)
     m = ml.train_classifier(s.filter("not is_test"), ff.numeric, ff.categorical, kind="gbt")
