@@ -14,9 +14,9 @@ import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15
 #: Numbers of powers that are kept: twice as many words as a group of short texts has.
-_KEPT = 1 << 22
+_KEPT = 1 << 20
 #: Bytes of text whose words are held at a time; a longer text is held alone.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True

@@ -18,7 +18,7 @@ the first is dealt out, so exact copies cost one row a task. Each group is compa
 in two steps: a second sketch of four bits a shingle, whose Hamming distance again is a lower bound, drops most pairs
 before any text moves; the others are told on their whole sets.
 
-Where a pivot's members still are of several components, those with too many shingles that no other such member has
+Where a key's members still are of several components, those with too many shingles that no other such member has
 are done (``_not_alone``). The others are joined by what differs between them and the pivot (``_meet``): members without
 a common difference by their one nearest, the others by each common difference. Such a group is compared member by member (few first: a
 member's level is the number of trailing zeros of its hash) until no two of it are left that are neither
@@ -254,11 +254,11 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "doc_id"))
 
 
-def _mixed(stars: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows (pivot, doc_id) of pivots whose members are of several components."""
-    several = _with_component(stars, found).groupBy("pivot").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("pivot")
-    return stars.join(several, "pivot").select("pivot", "doc_id")
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows (key, pivot, doc_id) of keys whose members are of several components."""
+    several = _with_component(members, found).groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    return members.join(several, "key").select("key", "pivot", "doc_id")
 
 
 def _differences(stars: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -334,15 +334,18 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     rep_of = classes.filter("n > 0 and doc_id is not null").select("doc_id", "rep").distinct()
 
     keys = docs.filter("doc_id is not null and text is not null").mapInArrow(_keys(words, percent), "key long, doc_id long")
-    meeting = stored(keys.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter(
-        "pivot < last").select("key", "pivot"), "meeting")
-    met = stored(keys.join(meeting, "key").filter("doc_id <> pivot").select("doc_id", "pivot").distinct(), "met")
+    meeting = stored(keys.groupBy("key").agg(
+        F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), (F.count(F.lit(1)) > 2).alias("several")).filter(
+        "pivot < last").drop("last"), "meeting")
+    # of a key of two members their one comparison is all; only larger ones are looked at again
+    met = stored(keys.join(meeting, "key").filter("doc_id <> pivot").select(
+        F.when(F.col("several"), F.col("key")).alias("key"), "doc_id", "pivot").distinct(), "met")
     drop_stored(meeting)
-    by_rep = met.join(rep_of, "doc_id").select("pivot", F.col("rep").alias("doc_id"))
-    by_rep = by_rep.join(rep_of.select(F.col("doc_id").alias("pivot"), "rep"), "pivot").select(
-        F.col("rep").alias("pivot"), "doc_id").filter("doc_id <> pivot")
-    stars = stored(by_rep.distinct(), "stars")
+    by_rep = met.join(rep_of, "doc_id").select("key", "pivot", F.col("rep").alias("doc_id"))
+    by_rep = stored(by_rep.join(rep_of.select(F.col("doc_id").alias("pivot"), "rep"), "pivot").select(
+        "key", F.col("rep").alias("pivot"), "doc_id").filter("doc_id <> pivot").distinct(), "groups")
     drop_stored(met)
+    stars = by_rep.select("pivot", "doc_id").distinct()
 
     pairs = stars.select(*_ordered("doc_id", "pivot")).distinct()
     nodes = stars.select("doc_id").unionByName(stars.select(F.col("pivot").alias("doc_id"))).distinct()
@@ -351,13 +354,14 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     links = _verified(pairs, sketches, texts, words, percent)
     found = components(links)
 
-    # members of a pivot whose components differ: what two of them share is told from their differences
-    stars = stars.unionByName(stars.select("pivot", F.col("pivot").alias("doc_id")).distinct())
-    stars = stored(_mixed(stars, found), "mixed")
-    left = _not_alone(stars.select("doc_id").distinct(), texts, sketches, words, percent)
-    left = stored(_mixed(stars.join(left, "doc_id"), found), "left")
-    delta = stored(_differences(left, texts, words), "deltas")
-    drop_stored(stars, left)
+    # members of a key whose components differ: what two of them share is told from their differences to the pivot
+    members = by_rep.filter("key is not null")
+    members = members.unionByName(members.select("key", "pivot", F.col("pivot").alias("doc_id")).distinct())
+    members = stored(_mixed(members, found), "mixed")
+    left = _not_alone(members.select("doc_id").distinct(), texts, sketches, words, percent)
+    left = stored(_mixed(members.join(left, "doc_id"), found), "left")
+    delta = stored(_differences(left.select("pivot", "doc_id").distinct(), texts, words), "deltas")
+    drop_stored(members, left)
     near, member = _meet(delta, percent)
     near = stored(_with_component(near, found).join(found.select(F.col("node").alias("nearest"), F.col("component").alias("nc")), "nearest", "left")
                   .filter("component <> coalesce(nc, nearest)").select(*_ordered("doc_id", "nearest")).distinct()
