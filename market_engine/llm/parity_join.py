@@ -19,7 +19,8 @@ in two steps: a second sketch of four bits a shingle, whose Hamming distance aga
 before any text moves; the others are told on their whole sets.
 
 Where a key's members still are of several components, those with too many shingles that no other such member has
-are done (``_not_alone``). The others are joined by what differs between them and the pivot (``_meet``): members without
+are done (``_not_alone``). The others are compared within one task where a pivot has a bounded number of them
+(``STAR_MEMBERS``), else joined by what differs between them and the pivot (``_meet``): members without
 a common difference by their one nearest, the others by each common difference. Such a group is compared member by member (few first: a
 member's level is the number of trailing zeros of its hash) until no two of it are left that are neither
 connected nor compared. No link is lost, and a large group of copies with edits of their own costs rows, not pairs.
@@ -51,6 +52,8 @@ from market_engine.llm.packing import pack, unpack_slices
 BAND_RATIO = 1.5
 #: Pairs that a round of pivots compares at most per member row, unless one level alone needs more.
 PAIRS_PER_ROW = 4
+#: Members of a pivot, and shingles of theirs together, that one task compares at most; larger groups are joined.
+STAR_MEMBERS, STAR_SHINGLES = 256, 1 << 20
 #: Distinct sets that a task remembers, so as to deal out copies once.
 SEEN = 100_000
 
@@ -278,6 +281,60 @@ def _not_alone(docs: DataFrame, texts: DataFrame, sketches: DataFrame, words: in
         (F.col("n") - F.col("own")) * 100 >= F.col("n") * percent).select("doc_id")
 
 
+def _similar_in(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """The similar pairs of different components among a bounded number of sets: those with too few shingles that another set
+    has are left out, then common shingles are counted by a matrix product, some thousand shingles at a time."""
+    left = np.arange(len(sets))
+    while True:
+        whole = np.concatenate([sets[i] for i in left])
+        owner = np.repeat(np.arange(len(left)), [len(sets[i]) for i in left])
+        order = np.argsort(whole, kind="stable")
+        whole, owner = whole[order], owner[order]
+        same = np.append(False, whole[1:] == whole[:-1])
+        shared = same | np.append(same[1:], False)
+        n = np.array([len(sets[i]) for i in left])
+        stay = np.bincount(owner[shared], minlength=len(left)) * 100 >= n * percent
+        if len(np.unique(component[left[stay]])) < 2:
+            return []
+        if stay.all():
+            break
+        left = left[stay]
+    row, owner = np.cumsum(~same)[shared], owner[shared]
+    row = np.unique(row, return_inverse=True)[1]
+    common = np.zeros((len(left), len(left)), np.float32)
+    for a in range(0, int(row[-1]) + 1, 4096):
+        lo, hi = np.searchsorted(row, [a, a + 4096])
+        part = np.zeros((4096, len(left)), np.float32)
+        part[row[lo:hi] - a, owner[lo:hi]] = 1
+        common += part.T @ part
+    alike = common * 100 >= (n[:, None] + n[None, :] - common) * percent
+    x, y = np.nonzero(np.triu(alike & (component[left][:, None] != component[left][None, :]), 1))
+    return [(int(left[a]), int(left[b])) for a, b in zip(x, y)]
+
+
+def _star_links(words: int, percent: int):
+    """Links (a, b) of the members of each pivot; rows (pivot, doc_id, component, packed) come sorted by pivot."""
+    def work(batches):
+        of, ids, component, sets = None, [], [], []
+
+        def links():
+            found = _similar_in(sets, np.array(component), percent) if len(sets) > 1 else []
+            a, b = zip(*((min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in found)) if found else ((), ())
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for batch in batches:
+            for i, j, (texts,) in unpack_slices([batch.column(3)], H.GROUP_BYTES):
+                rows = zip(*(batch.column(c).slice(i, j - i).to_pylist() for c in range(3)), _sets(texts, words))
+                for pivot, doc, c, s in rows:
+                    if pivot != of:
+                        yield links()
+                        of, ids, component, sets = pivot, [], [], []
+                    ids.append(doc)
+                    component.append(c)
+                    sets.append(s)
+        yield links()
+    return work
+
+
 def _meet(delta: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """What members of a pivot must be compared with, without forming pairs of all of them.
 
@@ -360,8 +417,22 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     members = stored(_mixed(members, found), "mixed")
     left = _not_alone(members.select("doc_id").distinct(), texts, sketches, words, percent)
     left = stored(_mixed(members.join(left, "doc_id"), found), "left")
-    delta = stored(_differences(left.select("pivot", "doc_id").distinct(), texts, words), "deltas")
-    drop_stored(members, left)
+    stars = stored(left.select("pivot", "doc_id").distinct(), "stars")
+    size = stars.join(sketches.select("doc_id", "n"), "doc_id").groupBy("pivot").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    size = size.select("pivot", ((F.col("c") <= STAR_MEMBERS) & (F.col("s") <= STAR_SHINGLES)).alias("fits"))
+    fits = _with_component(stars.join(size.filter("fits"), "pivot"), found).join(texts, "doc_id").select("pivot", "doc_id", "component", "packed")
+    more = stored(fits.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(
+        _star_links(words, percent), "a long, b long").distinct(), "links")
+    if not more.isEmpty():
+        links = stored(links.unionByName(more), "links")
+        found = components(links)
+    large = stored(_mixed(left.join(size.filter("not fits").select("pivot"), "pivot"), found), "large")
+    drop_stored(members, left, stars)
+    if large.isEmpty():
+        drop_stored(large, texts, sketches)
+        return classes, found
+    delta = stored(_differences(large.select("pivot", "doc_id").distinct(), texts, words), "deltas")
+    drop_stored(large)
     near, member = _meet(delta, percent)
     near = stored(_with_component(near, found).join(found.select(F.col("node").alias("nearest"), F.col("component").alias("nc")), "nearest", "left")
                   .filter("component <> coalesce(nc, nearest)").select(*_ordered("doc_id", "nearest")).distinct()

@@ -103,8 +103,9 @@ def _families(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed,k,percent", [(1, 3, 90), (2, 5, 80), (3, 1, 80), (4, 2, 70), (5, 5, 90)])
-def test_parity_join_on_families(docs, seed, k, percent):
+@pytest.mark.parametrize("seed,k,percent,star", [(1, 3, 90, 256), (2, 5, 80, 2), (3, 1, 80, 5), (4, 2, 70, 256), (5, 5, 80, 256)])
+def test_parity_join_on_families(docs, seed, k, percent, star, monkeypatch):
+    monkeypatch.setattr(parity_join, "STAR_MEMBERS", star)  # larger groups are joined
     rows = _families(seed)
     out = parity_join.label(docs(rows), k, percent).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == components(rows, k, percent)
