@@ -9,6 +9,7 @@ in any session.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,3 +106,32 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return df.sparkSession.read.parquet(path)
+
+
+@dataclass
+class Progress:
+    """What a run did: micro-batches that ended, rows read, rows that came after the watermark and were left out."""
+
+    batches: int
+    rows: int
+    late_rows: int
+
+
+def drive(df: DataFrame, path: str, checkpoint: str, stop_after: int | None = None) -> Progress:
+    """Drive a streaming frame over what has landed into a Parquet file sink and say what was done with it.
+
+    ``stop_after``: stop once so many micro-batches have ended (as a lost driver would, also in the middle of the next
+    one). State, offsets and the sink's commits lie in ``checkpoint`` and beside the sink, so the next run with the same folders goes
+    on where the last committed batch ended; state keeps the number of partitions that it was begun with, whatever
+    the session's setting and the input's files are then."""
+    q = (df.writeStream.format("parquet").option("path", path).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    try:
+        while not q.awaitTermination(0.1):
+            if stop_after and len([p for p in q.recentProgress if p["numInputRows"]]) >= stop_after:
+                break
+    finally:
+        q.stop()
+    done = q.recentProgress
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in done for op in p["stateOperators"])
+    return Progress(len(done), sum(p["numInputRows"] for p in done), late)

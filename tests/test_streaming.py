@@ -108,3 +108,56 @@ def test_stream_hours_do_not_depend_on_session_zone(spark, tmp_path_run):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [(datetime(2024, 1, 15, h), 12) for h in range(3)]
+
+
+def _hours(spark, folder):
+    cols = ["hour_utc", "trading_hub", "market", "lmp_avg", "lmp_min", "lmp_max", "interval_count"]
+    return sorted(tuple(r) for r in spark.read.parquet(folder).select(*cols).collect())
+
+
+def test_rollup_and_dedupe_resume_after_a_stop_between_batches(spark, tmp_path_run):
+    """Hours that are open when the run stops keep their state; the rest of their rows come later, in other files, with another
+    number of shuffle partitions, and the result equals D-1 over all rows on closed hours."""
+    land, sink, ck = (os.path.join(tmp_path_run, x) for x in ("land", "sink", "ck"))
+    rows = [(60 * h + 5 * i, hub, 10.0 + h + i / 8, m) for h in range(10) for i in range(12) for hub in ("NP15", "sp15 ") for m in ("RTM", "DAM")]
+    early = [r for r in rows if r[0] < 5 * 60 + 30]
+    src = lambda: spark.readStream.schema(LMP_5MIN).option("maxFilesPerTrigger", 1).parquet(land)
+    _land(spark, land, early[::2])
+    first = SP.drive(SP.streaming_hourly_prices(src()), sink, ck)
+    assert first.rows == len(early[::2]) and first.late_rows == 0
+    open_before = len(_hours(spark, sink))
+    ahead = [r for r in early[1::2] if r[0] >= 3 * 60 + 30]  # older ones are past the watermark by now
+    lmp_rows(spark, ahead).repartition(5).write.mode("append").parquet(land)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        stopped = SP.drive(SP.streaming_hourly_prices(src()), sink, ck, stop_after=1)
+        resumed = SP.drive(SP.streaming_hourly_prices(src()), sink, ck)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert stopped.rows + resumed.rows >= len(ahead) and resumed.batches > 0
+    later = [r for r in rows if r[0] >= 5 * 60 + 30]
+    _land(spark, land, later)
+    SP.drive(SP.streaming_hourly_prices(src()), sink, ck)
+    _land(spark, land, [(5, "NP15", 999.0), (60 * 3, "SP15", 999.0), (60 * 14, "NP15", 1.0)])
+    late = SP.drive(SP.streaming_hourly_prices(src()), sink, ck)
+    assert late.late_rows == 2
+    got = _hours(spark, sink)
+    assert len(got) > open_before and all(r[5] < 999 for r in got) and len({r[:3] for r in got}) == len(got)
+    counted = early[::2] + ahead + later
+    want = [tuple(r) for r in hourly_prices(lmp_rows(spark, counted)).select(
+        "hour_utc", "trading_hub", "market", "lmp_avg", "lmp_min", "lmp_max", "interval_count").collect()]
+    assert got == sorted(want)
+
+
+def test_dedupe_resumes_after_a_stop_between_batches(spark, tmp_path_run):
+    land, sink, ck = (os.path.join(tmp_path_run, x) for x in ("land", "sink", "ck"))
+    rows = [(5 * i, "NP15", 10.0) for i in range(36)]
+    for part in (rows[:12], rows[6:20], rows[10:30], rows[12:]):     # every part delivers rows again
+        _land(spark, land, part)
+    dedupe = lambda: SP.dedupe_intervals(spark.readStream.schema(LMP_5MIN).option("maxFilesPerTrigger", 1).parquet(land))
+    SP.drive(dedupe(), sink, ck, stop_after=1)
+    SP.drive(dedupe(), sink, ck, stop_after=1)
+    SP.drive(dedupe(), sink, ck)
+    out = spark.read.parquet(sink)
+    assert out.count() == out.select("interval_start").distinct().count() == 36
