@@ -19,7 +19,9 @@ def test_distributed_lags_read_the_rollup_once(spark):
     lay = market.from_testdata(spark, SF01, market.MarketParams(lag_method="join"), materialise="none")
     joined = FE.join_ops(lay.stg_prices.filter("market = 'RTM'"), lay.stg_ops.filter("balancing_authority = 'CISO'"))
     plan = _plan(FE.add_lags(joined))
-    assert "Scan parquet" not in plan                   # every branch reads the materialised input
+    assert "events.parquet" not in plan                 # every branch reads the materialised input
+    reads = sorted((ln for ln in plan.splitlines() if ln.startswith("ReadSchema")), key=len)
+    assert len(reads) == 2 and "lmp_avg" not in reads[0]    # the counts a day read the keys only
 
 
 def test_default_mart_broadcasts_thresholds_to_the_features(spark):
