@@ -175,3 +175,23 @@ def test_both_passes_against_a_plain_version():
     for _ in range(300):
         blocks = [(say(), rng.choice([0, 0, 0, .1, .3, .6]), rng.random() < .15, -1, 0, False) for _ in range(rng.randrange(0, 14))]
         assert html_blocks.classify(blocks, []) == _plain_passes(blocks, 0.33, 70, 0.10)
+
+
+def test_url_judge_takes_long_urls_and_clashing_columns(spark):
+    schema = "page_id long, url string, host string, path string, rule string, verdict string, doc_id long, quality int, n long"
+    long = "http://" + "a." * 20_000 + "example.net/en/" + "x" * 200_000
+    rows = [(1, long, "h", "p", "r", "v", 9, 0, 1), (2, "http://b.org/fr/", None, None, None, None, None, None, None)]
+    labels = spark.createDataFrame([(1, 0, 1, "x", "y")], "doc_id long, quality int, toxic int, host string, page_id string")
+    got = {r.page_id: r for r in url_reputation.judge(spark.createDataFrame(rows, schema), labels).collect()}
+    assert len(got[1].host) == 40_011 and len(got[1].path) == 200_004 and (got[1].rule, got[1].verdict) == ("example.net/en/", "allow")
+    assert (got[2].host, got[2].path, got[2].rule) == ("b.org", "/fr/", "org/fr/")
+
+
+def test_chat_format_of_a_very_long_conversation(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"<|im_end|> {t} & so") for t in range(600)]
+    c = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    out, = chat_format.read_back(chat_format.examples(c)).collect()
+    said = "".join(t for _, _, role, t in rows if role == "assistant")
+    assert out.n_turns == 600 and out.loss_chars == len(said)
+    import hashlib
+    assert out.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()

@@ -15,7 +15,8 @@ PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 def test_names():
     assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14)) and "pipeline" in QUERIES
-    assert {n for n, (_, sql) in QUERIES.items() if sql is None} == {"op3_block_rules", "op8_trie_bpe", "op9_digest_cache", "pipeline"}
+    assert {n for n, (_, sql) in QUERIES.items() if sql is None} == {
+        "op3_block_rules", "op8_trie_bpe", "op9_digest_cache", "op12_factor_machine", "pipeline"}
 
 
 def _good(t):
@@ -57,3 +58,13 @@ def test_pipeline_against_brute_force(spark, tmp_path_run):
     ids = {i: lib.encode(t, add_special_tokens=False).ids for i, t in left}
     assert got == {i: (len(x), x, lib.decode(x, skip_special_tokens=False)) for i, x in ids.items()}
     assert 50 not in got and 3 not in got and 4 not in got and 41 not in got and 30 in got
+
+
+def test_pipeline_stages_take_empty_documents_and_clashing_columns(spark, tmp_path_run):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept boolean, component string"
+    spark.createDataFrame([(1, "some words of the item")], "item_id long, text string").write.parquet(tmp_path_run + "/benchmark.parquet")
+    for rows in ([], [(1, "the words of a text are here and they go on " * 3 + str(i), "en", "s", 9, 1, True, "x") for i in range(2)] + [(None, None, None, None, None, None, None, None)]):
+        docs = spark.createDataFrame(rows, schema)
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = spark.createDataFrame(stage(spark, docs, tmp_path_run).collect(), stage(spark, docs, tmp_path_run).schema)
+            assert i == 4 or set(schema.replace(",", "").split()[::2]) == set(docs.columns), name
