@@ -1072,13 +1072,12 @@ def q_r14(spark, sf):
 
 # =============================================================== streaming
 def _stream_events(spark, sf):
-    ev = adapters.table(spark, sf, "events")
-    return spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return SP.stream_table(spark, sf, "events", adapters.table(spark, sf, "events").schema)
 
 
 def _stream_ck(spark) -> str:
     import uuid
-    base = checkpoint_dir(spark, shared_fallback(spark))
+    base = checkpoint_dir(spark, lambda: shared_fallback(spark))
     return f"{base.rstrip('/')}/streams/{uuid.uuid4().hex}"
 
 

@@ -47,6 +47,13 @@ def stream_ingest(spark: SparkSession, source: str, schema, target: str, keys, c
     return w.start()
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """The table ``name`` of a folder as a stream, whether it is one Parquet file or a folder of part files.
+
+    The braces make the path a glob with one match: a stream takes a plain path as a folder, a glob's matches as they are."""
+    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{{{name}.parquet}}")
+
+
 def _zoned(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, utc_ntz_to_instant(col))
 

@@ -161,3 +161,22 @@ def test_dedupe_resumes_after_a_stop_between_batches(spark, tmp_path_run):
     SP.drive(dedupe(), sink, ck)
     out = spark.read.parquet(sink)
     assert out.count() == out.select("interval_start").distinct().count() == 36
+
+
+def test_stream_queries_read_a_table_of_part_files(spark, tmp_path_run):
+    import __spark_entry__ as entry
+    parts, one = os.path.join(tmp_path_run, "parts"), SF001
+    adapters.table(spark, one, "events").repartition(3).write.parquet(os.path.join(parts, "events.parquet"))
+    for name in ("s01_streaming_hourly_prices", "s02_streaming_dedupe", "s03_streaming_scores"):
+        got, want = (entry.queries()[name](spark, sf) for sf in (parts, one))
+        assert want.count() == got.count() > 0
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0, name
+
+
+def test_stream_queries_need_no_fallback_folder_where_one_is_named(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    def refuse(_):
+        raise ValueError("set spark.checkpoint.dir")
+    monkeypatch.setattr(entry, "shared_fallback", refuse)
+    assert "/streams/" in entry._stream_ck(spark)
