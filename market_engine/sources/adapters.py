@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -133,19 +135,47 @@ def land_price_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
     rows.repartition(*place).sortWithinPartitions(*place, "nth").select("value", *place).write.partitionBy(*place).text(folder)
 
 
-def price_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``price_lines`` as ZIP archives (path, content, trading_hub), one per hub and day: some cut off, some without a CSV."""
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        hub, day = group.trading_hub.iat[0], group.day.iat[0]
-        rows = group.sort_values(["start", "place", "value"])
-        text = "INTERVALSTARTTIME_GMT,INTERVALENDTIME_GMT,LMP_TYPE,MW\n" + "".join(
-            f"{r.start},{r.end},{r.item},{r.value or ''}\n" for r in rows.itertuples())
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("readme.txt" if day.day == 17 else f"{hub}_{day}.csv", text)
+def _pack_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (path, member, cut, trading_hub, line), those of a path one after the other -> its ZIP archive (path, content, trading_hub).
+    Lines are compressed as they come, so only the packed archive is held."""
+    out = path = z = None
+
+    def close() -> pa.RecordBatch:
+        member.close()
+        z.close()
         data = out.getvalue()
-        return pd.DataFrame([{"path": f"/landing/{hub}/{day}.zip", "content": data[:-30] if day.day == 13 else data, "trading_hub": hub}])
-    return price_lines(spark, sf_dir).groupBy("trading_hub", "day").applyInPandas(pack, "path string, content binary, trading_hub string")
+        return pa.record_batch([[path], [data[:-30] if cut else data], [hub]], names=["path", "content", "trading_hub"])
+
+    for batch in batches:
+        runs, at = pc.run_end_encode(batch.column(0)), 0
+        for new, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+            if new != path:
+                if path is not None:
+                    yield close()
+                path, name, cut, hub = (batch.column(c)[at].as_py() for c in range(4))
+                out = io.BytesIO()
+                z = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                member = z.open(name, "w", force_zip64=True)
+                member.write(b"INTERVALSTARTTIME_GMT,INTERVALENDTIME_GMT,LMP_TYPE,MW\n")
+            member.write("".join(batch.column(4).slice(at, end - at).to_pylist()).encode())
+            at = end
+    if path is not None:
+        yield close()
+
+
+def price_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``price_lines`` as ZIP archives (path, content, trading_hub), one per hub and day: some cut off, some without a CSV.
+    A row without a time is of no day and so in no archive."""
+    day = F.col("day").cast("string")
+    place = ["trading_hub", "day"]
+    lines = price_lines(spark, sf_dir).filter("day is not null").repartition(*place).sortWithinPartitions(
+        *place, "start", "place", F.asc_nulls_last("value"))
+    return lines.select(
+        F.concat(F.lit("/landing/"), "trading_hub", F.lit("/"), day, F.lit(".zip")).alias("path"),
+        F.when(F.dayofmonth("day") == 17, "readme.txt").otherwise(F.concat("trading_hub", F.lit("_"), day, F.lit(".csv"))).alias("member"),
+        (F.dayofmonth("day") == 13).alias("cut"), "trading_hub",
+        F.concat(F.concat_ws(",", "start", "end", "item", F.coalesce("value", F.lit(""))), F.lit("\n")).alias("line"),
+    ).mapInArrow(_pack_archives, "path string, content binary, trading_hub string")
 
 
 def ops_pages(spark: SparkSession, sf_dir: str, per_page: int = 40) -> DataFrame:

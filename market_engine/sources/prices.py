@@ -1,10 +1,11 @@
 """Landed price files: CSVs inside ZIP archives and plain CSVs.
 
 Archives are read with the ``binaryFile`` source (one row per archive, files split across
-tasks) and decoded by a ``mapInPandas`` step: each task opens its archives with the standard
+tasks) and decoded by a ``mapInArrow`` step: each task opens its archives with the standard
 library, takes the first ``.csv`` member, conforms its header and emits long rows
-(interval, item code, value). Undecodable archives become quarantine rows instead of failing
-the job. The long->wide pivot (D-3) then runs as a Spark aggregation keyed on the interval.
+(interval, item code, value), some lines at a time, so a task's memory holds the packed archive
+and a part of its lines, however many there are. Undecodable archives become quarantine rows
+instead of failing the job. The long->wide pivot (D-3) then runs as a Spark aggregation keyed on the interval.
 
 The trading hub comes from the landing layout ``.../trading_hub=<HUB>/...`` (partition
 discovery), or from a ``NODE`` column mapped back through the hub->node table.
@@ -14,14 +15,18 @@ from __future__ import annotations
 
 import io
 import lzma
+import tempfile
 import zipfile
 import zlib
 from collections.abc import Iterator, Mapping, Sequence
+from typing import IO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from market_engine.constants import HUB_NODES, PRICE_CSV_CANDIDATES, PRICE_ITEMS, PRICES_SOURCE_SYSTEM
 from market_engine.functions import clean_key, instant_to_utc_ntz, parse_iso_utc
@@ -40,6 +45,12 @@ LONG_SCHEMA = T.StructType([
     T.StructField("line", T.LongType()),
 ])
 NODE_CANDIDATES = ["NODE", "NODE_ID", "PNODE_ID"]
+#: Lines of a CSV that a task parses at a time: as many as the parser itself takes from a file of four columns.
+CSV_LINES = 1 << 17
+#: Lines of a frame in LONG_SCHEMA.
+FRAME_LINES = 10_000
+#: Bytes of one file's text, and of its decoded lines, that a task keeps in memory; more go to its disk.
+SPOOL_BYTES = 16 << 20
 
 
 def normalise_header(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -59,45 +70,82 @@ def _rows(path: str, status: str, detail: str = "") -> pd.DataFrame:
     return pd.DataFrame([{"source_file": path, "status": status, "detail": detail}], columns=LONG_SCHEMA.names)
 
 
-def decode_price_csv(path: str, data: bytes) -> pd.DataFrame:
-    """One CSV's bytes -> long rows in LONG_SCHEMA (or one quarantine row)."""
+def price_frames(path: str, file: IO[bytes]) -> Iterator[pd.DataFrame]:
+    """One CSV -> its lines in LONG_SCHEMA, parsed CSV_LINES and yielded FRAME_LINES at a time. A file that can't be read ends with a quarantine row,
+    which stands for the whole file, also for lines that came before it."""
+    n = 0
     try:
-        raw = pd.read_csv(io.BytesIO(data), dtype=str, keep_default_na=False, na_values=[""], encoding="utf-8-sig")
+        with pd.read_csv(file, dtype=str, keep_default_na=False, na_values=[""], encoding="utf-8-sig", chunksize=CSV_LINES) as chunks:
+            for raw in chunks:
+                raw = normalise_header(raw)
+                cols = resolve_columns(raw.columns, PRICE_CSV_CANDIDATES)
+                missing = [k for k, v in cols.items() if v is None]
+                node = next((c for c in NODE_CANDIDATES if c in raw.columns), None)
+                for i in range(0, 0 if missing else len(raw), FRAME_LINES):
+                    part = raw.iloc[i:i + FRAME_LINES]
+                    out = pd.DataFrame({
+                        "source_file": path, "status": "ok", "detail": None,
+                        "start_raw": part[cols["start"]], "end_raw": part[cols["end"]],
+                        "item": part[cols["item"]].str.strip().str.upper(), "value": part[cols["value"]],
+                        "node": part[node] if node else None,
+                        "line": range(n + i, n + i + len(part)),
+                    })
+                    yield out[LONG_SCHEMA.names]
+                n += len(raw)
     except ValueError as e:  # no columns, ragged rows, bytes that are not UTF-8
-        return _rows(path, "bad_csv", f"{type(e).__name__}: {e}"[:500])
-    if raw.empty:
-        return _rows(path, "empty", "csv has no rows")
-    raw = normalise_header(raw)
-    cols = resolve_columns(raw.columns, PRICE_CSV_CANDIDATES)
-    missing = [k for k, v in cols.items() if v is None]
-    if missing:
-        return _rows(path, "missing_columns", ",".join(missing))
-    node = next((c for c in NODE_CANDIDATES if c in raw.columns), None)
-    out = pd.DataFrame({
-        "source_file": path, "status": "ok", "detail": None,
-        "start_raw": raw[cols["start"]], "end_raw": raw[cols["end"]],
-        "item": raw[cols["item"]].str.strip().str.upper(), "value": raw[cols["value"]],
-        "node": raw[node] if node else None,
-        "line": range(len(raw)),
-    })
-    return out[LONG_SCHEMA.names]
-
-
-def decode_archive(path: str, data: bytes) -> pd.DataFrame:
-    """First ``.csv`` member of a ZIP archive -> long rows; bad archives -> one quarantine row."""
+        yield _rows(path, "bad_csv", f"{type(e).__name__}: {e}"[:500])
+        return
+    if not n:
+        yield _rows(path, "empty", "csv has no rows")
+    elif missing:
+        yield _rows(path, "missing_columns", ",".join(missing))
+
+
+def archive_frames(path: str, file: IO[bytes]) -> Iterator[pd.DataFrame]:
+    """First ``.csv`` member of a ZIP archive -> ``price_frames``; bad archives -> one quarantine row. The member is
+    unpacked to its end, where its checksum stands, before it is read; a large one waits on the task's disk."""
     try:
-        zf = zipfile.ZipFile(io.BytesIO(data))
+        zf = zipfile.ZipFile(file)
     except zipfile.BadZipFile:
-        return _rows(path, "bad_zip", "not a zip archive")
+        yield _rows(path, "bad_zip", "not a zip archive")
+        return
     members = [n for n in zf.namelist() if n.lower().endswith(".csv")]
     if not members:
-        return _rows(path, "no_csv", ";".join(zf.namelist()))
-    try:
-        data = zf.read(members[0])
-    except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError) as e:
-        # damaged, cut off, encrypted, or of an unknown compression
-        return _rows(path, "bad_member", f"{members[0]}: {type(e).__name__}: {e}"[:500])
-    return decode_price_csv(path, data)
+        yield _rows(path, "no_csv", ";".join(zf.namelist()))
+        return
+    with tempfile.SpooledTemporaryFile(SPOOL_BYTES) as text:
+        try:
+            with zf.open(members[0]) as member:
+                while block := member.read(1 << 20):
+                    text.write(block)
+        except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError) as e:
+            # damaged, cut off, encrypted, or of an unknown compression
+            yield _rows(path, "bad_member", f"{members[0]}: {type(e).__name__}: {e}"[:500])
+            return
+        text.seek(0)
+        yield from price_frames(path, text)
+
+
+def decode_price_csv(path: str, data: bytes) -> pd.DataFrame:
+    """One CSV's bytes -> long rows in LONG_SCHEMA (or one quarantine row)."""
+    frames = list(price_frames(path, io.BytesIO(data)))
+    return frames[-1] if frames[-1]["status"].iat[0] != "ok" else pd.concat(frames, ignore_index=True)
+
+
+def _whole(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+    """The frames of one file as Arrow batches, once it is known that the file can be read to its end; else its
+    quarantine row alone. Lines that wait for that beyond SPOOL_BYTES wait on the task's disk."""
+    schema = to_arrow_schema(LONG_SCHEMA)
+    with tempfile.SpooledTemporaryFile(SPOOL_BYTES) as held:
+        with pa.ipc.new_stream(held, schema) as sink:
+            for frame in frames:
+                table = pa.Table.from_pandas(frame, schema, preserve_index=False)
+                if frame["status"].iat[0] != "ok":
+                    yield from table.combine_chunks().to_batches()
+                    return
+                sink.write_table(table)
+        held.seek(0)
+        yield from pa.ipc.open_stream(held)
 
 
 def read_price_files(spark: SparkSession, path: str, kind: str = "zip", glob: str | None = None) -> DataFrame:
@@ -115,21 +163,16 @@ def decode_files(files: DataFrame, kind: str = "zip") -> DataFrame:
     part_cols = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
     schema = T.StructType(LONG_SCHEMA.fields + [files.schema[c] for c in part_cols])
     names = [f.name for f in schema.fields]
+    frames = archive_frames if kind == "zip" else price_frames
 
-    decode = decode_archive if kind == "zip" else decode_price_csv
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(len(b)):
-                out = decode(b["path"].iat[i], bytes(b["content"].iat[i]))
-                for c in part_cols:
-                    out[c] = b[c].iat[i]
-                # plain object columns: Arrow-backed string columns convert to chunked arrays
-                out = out[names].astype(object).where(out[names].notna(), None)
-                out["line"] = [None if v is None else int(v) for v in out["line"]]
-                yield out
-
-    return files.select("path", "content", *part_cols).mapInPandas(run, schema)
+            for i in range(b.num_rows):
+                for out in _whole(frames(b.column(0)[i].as_py(), pa.BufferReader(b.column(1)[i].as_buffer()))):
+                    part = [pa.repeat(c[i], out.num_rows) for c in b.columns[2:]]
+                    yield pa.record_batch([*out.columns, *part], names=names)
+
+    return files.select("path", "content", *part_cols).mapInArrow(run, schema)
 
 
 def split_quarantine(long: DataFrame, hub: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -306,3 +306,43 @@ def test_mixed_header_csv_landing(spark, tmp_path_run):
     r = prices.collect()
     assert bad.count() == 0 and len(r) == 1
     assert r[0].lmp == 20.0 and r[0].congestion_component == 0.5 and r[0].trading_hub == "SP15"
+
+
+def test_large_files_are_decoded_some_lines_at_a_time(monkeypatch):
+    monkeypatch.setattr(PR, "CSV_LINES", 40)
+    monkeypatch.setattr(PR, "FRAME_LINES", 15)
+    monkeypatch.setattr(PR, "SPOOL_BYTES", 500)
+    lines = [(*_iv(i % 12), "TH_NP15_GEN-APND", "lmp ", i, 0) for i in range(100)]
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("p.csv", _csv(lines))
+    frames = list(PR.archive_frames("a.zip", buf))
+    assert max(map(len, frames)) <= 15
+    whole = [b for b in PR._whole(PR.archive_frames("a.zip", buf))]
+    assert [x for b in whole for x in b["line"].to_pylist()] == list(range(100))
+    assert [x for b in whole for x in b["value"].to_pylist()] == [str(i) for i in range(100)]
+    assert {x for b in whole for x in b["item"].to_pylist()} == {"LMP"}
+    late = PR.price_frames("b.csv", io.BytesIO((_csv(lines) + "1,2,3,4,5,6,7\n").encode()))    # a line that can't be read, after good ones
+    assert [(b["status"].to_pylist(), b["source_file"].to_pylist()) for b in PR._whole(late)] == [(["bad_csv"], ["b.csv"])]
+
+
+def test_archives_are_packed_line_by_line():
+    import pyarrow as pa
+    from market_engine.sources import adapters
+    rows = [(f"/l/{d}.zip", "p.csv", d == 2, "NP15", f"{d},{i}\n") for d in (1, 2, 3) for i in range(7)]
+    batches = [pa.record_batch([list(c) for c in zip(*rows[i:i + 4])], names=["path", "member", "cut", "trading_hub", "line"]) for i in range(0, len(rows), 4)]
+    out = [b.to_pylist()[0] for b in adapters._pack_archives(iter(batches))]
+    assert [(r["path"], r["trading_hub"]) for r in out] == [(f"/l/{d}.zip", "NP15") for d in (1, 2, 3)]
+    for d in (1, 3):
+        text = zipfile.ZipFile(io.BytesIO(out[d - 1]["content"])).read("p.csv").decode()
+        assert text.split("\n")[1:] == [f"{d},{i}" for i in range(7)] + [""]
+    assert not zipfile.is_zipfile(io.BytesIO(out[1]["content"]))
+
+
+def test_rows_without_a_time_are_in_no_archive(spark, tmp_path_run):
+    from market_engine.sources import adapters
+    sf = os.path.join(tmp_path_run, "sf")
+    spark.sql("""select id as event_id, case when id % 2 = 0 then timestamp_ntz'2024-01-05 01:02:03' end as ts, id as user_id, 'view' as event_type,
+        cast(id as double) as value, '{"k": 1}' as props from range(12)""").write.parquet(os.path.join(sf, "events.parquet"))
+    long = PR.decode_files(adapters.price_archives(spark, sf))
+    assert {r.status for r in long.collect()} == {"ok"} and long.count() == 6 * 5
