@@ -279,10 +279,10 @@ def _encode(path: str, decode: bool):
         bpe = tokenizer(path)
         for batch in batches:
             for part in text_slices(batch, batch.num_columns - 1):
-                ids = _ids_array(bpe.encode(part.column(part.num_columns - 1).to_pylist()))
-                more, names = [ids], ["ids"]
-                if decode:
-                    more.append(pa.array([bpe.decode(x) for x in ids.to_pylist()], pa.string()))
+                encoded = bpe.encode(part.column(part.num_columns - 1).to_pylist())
+                more, names = [_ids_array(encoded)], ["ids"]
+                if decode:  # an Arrow list would make an object of each id first, at several times the cost
+                    more.append(pa.array([bpe.decode(memoryview(x).cast("i")) for x in encoded], pa.string()))
                     names.append("decoded")
                 yield pa.record_batch([*part.columns[:-1], *more], names=[*part.schema.names[:-1], *names])
     return work

@@ -228,3 +228,11 @@ def test_rendezvous_slots_and_growth(docs, corpus):
     heavy = rendezvous.assign(docs([(i, "") for i in range(3000)]), "doc_id", {0: 1.0, 1: 3.0}).groupBy("shard").count().collect()
     assert 0.7 < {r.shard: r["count"] for r in heavy}[1] / 3000 < 0.8
     assert rendezvous.manifest(docs([]), "doc_id", "text", weights).count() == 0
+
+
+def test_trie_bpe_decodes_from_the_ids_of_each_text(docs):
+    rows = [(1, None), (2, ""), (3, "one two"), (4, "one  two\nthree")]
+    out = {r.doc_id: r for r in trie_bpe.encode(docs(rows), PATH, decoded=True).collect()}
+    bpe = trie_bpe.tokenizer(PATH)
+    assert all(out[d].decoded == bpe.decode(out[d].ids) for d, _ in rows)
+    assert out[1].decoded == out[2].decoded == "" and out[3].ids == out[4].ids[:len(out[3].ids)]
