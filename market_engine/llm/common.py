@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +15,10 @@ from pyspark.sql import functions as F
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Spark's setting that removes a query's shuffle files when it ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's limit to the bytes of the Arrow batches that go to Python workers.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _paths: WeakKeyDictionary = WeakKeyDictionary()
+_kept: dict[str, Callable[[], None]] = {}
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 
 
@@ -29,18 +35,37 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def worker_of(step: str, forget: Callable[[], None] | None = None) -> None:
+    """Called in tasks: this Python worker now works for ``step``, and ``forget`` gives up what it keeps for that
+    step's next task. What it kept for other steps goes: Spark hands a worker on from step to step, so it would
+    hold the tables of all of them beside the present one's."""
+    others = [s for s in _kept if s != step]
+    for other in others:
+        _kept.pop(other)()
+    if others:
+        gc.collect()  # closures that call themselves are cycles, and hold what they use
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)  # without it the GNU allocator holds most of what was given up
+    if forget:
+        _kept[step] = forget
+
+
+def stored(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, survives lost
     executors, and later readers see only the columns they ask for. Once the table stands nobody reads the
-    shuffle files of its query, so Spark is told to remove them at the query's end, not at some later GC."""
+    shuffle files of its query, so Spark is told to remove them at the query's end, not at some later GC.
+    ``batch_bytes`` limits the batches that this query's Python workers get, each held by worker and executor."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    conf = {SHUFFLE_CLEANUP: "true"} | ({BATCH_BYTES: str(batch_bytes)} if batch_bytes else {})
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     _paths[out] = path
     return out

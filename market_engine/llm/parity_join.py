@@ -12,9 +12,9 @@ and P = D + 1 + spare blocks for the band's largest D. By the pigeonhole princip
 of the join as long as a set has at most ``spare`` of them: one equal block with shingles is then left.
 A set with more joins on its empty blocks too, and so still meets any other such set.
 
-The join goes by (band, block, XOR); the smallest member of each group, its pivot, is found by an aggregate and
-joined back, so a hot group is split like any join. Texts with the same set are one class: of those in one task only
-the first is dealt out, so exact copies cost one row a task. Each group is compared with its pivot. A pair is verified
+The join goes by (band, block, XOR) in one exchange: a window over the sorted keys gives each member its group's
+smallest, the pivot. A group is a row of 16 bytes a document at most, and its window spills. Texts with the same set
+are one class: of those in one task only the first is dealt out, so exact copies cost one row a task. Each group is compared with its pivot. A pair is verified
 in two steps: a second sketch of four bits a shingle, whose Hamming distance again is a lower bound, drops most pairs
 before any text moves; the others are told on their whole sets.
 
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from market_engine.llm import hashing as H
-from market_engine.llm.common import drop_stored, stored
+from market_engine.llm.common import drop_stored, stored, worker_of
 from market_engine.llm.components import components
 from market_engine.llm.packing import pack, unpack_slices
 
@@ -53,6 +53,8 @@ BAND_RATIO = 1.5
 PAIRS_PER_ROW = 4
 #: Distinct sets that a task remembers, so as to deal out copies once.
 SEEN = 100_000
+#: Bytes of a batch of texts that goes to a worker.
+BATCH = 4 << 20
 
 
 def most_different(a: int, b: int, percent: int) -> int:
@@ -82,6 +84,7 @@ def bands(percent: int, largest: int) -> list[tuple[int, int, int, int]]:
 
 def _sets(column, words: int, kind: int = 0):
     """Yields the sorted distinct shingle hashes of a string column's texts, one after the other."""
+    worker_of("parity_join")
     data, offsets = H.text_bytes(column)
     for i, j in H.doc_groups(offsets):
         own = H.ASCII_LOWER[data[offsets[i]:offsets[j]]]
@@ -243,7 +246,7 @@ def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, words: in
     near = stored(_possible(pairs, sketches, percent), "possible")
     a, b = (texts.select(F.col("doc_id").alias(x), F.col("packed").alias(f"packed_{x}")) for x in "ab")
     out = stored(near.join(a, "a").join(b, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(
-        _alike(words, percent), "a long, b long"), "links")
+        _alike(words, percent), "a long, b long"), "links", BATCH)
     drop_stored(near)
     return out
 
@@ -325,7 +328,7 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     """(classes, links): classes (doc_id, n, rep) with the smallest id of those with the same set, and
     links (node, component) of the class representatives that have a link."""
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    own = stored(docs.mapInArrow(_classes(words), "doc_id long, n long, c1 long, c2 long"), "classes")
+    own = stored(docs.mapInArrow(_classes(words), "doc_id long, n long, c1 long, c2 long"), "classes", BATCH)
     full = own.filter("n > 0 and doc_id is not null")
     reps = full.groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
     classes = stored(full.join(reps, ["n", "c1", "c2"]).select("doc_id", "n", "rep").unionByName(
@@ -334,13 +337,11 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     rep_of = classes.filter("n > 0 and doc_id is not null").select("doc_id", "rep").distinct()
 
     keys = docs.filter("doc_id is not null and text is not null").mapInArrow(_keys(words, percent), "key long, doc_id long")
-    meeting = stored(keys.groupBy("key").agg(
-        F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), (F.count(F.lit(1)) > 2).alias("several")).filter(
-        "pivot < last").drop("last"), "meeting")
+    group = Window.partitionBy("key")
+    met = keys.select("key", "doc_id", F.min("doc_id").over(group).alias("pivot"), (F.count(F.lit(1)).over(group) > 2).alias("several"))
     # of a key of two members their one comparison is all; only larger ones are looked at again
-    met = stored(keys.join(meeting, "key").filter("doc_id <> pivot").select(
-        F.when(F.col("several"), F.col("key")).alias("key"), "doc_id", "pivot").distinct(), "met")
-    drop_stored(meeting)
+    met = stored(met.filter("doc_id <> pivot").select(
+        F.when(F.col("several"), F.col("key")).alias("key"), "doc_id", "pivot").distinct(), "met", BATCH)
     by_rep = met.join(rep_of, "doc_id").select("key", "pivot", F.col("rep").alias("doc_id"))
     by_rep = stored(by_rep.join(rep_of.select(F.col("doc_id").alias("pivot"), "rep"), "pivot").select(
         "key", F.col("rep").alias("pivot"), "doc_id").filter("doc_id <> pivot").distinct(), "groups")
@@ -349,8 +350,8 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
 
     pairs = stars.select(*_ordered("doc_id", "pivot")).distinct()
     nodes = stars.select("doc_id").unionByName(stars.select(F.col("pivot").alias("doc_id"))).distinct()
-    texts = stored(pack(docs).join(nodes, "doc_id").dropDuplicates(["doc_id"]), "texts")
-    sketches = stored(texts.mapInArrow(_sketches(words), "doc_id long, n long, sketch array<long>"), "sketches")
+    texts = stored(pack(docs).join(nodes, "doc_id").dropDuplicates(["doc_id"]), "texts", BATCH)
+    sketches = stored(texts.mapInArrow(_sketches(words), "doc_id long, n long, sketch array<long>"), "sketches", BATCH)
     links = _verified(pairs, sketches, texts, words, percent)
     found = components(links)
 
@@ -359,8 +360,8 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     members = members.unionByName(members.select("key", "pivot", F.col("pivot").alias("doc_id")).distinct())
     members = stored(_mixed(members, found), "mixed")
     left = _not_alone(members.select("doc_id").distinct(), texts, sketches, words, percent)
-    left = stored(_mixed(members.join(left, "doc_id"), found), "left")
-    delta = stored(_differences(left.select("pivot", "doc_id").distinct(), texts, words), "deltas")
+    left = stored(_mixed(members.join(left, "doc_id"), found), "left", BATCH)
+    delta = stored(_differences(left.select("pivot", "doc_id").distinct(), texts, words), "deltas", BATCH)
     drop_stored(members, left)
     near, member = _meet(delta, percent)
     near = stored(_with_component(near, found).join(found.select(F.col("node").alias("nearest"), F.col("component").alias("nc")), "nearest", "left")

@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from market_engine.llm.common import worker_of
+
 KEEP = 400_000
 #: Rows that are handed back to Spark at a time.
 SLICE = 4000
@@ -251,8 +253,15 @@ def _chunks(text: str) -> list[str]:
 _loaded: dict[str, WordBpe] = {}
 
 
+def _forget() -> None:
+    _loaded.clear()
+    WordBpe._edge.cache_clear()
+    WordBpe.whole.cache_clear()
+
+
 def tokenizer(path: str) -> WordBpe:
-    """The tokenizer of a file, read once per worker."""
+    """The tokenizer of a file, read once per worker and kept until that works for another step."""
+    worker_of("trie_bpe", _forget)
     if path not in _loaded:
         _loaded[path] = WordBpe(path)
     return _loaded[path]

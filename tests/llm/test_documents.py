@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import weakref
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tests_llm_brute import components, removed
 
-from market_engine.llm import parity_join, quality_rules, rendezvous, substring_dedup, token_cache, trie_bpe, winnowing
+from market_engine.llm import common, parity_join, quality_rules, rendezvous, substring_dedup, token_cache, trie_bpe, winnowing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -236,3 +238,27 @@ def test_trie_bpe_decodes_from_the_ids_of_each_text(docs):
     bpe = trie_bpe.tokenizer(PATH)
     assert all(out[d].decoded == bpe.decode(out[d].ids) for d, _ in rows)
     assert out[1].decoded == out[2].decoded == "" and out[3].ids == out[4].ids[:len(out[3].ids)]
+
+
+def test_a_worker_gives_up_the_tables_of_its_former_step():
+    bpe = trie_bpe.tokenizer(PATH)
+    assert bpe.encode(["some words to know"]) and trie_bpe.tokenizer(PATH) is bpe
+    gone = weakref.ref(bpe)
+    del bpe
+    assert [len(s) for s in parity_join._sets(pa.array(["a b c d"]), 3)] == [2]
+    assert gone() is None and trie_bpe.tokenizer(PATH).encode(["some words"])
+
+
+def test_keys_are_exchanged_once_in_small_batches(docs, spark, monkeypatch):
+    seen = []
+
+    def stored(df, name, batch_bytes=None):
+        seen.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"), batch_bytes))
+        return common.stored(df, name, batch_bytes)
+    before = spark.conf.get(common.BATCH_BYTES, None)
+    monkeypatch.setattr(parity_join, "stored", stored)
+    base = " ".join(map(str, range(60)))
+    rows = parity_join.label(docs([(i, f"{base} end{i}") for i in range(4)]), 5, 80).collect()
+    assert {r.component_id for r in rows} == {0} and spark.conf.get(common.BATCH_BYTES, None) == before
+    assert sum(n for name, n, _ in seen if name in ("meeting", "met")) == 1
+    assert all(b == parity_join.BATCH for _, n, b in seen if n)
