@@ -14,7 +14,9 @@ A set with more joins on its empty blocks too, and so still meets any other such
 
 The join goes by (band, block, XOR) in one exchange: a window over the sorted keys gives each member its group's
 smallest, the pivot. A group is a row of 16 bytes a document at most, and its window spills. Texts with the same set
-are one class: of those in one task only the first is dealt out, so exact copies cost one row a task. Each group is compared with its pivot. A pair is verified
+are one class: of those in one task only the first is dealt out, so exact copies cost one row a task. A similar pair agrees
+in many of a band's blocks, not in one: a set that meets others in fewer than it must (``_needs``) leaves the band before
+pivots are chosen, as do most texts that only have a passage in common. Each group is compared with its pivot. A pair is verified
 in two steps: a second sketch of four bits a shingle, whose Hamming distance again is a lower bound, drops most pairs
 before any text moves; the others are told on their whole sets.
 
@@ -106,27 +108,52 @@ def _digest(s: np.ndarray) -> int:
     return int(H.mix(s).sum(dtype=np.uint64).view(np.int64))
 
 
-def _classes(words: int):
-    """Size of each text's set and two digests of it, from word hashes of two kinds."""
+def _joined(n: int, percent: int, known: list) -> list[tuple[int, tuple[int, int, int, int]]]:
+    """The bands, with their numbers, that a set of size n joins in; ``known`` has all bands so far."""
+    if n and (not known or n >= known[-1][1]):
+        known[:] = bands(percent, 2 * n)
+    least = -(-n * percent // 100)  # smallest partner's size
+    return [(b, x) for b, x in enumerate(known) if x[2] and x[0] <= n and x[1] > least]
+
+
+def _needs(s: np.ndarray, percent: int, known: list) -> list[int]:
+    """For each band that a set joins in, the least number of keys that it has in common with a similar set there, and
+    the band: all blocks but one for each difference, and but those that are left out as empty in both."""
+    out, n = [], len(s)
+    for b, (_, hi, p, spare) in _joined(n, percent, known):
+        most = most_different(n, n * 100 // percent if n < hi else hi - 1, percent)
+        full = np.count_nonzero(np.diff(_block_of(s, p).astype(np.int64))) + 1
+        out.append(p - most - min(p - full, spare) << 6 | b & 63)
+    return out
+
+
+def _classes(words: int, percent: int):
+    """Size of each text's set, two digests of it, from word hashes of two kinds, and what it needs in its bands."""
     def work(batches):
+        known: list[tuple[int, int, int, int]] = []
         for batch in batches:
-            rows = [(len(s), _digest(s), _digest(t)) for s, t in zip(_sets(batch.column(1), words), _sets(batch.column(1), words, 1))]
-            n, c1, c2 = zip(*rows) if rows else ((), (), ())
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64())],
-                                  names=["doc_id", "n", "c1", "c2"])
+            rows = [(len(s), _digest(s), _digest(t), _needs(s, percent, known))
+                    for s, t in zip(_sets(batch.column(1), words), _sets(batch.column(1), words, 1))]
+            n, c1, c2, needs = zip(*rows) if rows else ((), (), (), ())
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
+                                   pa.array(needs, pa.list_(pa.int64()))], names=["doc_id", "n", "c1", "c2", "needs"])
     return work
 
 
+def _block_of(s: np.ndarray, p: int) -> np.ndarray:
+    return ((s >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
+
+
 def _blocks(s: np.ndarray, p: int, spare: int, band: int) -> np.ndarray:
-    """Join keys of a set's sketch in a band of p blocks."""
-    block = ((s >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)  # s is sorted, so blocks are runs
+    """Join keys of a set's sketch in a band of p blocks; their last six bits are the band's."""
+    block = _block_of(s, p)  # s is sorted, so blocks are runs
     heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
     at, xor = block[heads], np.bitwise_xor.reduceat(H.mix(s), heads)
     if p - len(heads) > spare:
         every = np.zeros(p, np.uint64)
         every[at.astype(np.int64)] = xor
         at, xor = np.arange(p, dtype=np.uint64), every
-    return H.mix(xor ^ H.mix(at + np.uint64(band << 40)))
+    return H.mix(xor ^ H.mix(at + np.uint64(band << 40))) & ~np.uint64(63) | np.uint64(band & 63)
 
 
 def _keys(words: int, percent: int):
@@ -143,14 +170,10 @@ def _keys(words: int, percent: int):
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(c)
-                if not known or n >= known[-1][1]:
-                    known = bands(percent, 2 * n)
-                least = -(-n * percent // 100)  # smallest partner's size
-                for b, (lo, hi, p, spare) in enumerate(known):
-                    if p and lo <= n and hi > least:
-                        keys.append(_blocks(s, p, spare, b))
-                        at.append((r, len(keys[-1])))
-                        size += len(keys[-1])
+                for b, (_, _, p, spare) in _joined(n, percent, known):
+                    keys.append(_blocks(s, p, spare, b))
+                    at.append((r, len(keys[-1])))
+                    size += len(keys[-1])
                 if size > 1 << 18:
                     yield _key_batch(ids, at, keys)
                     at, keys, size = [], [], 0
@@ -328,20 +351,27 @@ def link(documents: DataFrame, words: int = 3, percent: int = 90, doc_id: str =
     """(classes, links): classes (doc_id, n, rep) with the smallest id of those with the same set, and
     links (node, component) of the class representatives that have a link."""
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    own = stored(docs.mapInArrow(_classes(words), "doc_id long, n long, c1 long, c2 long"), "classes", BATCH)
+    own = stored(docs.mapInArrow(_classes(words, percent), "doc_id long, n long, c1 long, c2 long, needs array<long>"), "classes", BATCH)
     full = own.filter("n > 0 and doc_id is not null")
     reps = full.groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
     classes = stored(full.join(reps, ["n", "c1", "c2"]).select("doc_id", "n", "rep").unionByName(
         own.filter("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("rep"))), "reps")
-    drop_stored(own)
     rep_of = classes.filter("n > 0 and doc_id is not null").select("doc_id", "rep").distinct()
 
     keys = docs.filter("doc_id is not null and text is not null").mapInArrow(_keys(words, percent), "key long, doc_id long")
-    group = Window.partitionBy("key")
-    met = keys.select("key", "doc_id", F.min("doc_id").over(group).alias("pivot"), (F.count(F.lit(1)).over(group) > 2).alias("several"))
+    group, doc = Window.partitionBy("key"), F.col("doc_id")
+    meeting = stored(keys.withColumn("apart", F.min(doc).over(group) < F.max(doc).over(group)).filter("apart").select(
+        "key", "doc_id").distinct(), "meeting", BATCH)
+    needs = full.select("doc_id", F.explode("needs").alias("need")).groupBy("doc_id", F.col("need").bitwiseAND(63).alias("band")).agg(
+        F.shiftright(F.min("need"), 6).alias("need"))
+    enough = meeting.groupBy("doc_id", F.col("key").bitwiseAND(63).alias("band")).agg(F.count(F.lit(1)).alias("c")).join(
+        needs, ["doc_id", "band"]).filter("c >= need").select("doc_id", "band")
+    met = meeting.withColumn("band", F.col("key").bitwiseAND(63)).join(enough, ["doc_id", "band"], "left_semi").select(
+        "key", "doc_id", F.min(doc).over(group).alias("pivot"), (F.count(F.lit(1)).over(group) > 2).alias("several"))
     # of a key of two members their one comparison is all; only larger ones are looked at again
     met = stored(met.filter("doc_id <> pivot").select(
-        F.when(F.col("several"), F.col("key")).alias("key"), "doc_id", "pivot").distinct(), "met", BATCH)
+        F.when(F.col("several"), F.col("key")).alias("key"), "doc_id", "pivot").distinct(), "met")
+    drop_stored(meeting, own)
     by_rep = met.join(rep_of, "doc_id").select("key", "pivot", F.col("rep").alias("doc_id"))
     by_rep = stored(by_rep.join(rep_of.select(F.col("doc_id").alias("pivot"), "rep"), "pivot").select(
         "key", F.col("rep").alias("pivot"), "doc_id").filter("doc_id <> pivot").distinct(), "groups")

@@ -260,5 +260,37 @@ def test_keys_are_exchanged_once_in_small_batches(docs, spark, monkeypatch):
     base = " ".join(map(str, range(60)))
     rows = parity_join.label(docs([(i, f"{base} end{i}") for i in range(4)]), 5, 80).collect()
     assert {r.component_id for r in rows} == {0} and spark.conf.get(common.BATCH_BYTES, None) == before
-    assert sum(n for name, n, _ in seen if name in ("meeting", "met")) == 1
+    assert sum(n for name, n, _ in seen if name in ("meeting", "met")) == 1  # the sets' keys are made once
     assert all(b == parity_join.BATCH for _, n, b in seen if n)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_have_the_keys_in_common_that_each_needs(percent):
+    rng = np.random.default_rng(percent)
+    new = lambda n: rng.integers(0, 2 ** 63, n).astype(np.uint64)
+    for n in [*range(4, 60), 200, 450, 700, 1500]:
+        x, known = np.unique(new(n)), []
+        for gone, more in ((n * (100 - percent) // 100, 0), (0, n * (100 - percent) // percent), (n * (100 - percent) // 220,) * 2):
+            y = np.unique(np.append(x[gone:], new(more)))
+            if 100 * len(np.intersect1d(x, y)) < percent * len(np.union1d(x, y)):
+                continue
+            sets = [({b: parity_join._blocks(s, q, spare, b) for b, (_, _, q, spare) in parity_join._joined(len(s), percent, known)},
+                     {v & 63: v >> 6 for v in parity_join._needs(s, percent, known)}) for s in (x, y)]
+            both = sets[0][0].keys() & sets[1][0].keys()
+            assert len(x) == len(y) == len(np.intersect1d(x, y)) or any(
+                len(np.intersect1d(sets[0][0][b], sets[1][0][b])) >= max(sets[0][1][b], sets[1][1][b]) for b in both), (n, gone, more)
+            assert all(int(k) & 63 == b for keys, _ in sets for b in keys for k in keys[b])
+
+
+def test_texts_that_share_a_passage_only_form_no_groups(docs, monkeypatch):
+    rng, groups = random.Random(9), []
+
+    def stored(df, name, batch_bytes=None):
+        out = common.stored(df, name, batch_bytes)
+        groups.extend([out.count()] * (name == "groups"))
+        return out
+    monkeypatch.setattr(parity_join, "stored", stored)
+    passage = _text(rng, 60, 5000)
+    rows = [(i, f"{_text(rng, 120, 5000)} {passage} {_text(rng, 120, 5000)}") for i in range(60)]
+    assert all(r.component_id == r.doc_id for r in parity_join.label(docs(rows), 5, 80).collect())
+    assert groups == [0]
